@@ -26,7 +26,7 @@ from newsloom.sources.writers import write_partitioned
 # Up to this many months of a batch are named one by one to the fact scan.
 NAMED_MONTHS = 1000
 
-_FACT_PARTITIONED = StructType(schemas.FACT.fields).add("month", "string")
+_FACT_PARTITIONED = StructType(list(schemas.FACT.fields)).add("month", "string")
 
 
 def read_sources(spark: SparkSession, root: str) -> DataFrame:
@@ -77,7 +77,7 @@ def resolve(scored: DataFrame, dim_source: DataFrame, dim_topic: DataFrame) -> D
     ids = dim_source.select("source_id", F.col("name").alias("source_name"))
     known = dim_topic.select("topic_id", F.lit(True).alias("_topic_known"))
     joined = lookup_join(lookup_join(scored, ids, ["source_name"]), known, ["topic_id"])
-    return conform(joined, StructType(schemas.FACT.fields).add("_topic_known", "boolean"))
+    return conform(joined, StructType(list(schemas.FACT.fields)).add("_topic_known", "boolean"))
 
 
 def delete_sources(spark: SparkSession, root: str, names: DataFrame) -> None:
