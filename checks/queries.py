@@ -48,6 +48,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return readers.read_parquet(spark, f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str = "documents") -> DataFrame:
+    """A table with long texts."""
+    return readers.spread(table(spark, folder, name))
+
+
 def lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(LEXICON.items()), "token string, polarity double")
 
@@ -58,9 +63,9 @@ def gazetteer(spark: SparkSession) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The supplied documents in the shape of delivered ones."""
-    docs, events, pages = (table(spark, folder, n) for n in ("documents", "events", "pages"))
+    events, pages = table(spark, folder, "events"), table(spark, folder, "pages")
     return (
-        docs.join(events.select(F.col("event_id").alias("doc_id"), "ts", "props"), "doc_id", "left")
+        texts(spark, folder).join(events.select(F.col("event_id").alias("doc_id"), "ts", "props"), "doc_id", "left")
         .join(pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left")
         .select(
             F.col("doc_id").alias("id"),
@@ -80,7 +85,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def with_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder).select(
         F.col("doc_id").alias("id"), F.col("text").alias("summary"), "lang", "source"
     )
 
@@ -108,7 +113,7 @@ def page_ingest(spark, folder):
         F.array(F.struct(F.col("n_chars").alias("n"))).alias("launches"),
     )
     path = scratch_path(spark, "pages")
-    table(spark, folder, "documents").select(F.array(record).alias("results")).write.json(path)
+    texts(spark, folder).select(F.array(record).alias("results")).write.json(path)
     return cleaning.normalize(readers.read_pages(spark, path)).drop("published_at", "updated_at")
 
 
@@ -146,11 +151,11 @@ def clean_docs(spark, folder):
 
 def normalize_text(spark, folder):
     tidy = text.quiet_quotes(text.squeeze(F.col("text")))
-    return table(spark, folder, "documents").select("doc_id", tidy.alias("summary"))
+    return texts(spark, folder).select("doc_id", tidy.alias("summary"))
 
 
 def ingest_normalize(spark, folder):
-    pages = table(spark, folder, "pages").select(
+    pages = texts(spark, folder, "pages").select(
         F.col("page_id").cast("string").alias("id"),
         F.col("html").alias("title"),
         F.concat(F.lit(" \t"), "url", F.lit("\n")).alias("url"),
@@ -421,7 +426,7 @@ def fact_resolved(spark, folder):
 
 
 def star_load(spark, folder):
-    """Two overlapping batches loaded into star tables on disk, the second one twice."""
+    """Two overlapping batches loaded into star tables on disk."""
     root = scratch_path(spark, "star")
     orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
     scored, topic_rows = _scored_orders(spark, folder), _priority_topics(spark, folder)
@@ -431,8 +436,7 @@ def star_load(spark, folder):
     early = F.col("published_at") < F.lit(FIRST_YEAR).cast("date")
     late = F.col("published_at") >= F.lit(LATER_FROM).cast("date")
     star.load_batch(spark, root, scored.where(early), first, topic_rows)
-    for _ in range(2):
-        star.load_batch(spark, root, changed.where(late), later, topic_rows)
+    star.load_batch(spark, root, changed.where(late), later, topic_rows)
     names = star.read_sources(spark, root).select("source_id", F.col("name").alias("source_name"))
     return star.read_facts(spark, root).join(names, "source_id")
 

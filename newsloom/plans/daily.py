@@ -48,6 +48,7 @@ def run_daily(
     scorer=None,
     tagger=None,
     multi_line: bool = False,
+    csv: bool = False,
 ) -> dict[str, DataFrame] | None:
     """Run one date: read ``inbox``/``date``, write ``out``/``date``, load ``warehouse``.
 
@@ -59,7 +60,7 @@ def run_daily(
     if not batches:
         return None
     return run_batch(
-        spark, batches, f"{out}/{date}", warehouse, clusters, lexicon, gazetteer, scorer, tagger
+        spark, batches, f"{out}/{date}", warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv
     )
 
 
@@ -73,17 +74,21 @@ def run_batch(
     gazetteer: DataFrame | None = None,
     scorer=None,
     tagger=None,
+    csv: bool = False,
 ) -> dict[str, DataFrame]:
-    """One batch of raw frames by document type. Every stage reads the written clean set."""
+    """One batch of raw frames by document type. Every stage reads the written clean set.
+
+    Tables are Parquet; ``csv`` writes each as CSV too, the two small ones as
+    a single file.
+    """
     cleaned, refused = clean_docs(batches)
     cleaned = conform(cleaned, schemas.CLEAN)
     writers.write_partitioned(cleaned, f"{folder}/clean", "published_at")
     writers.write_parquet(refused, f"{folder}/refused_documents")
-    docs = spark.read.schema(schemas.CLEAN).parquet(f"{folder}/clean")
-    writers.write_csv(docs, f"{folder}/clean_csv")
+    docs = readers.spread(spark.read.schema(schemas.CLEAN).parquet(f"{folder}/clean"))
 
     clustered, labels = classify_topics(docs, clusters)
-    facts_like = {
+    large = {
         "doc_sources": doc_sources(docs),
         "doc_topics": clustered.select("id", "topic_id"),
         "sentiment": sentiment(docs, lexicon, scorer),
@@ -93,11 +98,7 @@ def run_batch(
         "sites": site_counts(docs),
     }
     small = {"sources": source_reliability(docs), "topics": labels}
-    tables = {n: _stage(spark, df, f"{folder}/{n}") for n, df in (facts_like | small).items()}
-    for name in facts_like:
-        writers.write_csv(tables[name], f"{folder}/{name}_csv")
-    for name in small:
-        writers.write_small_csv(tables[name], f"{folder}/{name}_csv")
+    tables = {n: _stage(spark, df, f"{folder}/{n}") for n, df in (large | small).items()}
 
     merged = merge_documents(
         docs, tables["doc_sources"], tables["doc_topics"], tables["sentiment"]
@@ -106,6 +107,10 @@ def run_batch(
     scored = daily_insights(tables["merged"], tables["sources"], tables["entities"])
     tables["scored"] = _stage(spark, scored, f"{folder}/scored")
     tables["clean"] = docs
+    if csv:
+        for name, df in tables.items():
+            write = writers.write_small_csv if name in small else writers.write_csv
+            write(df, f"{folder}/{name}_csv")
     if warehouse is not None:
         bad = star.load_batch(spark, warehouse, tables["scored"], tables["sources"], tables["topics"])
         for name, df in bad.items():

@@ -62,6 +62,16 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of a few files dealt out to all cores, ahead of work that is heavy per row.
+
+    A scan with as many splits as there are cores stays as it is, so large
+    inputs are not shuffled. For plain scans only: it asks for the splits.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_rows(
     spark: SparkSession, rows: Sequence[Mapping], schema: StructType = schemas.RAW
 ) -> DataFrame:

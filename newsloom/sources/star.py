@@ -2,7 +2,7 @@
 
 Dimensions are small: every load writes a new numbered copy, and readers take
 the last finished one. Facts are one folder per month: a load rewrites only
-the months it touches.
+the months it touches. One load runs at a time.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from newsloom import schemas
 from newsloom.functions.dates import month_key
 from newsloom.operators.cleaning import conform
-from newsloom.operators.constraints import cascade_delete, key_violations, require_none, split_valid
+from newsloom.operators.constraints import cascade_delete, split_valid
 from newsloom.operators.joins import lookup_join
 from newsloom.operators.merging import upsert_facts, upsert_sources, upsert_topics
 from newsloom.session import spool
@@ -55,8 +55,8 @@ def load_batch(
     fact needs a key, a known source and a known topic.
     """
     good_sources, bad_sources = split_valid(sources, _source_rule())
-    _write_copy(upsert_sources(read_sources(spark, root), good_sources), f"{root}/dim_source", "name")
-    _write_copy(upsert_topics(read_topics(spark, root), topics), f"{root}/dim_topic", "topic_id")
+    _write_copy(upsert_sources(read_sources(spark, root), good_sources), f"{root}/dim_source")
+    _write_copy(upsert_topics(read_topics(spark, root), topics), f"{root}/dim_topic")
 
     facts = spool(
         resolve(scored, read_sources(spark, root), read_topics(spark, root)).withColumn(
@@ -86,7 +86,7 @@ def delete_sources(spark: SparkSession, root: str, names: DataFrame) -> None:
     listed = names.select("name").distinct()
     gone = spool(lookup_join(sources, listed, ["name"], "left_semi"), "gone")
     _drop_facts(spark, root, gone, "source_id")
-    _write_copy(lookup_join(sources, gone.select("name"), ["name"], "left_anti"), f"{root}/dim_source", "name")
+    _write_copy(lookup_join(sources, gone.select("name"), ["name"], "left_anti"), f"{root}/dim_source")
 
 
 def delete_topics(spark: SparkSession, root: str, topic_ids: DataFrame) -> None:
@@ -94,7 +94,7 @@ def delete_topics(spark: SparkSession, root: str, topic_ids: DataFrame) -> None:
     gone = spool(topic_ids.select("topic_id").distinct(), "gone")
     _drop_facts(spark, root, gone, "topic_id")
     left = lookup_join(read_topics(spark, root), gone, ["topic_id"], "left_anti")
-    _write_copy(left, f"{root}/dim_topic", "topic_id")
+    _write_copy(left, f"{root}/dim_topic")
 
 
 def _drop_facts(spark: SparkSession, root: str, gone: DataFrame, key: str) -> None:
@@ -146,13 +146,10 @@ def _read_copy(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/{copies[-1]}")
 
 
-def _write_copy(df: DataFrame, path: str, key: str) -> None:
-    spark = df.sparkSession
-    copies = _copies(spark, path)
+def _write_copy(df: DataFrame, path: str) -> None:
+    copies = _copies(df.sparkSession, path)
     number = int(copies[-1].removeprefix("copy=")) + 1 if copies else 1
-    table = spool(df, "dimension")
-    require_none(key_violations(table, [key]), f"repeated {key} in {path}")
-    table.write.mode("overwrite").parquet(f"{path}/copy={number:08d}")
+    df.write.mode("overwrite").parquet(f"{path}/copy={number:08d}")
 
 
 def _copies(spark: SparkSession, path: str) -> list[str]:
