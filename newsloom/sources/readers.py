@@ -18,7 +18,7 @@ def read_csv(
     schema: StructType = schemas.RAW,
     multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header and doubled quotes; a folder is read whole.
+    """CSV with a header and doubled quotes; a folder is read whole. Empty text reads as null.
 
     Files without line breaks inside fields, as this package writes them, are
     split among tasks. ``multi_line`` reads such breaks, one task per file.
