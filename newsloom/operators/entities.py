@@ -88,28 +88,34 @@ def name_table(gazetteer: DataFrame) -> DataFrame:
 def mentions(docs: DataFrame, names: DataFrame, longest: int) -> DataFrame:
     """One row per match in ``docs`` (id, text), names inside longer names included.
 
-    Each token carries only the ``longest - 1`` tokens after it, so the rows
-    grow with the length of the text. Names are looked up only for tokens that
-    are the first word of one.
+    The text is read once. Each token carries only the ``longest - 1`` tokens
+    after it, so the rows grow with the length of the text. Tokens that
+    neither begin a name nor have the form of a value are dropped before the
+    runs of words they begin are looked up. A name has its label from the
+    gazetteer even if it has such a form.
     """
     trimmed = F.transform(
         F.split(squeeze(F.lower("text")), " "), lambda token: F.regexp_replace(token, _OUTER, "")
     )
-    runs = (
+    tokens = (
         docs.select("id", trimmed.alias("tokens"))
         .select("id", F.posexplode(_runs(longest)).alias("pos", "run"))
         .withColumn("first", F.col("run")["w0"])
     )
-    formed = runs.select("id", "pos", F.lit(1).alias("size"), F.col("first").alias("surface"), _form(F.col("first")).alias("label"))
-    starts = lookup_join(runs, names.select("first").distinct(), ["first"], "left_semi")
-    prefixes = starts.select("id", "pos", F.explode(_prefixes(longest)).alias("surface"))
-    named = lookup_join(prefixes.where(F.col("surface").isNotNull()), names.drop("first"), ["surface"], "inner")
-    found = named.select(*formed.columns).unionByName(formed.where(F.col("label").isNotNull()))
-    return found.select(
+    beginnings = names.select("first").distinct().withColumn("begins", F.lit(True))
+    begun = (
+        lookup_join(tokens, beginnings, ["first"])
+        .withColumn("form", _form(F.col("first")))
+        .where(F.col("begins") | F.col("form").isNotNull())
+    )
+    runs = begun.select("id", "pos", "form", F.posexplode(_prefixes(longest)).alias("more", "surface"))
+    found = lookup_join(runs.where(F.col("surface").isNotNull()), names.select("surface", "label"), ["surface"])
+    label = F.coalesce(F.col("label"), F.when(F.col("more") == 0, F.col("form")))
+    return found.select("id", "pos", "more", "surface", label.alias("label")).where("label IS NOT NULL").select(
         "id",
         F.struct(
             F.col("pos"),
-            (-F.col("size")).alias("shorter"),
+            (-1 - F.col("more")).alias("shorter"),
             F.col("surface").alias("text"),
             F.col("label"),
         ).alias("mention"),

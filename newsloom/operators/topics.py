@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame, Window
@@ -31,22 +31,22 @@ def fit_topics(
 ) -> PipelineModel:
     """Fit the text-to-cluster pipeline on all rows of ``df``; null text counts as empty.
 
-    The vectors are written once and k-means runs over them, so its rounds do
-    not tokenize again. The driver holds the k centres and the term weights.
+    The term counts are written once, so that neither the term weights nor
+    the rounds of k-means read the text again. The driver holds the k centres
+    and one weight per bucket.
     """
-    prepare = Pipeline(
+    counting = PipelineModel(
         stages=[
             Tokenizer(inputCol=summary, outputCol="words"),
             StopWordsRemover(inputCol="words", outputCol="filtered_words"),
             HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=buckets),
-            IDF(inputCol="raw_features", outputCol="features"),
         ]
     )
-    text = df.select(_filled(summary))
-    prepared = prepare.fit(text)
-    vectors = spool(prepared.transform(text).select("features"), "vectors")
+    counts = spool(counting.transform(df.select(_filled(summary))).select("raw_features"), "terms")
+    weighting = IDF(inputCol="raw_features", outputCol="features").fit(counts)
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=output)
-    return PipelineModel(stages=[*prepared.stages, kmeans.fit(vectors)])
+    centres = kmeans.fit(weighting.transform(counts).select("features"))
+    return PipelineModel(stages=[*counting.stages, weighting, centres])
 
 
 def assign_topics(df: DataFrame, model: PipelineModel, summary: str = "summary") -> DataFrame:

@@ -102,14 +102,12 @@ def _drop_facts(spark: SparkSession, root: str, gone: DataFrame, key: str) -> No
     facts = read_facts(spark, root)
     hit = spool(lookup_join(facts, gone.select(key), [key], "left_semi").select("month").distinct(), "hit")
     kept = cascade_delete(_in_months(facts, hit), gone, key)
-    emptied = hit.join(spool(kept.select("month").distinct(), "kept-months"), "month", "left_anti")
-    emptied = spool(emptied, "emptied")
+    left = spool(kept.select("month").distinct(), "kept-months")
+    emptied = hit.join(left, "month", "left_anti").collect()  # at most one row per folder
     _write_facts(kept, root)
     # A dynamic overwrite leaves months alone that have no rows any more.
-    for folder in children(spark, path):
-        month = folder.removeprefix("month=")
-        if folder != month and not emptied.where(F.col("month") == month).isEmpty():
-            remove(spark, f"{path}/{folder}")
+    for row in emptied:
+        remove(spark, f"{path}/month={row['month']}")
 
 
 def _write_facts(facts: DataFrame, root: str) -> None:

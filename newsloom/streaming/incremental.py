@@ -10,9 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsloom import schemas
 from newsloom.plans.daily import DOC_TYPES, run_batch
-
-# Days handled in one trigger; one more and the run stops with an error.
-MAX_DAYS = 10_000
+from newsloom.session import scratch_path
+from newsloom.sources import writers
+from newsloom.sources.files import children
 
 
 def read_inbox(spark: SparkSession, inbox: str, doc_type: str) -> DataFrame:
@@ -63,13 +63,17 @@ def incremental_load(
 
 
 def by_date(batch: DataFrame, run: Callable[[str, dict[str, DataFrame]], object]) -> None:
-    """Call ``run`` for each date in ``batch``, in order, with its frames by document type."""
-    rows = batch.select("batch_date").distinct().orderBy("batch_date").limit(MAX_DAYS + 1).collect()
-    if len(rows) > MAX_DAYS:
-        raise ValueError(f"more than {MAX_DAYS} dates in one batch")
-    for row in rows:
-        day = batch.where(F.col("batch_date") == row["batch_date"])
-        run(row["batch_date"], {t: day.where(F.col("doc_type") == t) for t in DOC_TYPES})
+    """Call ``run`` for each date in ``batch``, in order, with its frames by document type.
+
+    The files are parsed once, into one scratch folder per date.
+    """
+    spark = batch.sparkSession
+    path = writers.write_partitioned(batch, scratch_path(spark, "arrived"), "batch_date")
+    arrived = spark.read.schema(batch.schema).parquet(path)
+    folders = [f for f in children(spark, path) if f.startswith("batch_date=")]
+    for date in sorted(f.removeprefix("batch_date=") for f in folders):
+        day = arrived.where(F.col("batch_date") == date)
+        run(date, {t: day.where(F.col("doc_type") == t).drop("batch_date") for t in DOC_TYPES})
 
 
 def first_arrivals(

@@ -124,7 +124,7 @@ def _entities(text: str | None) -> list[tuple[str, str]]:
             if pos + size <= len(tokens) and surface in ent.NAMES:
                 found.append((pos, -size, surface, ent.NAMES[surface]))
         for label, pattern in ent.FORMS:
-            if re.search(pattern, token):
+            if token not in ent.NAMES and re.search(pattern, token):
                 found.append((pos, -1, token, label))
                 break
     found.sort()
