@@ -11,6 +11,7 @@ from checks.queries import (
     TABLE_UNTIL,
 )
 from newsloom.functions.stopwords import ENGLISH
+from newsloom.operators.sentiment import POLARITY
 
 
 def _text(value: object) -> str:
@@ -112,6 +113,22 @@ TEXT_ENTITIES = f"""
 """
 
 
+def _sentiment(lexicon: dict, tokens: str) -> str:
+    return f"""
+        WITH lexicon(token, polarity) AS (VALUES {_rows(lexicon)}),
+        tokens AS (SELECT doc_id, unnest({tokens}) AS token FROM documents),
+        means AS (
+            SELECT doc_id, sum(CAST(polarity AS DECIMAL(9, 6))) / CAST(count(*) AS DOUBLE) AS score
+            FROM tokens JOIN lexicon USING (token) GROUP BY doc_id
+        )
+        SELECT d.doc_id AS id, score, CAST(coalesce(score, 0) AS FLOAT) AS sentiment_score
+        FROM documents d LEFT JOIN means m ON m.doc_id = d.doc_id
+    """
+
+
+CLEAN_TEXT = "lower(trim(regexp_replace(text, '\\n', ' ', 'g')))"
+
+
 def _profile(period: str, url: str) -> str:
     return f"""
         SELECT c_name AS name, '{url}' AS url,
@@ -175,9 +192,8 @@ ORACLES = {
     "page_window": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100",
     "since_date": "SELECT event_id, ts, event_type, value FROM events WHERE ts >= TIMESTAMP '2024-01-15'",
     "sink_partitioned": "SELECT event_id, user_id, event_type, value, strftime(ts, '%Y-%m-%d') AS day FROM events",
-    "clean_docs": """
-        SELECT doc_id AS id, lower(trim(regexp_replace(text, '\\n', ' ', 'g'))) AS summary,
-               CAST(ts AS DATE) AS published_at, CAST(ts AS DATE) AS updated_at
+    "clean_docs": f"""
+        SELECT doc_id AS id, {CLEAN_TEXT} AS summary, CAST(ts AS DATE) AS published_at, CAST(ts AS DATE) AS updated_at
         FROM documents LEFT JOIN events ON doc_id = event_id
     """,
     "normalize_text": f"SELECT doc_id, replace({_squeeze('text')}, '\"', '''') AS summary FROM documents",
@@ -226,12 +242,9 @@ ORACLES = {
         ) GROUP BY lang
     """,
     "sentiment_lexicon": f"""
-        WITH lexicon(token, polarity) AS (VALUES {_rows(LEXICON)}),
-        tokens AS (SELECT doc_id, unnest(string_split(lower(text), ' ')) AS token FROM documents),
-        means AS (SELECT doc_id, avg(CAST(polarity AS DOUBLE)) AS score FROM tokens JOIN lexicon USING (token) GROUP BY doc_id)
-        SELECT d.doc_id AS id, round(CAST(coalesce(score, 0) AS FLOAT), 4) AS sentiment_score,
+        SELECT id, round(sentiment_score, 4) AS sentiment_score,
                CASE WHEN score > 0 THEN 'positive' WHEN score < 0 THEN 'negative' ELSE 'neutral' END AS sentiment
-        FROM documents d LEFT JOIN means m ON m.doc_id = d.doc_id
+        FROM ({_sentiment(LEXICON, "string_split(lower(text), ' ')")})
     """,
     "entities_gazetteer": f"""
         {ENTITIES}
@@ -317,5 +330,12 @@ ORACLES = {
         SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem
         WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 1000)
     """,
+    "daily_run": f"""
+        SELECT d.doc_id AS article_id, d.source AS source_name, CAST(ts AS DATE) AS published_at,
+               round(s.sentiment_score, 4) AS sentiment_score, e.entities
+        FROM documents d LEFT JOIN events ON event_id = d.doc_id
+        JOIN ({_sentiment(POLARITY, f"string_split({CLEAN_TEXT}, ' ')")}) s ON s.id = d.doc_id
+        JOIN ({TEXT_ENTITIES}) e ON e.id = d.doc_id
+    """,
     "month_partition_counts": "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders FROM orders GROUP BY 1",
 }

@@ -478,11 +478,20 @@ def month_partition_counts(spark, folder):
 
 
 def daily_run(spark, folder):
-    """One batch from raw documents to scored facts, through every stage and its files."""
+    """One batch from raw documents to facts, through every stage and its files.
+
+    The columns that hang on the clusters are left to topics_kmeans.
+    """
     batch = {"articles": documents(spark, folder).drop("lang")}
     out = scratch_path(spark, "daily")
     tables = daily.run_batch(spark, batch, out, f"{out}/star", gazetteer=gazetteer(spark))
-    return tables["scored"]
+    return tables["scored"].select(
+        "article_id",
+        "source_name",
+        "published_at",
+        F.round("sentiment_score", 4).alias("sentiment_score"),
+        "entities",
+    )
 
 
 def stream_first_arrivals(spark, folder):

@@ -25,6 +25,10 @@ POLARITY = {
 }
 
 
+# Polarities are added as whole billionths, so that the order does not matter.
+_UNIT = 1_000_000_000
+
+
 def default_lexicon(spark) -> DataFrame:
     return spark.createDataFrame(sorted(POLARITY.items()), "token string, polarity double")
 
@@ -48,12 +52,13 @@ def sentiment(
             df.select(F.col(key).alias("id"), scorer(F.coalesce(F.col(summary), F.lit(""))).alias("_score"))
         )
     lexicon = default_lexicon(df.sparkSession) if lexicon is None else lexicon
-    unique = lexicon.groupBy("token").agg(F.min("polarity").alias("polarity"))
+    units = F.round(F.min("polarity") * _UNIT).cast("long")
+    unique = lexicon.groupBy("token").agg(units.alias("units"))
     tokens = df.select(F.col(key).alias("id"), F.explode(words(F.col(summary))).alias("token"))
-    hits = lookup_join(tokens, unique, ["token"], "inner").select("id", "polarity")
-    every = df.select(F.col(key).alias("id"), F.lit(None).cast("double").alias("polarity"))
-    means = every.unionByName(hits).groupBy("id").agg(F.avg("polarity").alias("_score"))
-    return _labelled(means)
+    hits = lookup_join(tokens, unique, ["token"], "inner").select("id", "units")
+    every = df.select(F.col(key).alias("id"), F.lit(None).cast("long").alias("units"))
+    sums = every.unionByName(hits).groupBy("id").agg(F.sum("units").alias("sum"), F.count("units").alias("n"))
+    return _labelled(sums.select("id", F.try_divide("sum", F.col("n") * _UNIT).alias("_score")))
 
 
 def _labelled(scored: DataFrame) -> DataFrame:
