@@ -34,8 +34,11 @@ FORMS = (
     ("DATE", r"^((19|20)[0-9]{2}|[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})$"),
 )
 
+# First characters of such tokens.
+FORM_STARTS = tuple("0123456789$€£")
+
 # Cut off both ends of a token before it is matched.
-_OUTER = r"^[.,;:!?()\[\]{}\"'|]+|[.,;:!?()\[\]{}\"'|]+$"
+OUTER = ".,;:!?()[]{}\"'|"
 
 
 def default_gazetteer(spark) -> DataFrame:
@@ -94,13 +97,11 @@ def mentions(docs: DataFrame, names: DataFrame, longest: int) -> DataFrame:
     runs of words they begin are looked up. A name has its label from the
     gazetteer even if it has such a form.
     """
-    trimmed = F.transform(
-        F.split(squeeze(F.lower("text")), " "), lambda token: F.regexp_replace(token, _OUTER, "")
-    )
     tokens = (
-        docs.select("id", trimmed.alias("tokens"))
-        .select("id", F.posexplode(_runs(longest)).alias("pos", "run"))
-        .withColumn("first", F.col("run")["w0"])
+        docs.select("id", F.split(squeeze(F.lower("text")), " ").alias("w0"))
+        .select("id", "w0", *[_from("w0", n).alias(f"w{n}") for n in range(1, longest)])
+        .select("id", F.posexplode(F.arrays_zip(*_run_fields(longest))).alias("pos", "run"))
+        .withColumn("first", _trimmed(F.col("run")["w0"]))
     )
     beginnings = names.select("first").distinct().withColumn("begins", F.lit(True))
     begun = (
@@ -128,22 +129,25 @@ def entities_as_text(df: DataFrame) -> DataFrame:
     return df.select("id", written.cast("string").alias("entities"))
 
 
-def _runs(longest: int) -> Column:
-    """Per position the token and those after it, as one struct; null past the end."""
-    return F.transform(
-        F.col("tokens"),
-        lambda token, i: F.struct(
-            token.alias("w0"),
-            *[F.get("tokens", i + F.lit(n)).alias(f"w{n}") for n in range(1, longest)],
-        ),
-    )
+def _run_fields(longest: int) -> list[str]:
+    return [f"w{n}" for n in range(longest)]
+
+
+def _from(tokens: str, n: int) -> Column:
+    """``tokens`` without the first ``n``."""
+    return F.slice(tokens, F.lit(n + 1), F.greatest(F.size(tokens) - n, F.lit(0)))
+
+
+def _trimmed(token: Column) -> Column:
+    return F.btrim(token, F.lit(OUTER))
 
 
 def _prefixes(longest: int) -> Column:
     """The first one, two, ... words of a run, joined; null where the run is shorter."""
-    joined = [F.col("run")["w0"]]
-    for n in range(1, longest):
-        joined.append(F.concat(joined[-1], F.lit(" "), F.col("run")[f"w{n}"]))
+    joined: list[Column] = []
+    for field in _run_fields(longest):
+        word = _trimmed(F.col("run")[field])
+        joined.append(F.concat(joined[-1], F.lit(" "), word) if joined else word)
     return F.array(*joined)
 
 
@@ -151,7 +155,7 @@ def _form(token: Column) -> Column:
     label = F.lit(None).cast("string")
     for name, pattern in reversed(FORMS):
         label = F.when(token.rlike(pattern), F.lit(name)).otherwise(label)
-    return label
+    return F.when(F.substring(token, 1, 1).isin(*FORM_STARTS), label)
 
 
 def _spans(found: str, longest: int) -> Column:

@@ -116,7 +116,7 @@ def _entities(text: str | None) -> list[tuple[str, str]]:
 
     if text is None:
         return []
-    tokens = [re.sub(ent._OUTER, "", t) for t in " ".join(text.lower().split()).split(" ")]
+    tokens = [t.strip(ent.OUTER) for t in " ".join(text.lower().split()).split(" ")]
     found = []
     for pos, token in enumerate(tokens):
         for size in range(1, 5):
