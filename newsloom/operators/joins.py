@@ -54,7 +54,7 @@ def lookup_join(
     ``how`` is inner, left, left_semi or left_anti.
     """
     if small_enough(right, limit):
-        return _equi_join(left, F.broadcast(right), on, how, null_safe)
+        return equi_join(left, F.broadcast(right), on, how, null_safe)
     return salted_join(left, right, on, how, null_safe, hot=hot)
 
 
@@ -88,24 +88,28 @@ def salted_join(
     spreader = F.xxhash64(*others) if others else F.spark_partition_id()
     part = F.pmod(spreader, F.lit(salts)).cast("int")
     spread = (
-        _equi_join(left, hot, on, "left", null_safe=True)
+        equi_join(left, hot, on, "left", null_safe=True)
         .withColumn("_salt", F.when(is_hot, part).otherwise(0))
         .drop("_hot")
     )
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = (
-        _equi_join(right, hot, on, "left", null_safe=True)
+        equi_join(right, hot, on, "left", null_safe=True)
         .withColumn("_salt", F.explode(copies))
         .drop("_hot")
     )
-    return _equi_join(spread, repeated, [*on, "_salt"], how, null_safe).drop("_salt")
+    return equi_join(spread, repeated, [*on, "_salt"], how, null_safe).drop("_salt")
 
 
-def _equi_join(left, right, on, how, null_safe) -> DataFrame:
+def equi_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, null_safe: bool = False
+) -> DataFrame:
+    """Join on equally named columns, kept once; ``null_safe`` pairs null with null."""
     if not null_safe:
         return left.join(right, list(on), how)
     renamed = right.select(
-        *[F.col(c).alias(f"_r_{c}") if c in on else F.col(c) for c in right.columns]
+        *[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on]
     )
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
-    return left.join(renamed, same, how).drop(*[f"_r_{c}" for c in on])
+    joined = left.join(renamed, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*renamed.columns[: len(on)])

@@ -45,6 +45,13 @@ def read_facts(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(_FACT_PARTITIONED).parquet(path)
 
 
+def register_views(spark: SparkSession, root: str) -> None:
+    """The three tables as views for SQL: dim_news_source, dim_topic, fact_article."""
+    read_sources(spark, root).createOrReplaceTempView("dim_news_source")
+    read_topics(spark, root).createOrReplaceTempView("dim_topic")
+    read_facts(spark, root).createOrReplaceTempView("fact_article")
+
+
 def load_batch(
     spark: SparkSession, root: str, scored: DataFrame, sources: DataFrame, topics: DataFrame
 ) -> dict[str, DataFrame]:

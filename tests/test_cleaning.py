@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
+import pytest
 from conftest import tuples
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -132,16 +133,38 @@ def test_deduplicate_by_type_and_id(spark, rows):
     assert deduplicate(cleaned, ["doc_type", "id"]).count() == 4
 
 
-def test_hot_key_is_reduced_before_the_shuffle(spark):
+def _copies(share):
+    """Rows of which about ``share`` are copies of one key, and some keys with a null or a few copies."""
     rng = random.Random(1)
-    data = [(7 if i % 3 == 0 else i, rng.randrange(1000), i) for i in range(3000)]
-    frame = spark.createDataFrame(data, "id int, updated_at int, n int").repartition(6)
+    data = [(7 if rng.random() < share else i, rng.choice([None, *range(50)]), i) for i in range(3000)]
+    data += [(None, rng.randrange(9), 10_000 + i) for i in range(20)]
+    data += [(i, rng.randrange(9), 20_000 + i) for i in range(0, 3000, 100)]
     best = {}
     for key, at, n in data:
-        if key not in best or (-at, n) < best[key]:
-            best[key] = (-at, n)
+        rank = (-1 if at is None else at, -n)
+        best[key] = max(best.get(key, rank), rank)
+    expected = sorted(((k, None if a < 0 else a, -n) for k, (a, n) in best.items()), key=repr)
+    return data, expected
+
+
+@pytest.mark.parametrize("share", [0.0, 0.05, 0.33, 0.7])
+def test_deduplicate_with_a_hot_key(spark, share):
+    data, expected = _copies(share)
+    frame = spark.createDataFrame(data, "id int, updated_at int, n int").repartition(6)
     result = deduplicate(frame)
-    assert tuples(result) == sorted(((k, -a, n) for k, (a, n) in best.items()), key=repr)
+    assert tuples(result) == expected
     plan = result._jdf.queryExecution().executedPlan().toString()
     partial = plan.index("WindowGroupLimit", plan.index("WindowGroupLimit") + 1)
     assert plan.index("Exchange hashpartitioning(id") < partial
+    assert ("LeftAnti" in plan) == (share < 0.5)  # rows without copies are not shuffled
+
+
+def test_deduplicate_many_copied_keys(spark, monkeypatch):
+    from newsloom.operators import joins
+
+    data, expected = _copies(0.05)
+    frame = spark.createDataFrame(data, "id int, updated_at int, n int")
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    result = deduplicate(frame)
+    assert "LeftAnti" not in result._jdf.queryExecution().executedPlan().toString()
+    assert tuples(result) == expected

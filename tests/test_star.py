@@ -104,6 +104,19 @@ def test_only_touched_months_are_rewritten(spark, root):
     assert star.read_facts(spark, root).count() == 2
 
 
+def test_sql_over_the_tables(spark, root):
+    scored = _scored(spark, (1, "a", 0, "2025-01-01", 0.0, 2.0), (2, "b", 0, "2025-01-02", 0.0, 4.0))
+    sources = _sources(spark, ("a", "x", 0.5), ("b", "y", 0.5))
+    star.load_batch(spark, root, scored, sources, _topics(spark, (0, "n", "c")))
+    star.register_views(spark, root)
+    rows = spark.sql("""
+        SELECT s.name, RANK() OVER (ORDER BY AVG(f.importance_score) DESC) AS place
+        FROM fact_article f JOIN dim_news_source s ON f.source_id = s.source_id JOIN dim_topic t ON f.topic_id = t.topic_id
+        WHERE f.month = '2025-01' GROUP BY s.name
+    """)
+    assert tuples(rows) == [("a", 2), ("b", 1)]
+
+
 def test_months_prune_folders(spark, root):
     sources, topics = _sources(spark, ("a", "a.example", 1.0)), _topics(spark, (0, "n", "c"))
     scored = _scored(spark, (1, "a", 0, "2025-01-01", 0.0, 0.0), (2, "a", 0, "2025-03-01", 0.0, 0.0))
