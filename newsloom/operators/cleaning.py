@@ -96,6 +96,8 @@ def deduplicate(
     )
     copies = spool(counts.where("_copies > 1"), "copies")
     copied = copies.agg(F.sum("_copies").alias("n")).first()["n"] or 0
+    if copied == 0:
+        return df
     if copied > FEW_COPIES * rows.get["n"] or not small_enough(copies):
         return _best_rows(df, keys, latest)
     repeated = F.broadcast(copies.select(*keys))

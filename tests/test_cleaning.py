@@ -159,6 +159,13 @@ def test_deduplicate_with_a_hot_key(spark, share):
     assert ("LeftAnti" in plan) == (share < 0.5)  # rows without copies are not shuffled
 
 
+def test_deduplicate_nothing_and_no_copies(spark):
+    frame = spark.createDataFrame([(1, 1, 1), (2, 1, 1)], "id int, updated_at int, n int")
+    assert tuples(deduplicate(frame)) == tuples(frame)
+    assert deduplicate(frame.where("false")).count() == 0
+    assert deduplicate(spark.createDataFrame([], frame.schema)).count() == 0
+
+
 def test_deduplicate_many_copied_keys(spark, monkeypatch):
     from newsloom.operators import joins
 

@@ -142,10 +142,19 @@ def test_analyze_dates_already_cast(spark, rows):
     assert analyze(docs, clusters=2)["trend"].count() == 2
 
 
-def test_daily_run(spark, folder):
+@pytest.fixture(scope="module")
+def two_days(spark):
+    """Two dates run in order: the folder, and the tables of the first."""
+    folder = tempfile.mkdtemp(prefix="days-")
     _two_days(spark, folder)
     inbox, out, root = f"{folder}/inbox", f"{folder}/out", f"{folder}/star"
     tables = run_daily(spark, "2025-02-01", inbox, out, root, clusters=2, csv=True)
+    run_daily(spark, "2025-02-02", inbox, out, root, clusters=2)
+    return folder, tables
+
+
+def test_daily_run(spark, two_days):
+    folder, tables = two_days
     assert tuples(tables["clean"], "id") == [(i,) for i in range(6)]
     assert tables["clean"].where("id = 5").first()["summary"] == "mars rover great"
     assert tuples(tables["sources"]) == [("site0", "s0.example", 0.5), ("site1", "s1.example", 0.5)]
@@ -153,13 +162,13 @@ def test_daily_run(spark, folder):
     assert tuples(tables["merged"], "article_id") == [(i,) for i in range(6)]
     scored = {r["article_id"]: r for r in tables["scored"].collect()}
     assert scored[2]["entities"] == "[nasa (ORG), spacex (ORG)]" and scored[2]["sentiment_score"] == pytest.approx(0.8)
-    assert children(spark, f"{out}/2025-02-01/topics_csv")
-    assert readers.read_csv(spark, f"{out}/2025-02-01/entities_csv", schemas.ENTITIES).count() == 6
+    assert children(spark, f"{folder}/out/2025-02-01/topics_csv")
+    written = readers.read_csv(spark, f"{folder}/out/2025-02-01/entities_csv", schemas.ENTITIES)
+    assert written.count() == 6
 
-    run_daily(spark, "2025-02-02", inbox, out, root, clusters=2)
-    second = tuples(star.read_facts(spark, root))
-    run_daily(spark, "2025-02-02", inbox, out, root, clusters=2)
-    assert tuples(star.read_facts(spark, root)) == second
+
+def test_star_after_two_days(spark, two_days):
+    root = f"{two_days[0]}/star"
     facts = {r["article_id"]: r for r in star.read_facts(spark, root).collect()}
     assert sorted(facts) == [*range(10), 20]
     assert facts[2]["sentiment_score"] == pytest.approx(-0.65) and facts[2]["source_id"] == 1
@@ -167,20 +176,24 @@ def test_daily_run(spark, folder):
     assert names == [(1, "site0"), (2, "site1")]
 
 
-def test_incremental_load_equals_the_daily_runs(spark, folder):
-    _two_days(spark, folder)
-    inbox = f"{folder}/inbox"
-    for date in ("2025-02-01", "2025-02-02"):
-        run_daily(spark, date, inbox, f"{folder}/out1", f"{folder}/star1", clusters=2)
+def test_a_date_run_again_changes_nothing(spark, two_days):
+    folder = two_days[0]
+    before = tuples(star.read_facts(spark, f"{folder}/star"))
+    run_daily(spark, "2025-02-02", f"{folder}/inbox", f"{folder}/out", f"{folder}/star", clusters=2)
+    assert tuples(star.read_facts(spark, f"{folder}/star")) == before
+
+
+def test_incremental_load_equals_the_daily_runs(spark, two_days):
+    folder = two_days[0]
     for _ in range(2):  # nothing new the second time
         incremental_load(
-            spark, inbox, f"{folder}/out2", f"{folder}/star2", f"{folder}/progress", clusters=2
+            spark, f"{folder}/inbox", f"{folder}/out2", f"{folder}/star2", f"{folder}/progress", clusters=2
         ).awaitTermination()
     columns = [c for c in schemas.FACT.fieldNames() if c not in ("topic_id", "importance_score")]
     assert tuples(star.read_facts(spark, f"{folder}/star2"), *columns) == tuples(
-        star.read_facts(spark, f"{folder}/star1"), *columns
+        star.read_facts(spark, f"{folder}/star"), *columns
     )
-    assert tuples(star.read_sources(spark, f"{folder}/star2")) == tuples(star.read_sources(spark, f"{folder}/star1"))
+    assert tuples(star.read_sources(spark, f"{folder}/star2")) == tuples(star.read_sources(spark, f"{folder}/star"))
 
 
 def test_first_arrivals(spark, folder):
