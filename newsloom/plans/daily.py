@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,19 +91,20 @@ def run_batch(
     writers.write_parquet(refused, f"{folder}/refused_documents")
     docs = readers.spread(spark.read.schema(schemas.CLEAN).parquet(f"{folder}/clean"))
 
-    clustered, labels = classify_topics(docs, clusters)
-    large = {
-        "doc_sources": doc_sources(docs),
-        "doc_topics": clustered.select("id", "topic_id"),
-        "sentiment": sentiment(docs, lexicon, scorer),
-        "entities": entities_as_text(entities(docs, gazetteer, tagger)),
-        "words": word_counts(docs),
-        "trend": publication_trend(docs),
-        "sites": site_counts(docs),
-    }
-    small = {"sources": source_reliability(docs), "topics": labels}
-    tables = {n: _stage(spark, df, f"{folder}/{n}") for n, df in (large | small).items()}
-
+    def topics() -> dict[str, DataFrame]:
+        clustered, labels = classify_topics(docs, clusters)
+        return {"doc_topics": clustered.select("id", "topic_id"), "topics": labels}
+
+    tables = _written_together(
+        spark,
+        folder,
+        topics,
+        lambda: {"entities": entities_as_text(entities(docs, gazetteer, tagger))},
+        lambda: {"sentiment": sentiment(docs, lexicon, scorer)},
+        lambda: {"words": word_counts(docs)},
+        lambda: {"sources": source_reliability(docs), "doc_sources": doc_sources(docs)},
+        lambda: {"trend": publication_trend(docs), "sites": site_counts(docs)},
+    )
     merged = merge_documents(
         docs, tables["doc_sources"], tables["doc_topics"], tables["sentiment"]
     )
@@ -109,7 +114,7 @@ def run_batch(
     tables["clean"] = docs
     if csv:
         for name, df in tables.items():
-            write = writers.write_small_csv if name in small else writers.write_csv
+            write = writers.write_small_csv if name in ("sources", "topics") else writers.write_csv
             write(df, f"{folder}/{name}_csv")
     if warehouse is not None:
         bad = star.load_batch(spark, warehouse, tables["scored"], tables["sources"], tables["topics"])
@@ -118,6 +123,22 @@ def run_batch(
     return tables
 
 
+def _written_together(
+    spark: SparkSession, folder: str, *analyses: Callable[[], dict[str, DataFrame]]
+) -> dict[str, DataFrame]:
+    """Tables of analyses that do not need each other, their jobs submitted side by side.
+
+    Stages of one fill the cores left free at the end of another.
+    """
+
+    def run(analysis: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+        return {name: _stage(spark, df, f"{folder}/{name}") for name, df in analysis().items()}
+
+    with ThreadPoolExecutor(len(analyses)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(run), analysis) for analysis in analyses]
+        return {name: df for task in started for name, df in task.result().items()}
+
+
 def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     writers.write_parquet(df, path)
     return spark.read.schema(df.schema).parquet(path)
