@@ -61,6 +61,7 @@ def load_batch(
     changes nothing. A source needs a name, a host and a score in [0, 1]; a
     fact needs a key, a known source and a known topic.
     """
+    finish_pending(spark, root)
     good_sources, bad_sources = split_valid(sources, _source_rule())
     _write_copy(upsert_sources(read_sources(spark, root), good_sources), f"{root}/dim_source")
     _write_copy(upsert_topics(read_topics(spark, root), topics), f"{root}/dim_topic")
@@ -105,6 +106,7 @@ def delete_topics(spark: SparkSession, root: str, topic_ids: DataFrame) -> None:
 
 
 def _drop_facts(spark: SparkSession, root: str, gone: DataFrame, key: str) -> None:
+    finish_pending(spark, root)
     path = f"{root}/fact_article"
     facts = read_facts(spark, root)
     hit = spool(lookup_join(facts, gone.select(key), [key], "left_semi").select("month").distinct(), "hit")
@@ -118,9 +120,30 @@ def _drop_facts(spark: SparkSession, root: str, gone: DataFrame, key: str) -> No
 
 
 def _write_facts(facts: DataFrame, root: str) -> None:
-    """Replace the months present in ``facts``; they may come from the same folder."""
+    """Replace the months present in ``facts``, which may come from the same folder.
+
+    They are written aside first. Should the driver end while folders are
+    being replaced, the next load starts by replacing them again.
+    """
     dated = facts.withColumn("month", month_key(F.col("published_at")))
-    write_partitioned(dated, f"{root}/fact_article", "month", mode="dynamic")
+    write_partitioned(dated, f"{root}/pending_fact_article", "month")
+    finish_pending(facts.sparkSession, root)
+
+
+def finish_pending(spark: SparkSession, root: str) -> None:
+    """Put completely written months in their place, if there are any."""
+    pending = f"{root}/pending_fact_article"
+    if not exists(spark, f"{pending}/_SUCCESS"):
+        return
+    (
+        spark.read.schema(_FACT_PARTITIONED)
+        .parquet(pending)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("month")
+        .parquet(f"{root}/fact_article")
+    )
+    remove(spark, pending)
 
 
 def _in_months(facts: DataFrame, months: DataFrame) -> DataFrame:

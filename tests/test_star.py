@@ -104,6 +104,20 @@ def test_only_touched_months_are_rewritten(spark, root):
     assert star.read_facts(spark, root).count() == 2
 
 
+def test_a_load_that_broke_off_is_finished(spark, root, monkeypatch):
+    from newsloom.sources.files import exists, remove
+
+    sources, topics = _sources(spark, ("a", "x", 1.0)), _topics(spark, (0, "n", "c"))
+    star.load_batch(spark, root, _scored(spark, (1, "a", 0, "2025-01-01", 0.0, 0.0)), sources, topics)
+    with monkeypatch.context() as broken:
+        broken.setattr(star, "finish_pending", lambda *_: None)
+        star.load_batch(spark, root, _scored(spark, (2, "a", 0, "2025-01-09", 0.0, 0.0)), sources, topics)
+    remove(spark, f"{root}/fact_article/month=2025-01")  # lost while being replaced
+    star.load_batch(spark, root, _scored(spark, (3, "a", 0, "2025-02-01", 0.0, 0.0)), sources, topics)
+    assert [f[0] for f in _facts(spark, root)] == [1, 2, 3]
+    assert not exists(spark, f"{root}/pending_fact_article")
+
+
 def test_sql_over_the_tables(spark, root):
     scored = _scored(spark, (1, "a", 0, "2025-01-01", 0.0, 2.0), (2, "b", 0, "2025-01-02", 0.0, 4.0))
     sources = _sources(spark, ("a", "x", 0.5), ("b", "y", 0.5))
