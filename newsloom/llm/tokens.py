@@ -5,7 +5,13 @@ from __future__ import annotations
 import os
 import re
 
-_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+import numpy as np
+
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_MARKS = r"!-&(-/:-@\[-`{-~"
+_PIECE = rf"[{_LETTERS}]+(?=[\x00-@\[-`{{-~]|\Z)|[{_MARKS}]+(?=[ \n]|\Z)|[^ \n]+"
+_PIECES = re.compile(rf"[ \n]*(?:{_PIECE})|[ \n]+")
+_WORD_PIECES = re.compile(_PIECE)
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _LONG = 64
 _loaded: dict[tuple[str, bool], Encoder] = {}
@@ -15,53 +21,66 @@ class Encoder:
     """Encodes texts as the tokenizer does, piece by piece.
 
     A text is cut before each run of blanks and line breaks that follows
-    another character. Byte-level and word-level tokenizers both begin a new
-    word there, so the ids of the pieces put together are the ids of the text;
-    pieces recur and are encoded once. A text with other white space is
-    encoded whole where the tokenizer keeps white space. The cache holds at
-    most ``cache_size`` pieces and is emptied when full.
+    another character, and behind letters that an ASCII mark, digit or blank
+    follows. Byte-level and word-level tokenizers both begin a new word there,
+    so the ids of the pieces put together are the ids of the text; pieces recur
+    and are encoded once. A text with other white space is encoded whole where
+    the tokenizer keeps white space; where it drops it and lower-cases, the
+    pieces are lower-cased first, unless the text may hold a special token or a
+    letter whose lower case depends on what follows. The cache holds at most
+    ``cache_size`` pieces and is emptied when full.
     """
 
-    def __init__(self, path: str, keeps_space: bool, cache_size: int = 400_000):
+    def __init__(self, path: str, keeps_space: bool, cache_size: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.keeps_space, self.cache_size = keeps_space, cache_size
-        self.cache: dict[str, bytes] = {}
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+        self.cache = _Pieces(self)
 
-        return [
-            np.asarray(e.ids, dtype="<u4").tobytes()
-            for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        ]
+    def ids(self, text: str) -> bytes:
+        """The tokenizer's ids of a text, not cut."""
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         if len(self.cache) > self.cache_size:
             self.cache.clear()
-        cache, cut = self.cache, []
-        missing: set[str] = set()
+        find, encoded = self.cache.__getitem__, []
         for text in texts:
-            pieces = _PIECES.findall(text)
-            fresh = set(pieces) - cache.keys()
-            if fresh and self.keeps_space and any(map(_OTHER_SPACE.search, fresh)):
-                pieces = [text]
-                fresh = {text}
-            missing |= fresh
-            cut.append(pieces)
-        order = list(missing)
-        found = dict(zip(order, self._ids(order)))
-        cache.update(found)
-        encoded = [b"".join(map(cache.__getitem__, pieces)) for pieces in cut]
-        for piece in order:
-            if len(piece) > _LONG or self.keeps_space and _OTHER_SPACE.search(piece):
-                del cache[piece]  # never kept, so that each text that has it is looked at again
+            if self.keeps_space:
+                pieces = _PIECES.findall(text)
+            else:
+                plain = "<|" in text or "\u03a3" in text
+                pieces = _WORD_PIECES.findall(text if plain else text.lower())
+            try:
+                encoded.append(b"".join(map(find, pieces)))
+            except _OtherSpace:
+                encoded.append(self.ids(text))
         return encoded
 
 
+class _OtherSpace(Exception):
+    """A piece holds white space that may belong to its neighbour's run."""
+
+
+class _Pieces(dict):
+    """Pieces with their ids; a new one is encoded when it is asked for."""
+
+    def __init__(self, owner: Encoder):
+        super().__init__()
+        self.owner = owner
+
+    def __missing__(self, piece: str) -> bytes:
+        if self.owner.keeps_space and _OTHER_SPACE.search(piece):
+            raise _OtherSpace
+        ids = self.owner.ids(piece)
+        if len(piece) <= _LONG:
+            self[piece] = ids
+        return ids
+
+
 def encoder(path: str, keeps_space: bool) -> Encoder:
     """The worker's encoder for a tokenizer file."""
     key = (path, keeps_space)
