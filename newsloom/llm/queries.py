@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from newsloom.llm import embeddings, mixing, packing, pages, quality, token_files, toxicity
+from newsloom.llm import embeddings, mixing, near_dedup, packing, pages, quality, substrings, token_files, toxicity
 
 QUERIES = {
     "op1_token_files": token_files.token_output,
+    "op2_near_dedup": near_dedup.near_dedup,
     "op3_quality_rules": quality.quality_rules,
     "op4_embedding_dedup": embeddings.embedding_dedup,
     "op5_html_extraction": pages.html_extraction,
     "op6_source_mix": mixing.source_mix,
     "op7_best_fit_packing": packing.best_fit_packing,
     "op9_toxicity": toxicity.toxicity,
+    "op10_substring_dedup": substrings.substring_dedup,
 }
 
 ORACLES = {"op6_source_mix": mixing.oracle_sql()}
