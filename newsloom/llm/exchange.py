@@ -4,7 +4,7 @@ A task that reads documents packs what it asks about a hash into one row per
 bucket (``bucket``, ``kind``, ``batch``, ``payload``), so that a shuffle moves
 a few bytes an entry. The batch's own row (kind OWN) carries its document
 table; it travels with the others and meets the answers again. A batch's id is
-a hash of its documents: a task that runs again gives the same rows.
+a hash of its documents and place: a task that runs again gives the same rows.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from newsloom.llm.common import total_chars
@@ -48,8 +49,11 @@ def grouped(buckets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(own[low]), order[low:high]
 
 
-def batch_id(keys: np.ndarray, copies: np.ndarray) -> int:
-    return xxhash.xxh64_intdigest(keys.tobytes() + copies.tobytes()) - 2**63
+def batch_id(keys: np.ndarray, number: int) -> int:
+    """Names a batch by its documents, its task's part of the input and its number there."""
+    context = TaskContext.get()
+    part = context.partitionId() if context else 0
+    return xxhash.xxh64_intdigest(keys.tobytes() + f"{part}:{number}".encode()) - 2**63
 
 
 def join_bytes(*arrays: np.ndarray) -> bytes:

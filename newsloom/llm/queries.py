@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import embeddings, mixing, near_dedup, packing, pages, quality, substrings, token_files, toxicity
+from newsloom.llm import embeddings, mixing, near_dedup, packing, pages, ppm, quality, substrings, token_files, toxicity
 
 QUERIES = {
     "op1_token_files": token_files.token_output,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_html_extraction": pages.html_extraction,
     "op6_source_mix": mixing.source_mix,
     "op7_best_fit_packing": packing.best_fit_packing,
+    "op8_lm_scores": ppm.lm_scores,
     "op9_toxicity": toxicity.toxicity,
     "op10_substring_dedup": substrings.substring_dedup,
 }

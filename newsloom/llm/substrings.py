@@ -45,9 +45,9 @@ def anchor_hits(rows: DataFrame, buckets: int) -> DataFrame:
     """
 
     def ask(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(stream, "text", BATCH_BYTES):
+        for number, table in enumerate(batches(stream, "text", BATCH_BYTES)):
             keys, copies = _ids(table)
-            batch = batch_id(keys, copies)
+            batch = batch_id(keys, number)
             words = hash_words(table["text"])
             docs, sizes = words.docs, np.diff(words.first)
             windows = rolling(words.hashes, BLOCK)
@@ -141,10 +141,10 @@ def repeated_windows(hit: DataFrame, buckets: int) -> DataFrame:
     """
 
     def ask(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(stream, "text", BATCH_BYTES):
+        for number, table in enumerate(batches(stream, "text", BATCH_BYTES)):
             table = table.sort_by([("key", "ascending"), ("copy", "ascending")])
             keys, copies = _ids(table)
-            batch = batch_id(keys, copies)
+            batch = batch_id(keys, number)
             words = hash_words(table["text"])
             docs, n = words.docs, max(0, len(words.hashes) - WINDOW + 1)
             marks = np.zeros(len(words.hashes) + 1, dtype=np.int64)
