@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import spool
+from newsloom.llm.common import NO_ID, doc_key, spool, whole_text
 
 #: Documents of a leaf that are put in order in one task.
 SLICE_ROWS = 10_000
@@ -122,7 +122,7 @@ def choose(
 ) -> DataFrame:
     """The documents of the mix: a row for each document and epoch it is taken in.
 
-    ``docs`` has doc_id, the levels and ``tokens``. Returns doc_id, the levels
+    ``docs`` has doc_id, the levels and ``tokens`` (and may have ``copy``, which tells equal ids apart). Returns doc_id, the levels
     (null as it was), epoch (from 0), tokens, start (the leaf's tokens before
     it in that epoch) and taken (its tokens that count: all, or for the last
     document what is left of the budget). A leaf's budget takes whole epochs,
@@ -135,7 +135,8 @@ def choose(
     only inside a slice are documents put in order.
     """
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("\x00null")).alias(c) for c in levels]
-    rows = spool(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, "tokens").where("tokens > 0"), "mix")
+    more = ["copy"] if "copy" in docs.columns else []
+    rows = spool(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, "tokens", *more).where("tokens > 0"), "mix")
     leaves = spool(rows.groupBy(*levels).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("docs")), "leaves")
     budgets = leaf_budgets(leaves, levels, weights, percent, epochs)
     plan = spool(
@@ -159,17 +160,32 @@ def choose(
     begins = ordered.groupBy(*part).agg(F.sum("tokens").alias("in_slice")).select(
         *part, F.coalesce(F.sum("in_slice").over(whole), F.lit(0)).alias("begin")
     )
-    inside = Window.partitionBy(*part).orderBy("place", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*part).orderBy("place", "doc_id", "tokens", *more).rowsBetween(Window.unboundedPreceding, -1)
     names = [F.when(F.col(c) != "\x00null", F.col(c)).alias(c) for c in levels]
     return (
         ordered.join(begins, part)
         .where("begin < goal")
         .withColumn("start", F.col("begin") + F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
         .where("start < goal")
-        .select("doc_id", *names, "epoch", "tokens", "start", F.least("tokens", F.col("goal") - F.col("start")).alias("taken"))
+        .select("doc_id", *more, *names, "epoch", "tokens", "start", F.least("tokens", F.col("goal") - F.col("start")).alias("taken"))
     )
 
 
+def mix_documents(docs: DataFrame) -> DataFrame:
+    """The documents of the production mix, whole and with all their columns, a row for each epoch.
+
+    The document at the end of a leaf's budget stays whole. Rows with equal id
+    and text are taken together.
+    """
+    chosen = choose(
+        docs.select("doc_id", domain_of().alias("domain"), "lang", "source", n_tokens().alias("tokens"), F.xxhash64(whole_text()).alias("copy"))
+    ).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "copy", "epoch").distinct()
+    taken = {c.lower() for c in docs.columns}
+    key, copy = (next(n for n in (f"{p}{i}" for i in range(len(taken) + 1)) if n not in taken) for p in "kc")
+    chosen = chosen.select(F.col("key").alias(key), F.col("copy").alias(copy))
+    return docs.withColumns({key: doc_key(), copy: F.xxhash64(whole_text())}).join(chosen, [key, copy]).select(*docs.columns)
+
+
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The production mix of all documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -70,7 +70,7 @@ def write_tokens(
 
     (
         rows.mapInArrow(encode, "doc_id long, start long, ids array<int>")
-        .write.option("compression", "zstd")
+        .write.option("compression", "snappy")
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.create.index", "true")
         .option("orc.row.index.stride", str(INDEX_STRIDE))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -14,6 +15,16 @@ _PIECES = re.compile(rf"[ \n]*(?:{_PIECE})|[ \n]+")
 _WORD_PIECES = re.compile(_PIECE)
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _LONG = 64
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte: itself if it can be seen, else one from 256 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_BYTE_LETTERS = _byte_letters()
 _loaded: dict[tuple[str, bool], Encoder] = {}
 
 
@@ -31,11 +42,12 @@ class Encoder:
     ``cache_size`` pieces and is emptied when full.
     """
 
-    def __init__(self, path: str, keeps_space: bool, cache_size: int = 1_000_000):
+    def __init__(self, path: str, keeps_space: bool, cache_size: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.keeps_space, self.cache_size = keeps_space, cache_size
         self.cache = _Pieces(self)
 
@@ -75,7 +87,12 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         if self.owner.keeps_space and _OTHER_SPACE.search(piece):
             raise _OtherSpace
-        ids = self.owner.ids(piece)
+        word = piece[1:] if piece.startswith(" ") else piece
+        if word.isalpha() and max(word) < "\u0250":  # one word of the tokenizer's, and no accents to put together
+            letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+            ids = array("I", [t.id for t in self.owner.model.tokenize(letters)]).tobytes()
+        else:
+            ids = self.owner.ids(piece)
         if len(piece) <= _LONG:
             self[piece] = ids
         return ids
