@@ -88,7 +88,8 @@ class _Pieces(dict):
         if self.owner.keeps_space and _OTHER_SPACE.search(piece):
             raise _OtherSpace
         word = piece[1:] if piece.startswith(" ") else piece
-        if word.isalpha() and max(word) < "\u0250":  # one word of the tokenizer's, and no accents to put together
+        # one word of the tokenizer's, with no accents to put together and no case to change
+        if word.isalpha() and max(word) < "\u0250" and (self.owner.keeps_space or word.islower()):
             letters = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
             ids = array("I", [t.id for t in self.owner.model.tokenize(letters)]).tobytes()
         else:
