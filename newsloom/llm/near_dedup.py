@@ -19,7 +19,7 @@ LEAST_SIMILARITY = 0.8
 ROWS, BANDS = 4, 24
 REGISTERS = ROWS * BANDS
 #: Members of a bucket up to which all pairs of different groups are verified at once.
-SMALL_BUCKET = 24
+SMALL_BUCKET = 64
 #: Texts that are compared with one text in one task.
 CHUNK = 200
 BATCH_BYTES = 8 << 20
@@ -187,17 +187,19 @@ def verify(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
     return sides.groupBy("a", "chunk").applyInPandas(compare, "a long, b long")
 
 
-def _open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one group, with their group and the bucket's size."""
-    named = (
-        members.join(roots.select(F.col("id").alias("node"), "root"), "node", "left")
-        .withColumn("root", F.coalesce("root", "node"))
-    )
-    still = (
-        named.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high").select("bucket", "n")
-    )
-    return named.join(still, "bucket")
+def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members of buckets that still hold several groups: bucket, band, node, n, score and the group's root."""
+    roots = components(links).select(F.col("id").alias("node"), "root")
+    named = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    still = named.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return spool(named.join(still.select("bucket"), "bucket"), "open")
+
+
+def _star(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Each bucket's hub with the bucket's members of other groups."""
+    best = F.max(F.struct("score", (-F.col("node")).alias("node"), "root")).alias("hub")
+    hubs = hubs.groupBy("bucket").agg(best).select("bucket", (-F.col("hub.node")).alias("a"), F.col("hub.root").alias("root_a"))
+    return members.join(hubs, "bucket").where("node != a AND root != root_a").select("a", F.col("node").alias("b"), "bucket", "root_a")
 
 
 def _cross_pairs(members: DataFrame) -> DataFrame:
@@ -205,46 +207,76 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
     other = members.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
     return (
         members.select("bucket", F.col("node").alias("a"), "root").join(other, "bucket")
-        .where("a < b AND root != root_b").select("a", "b").distinct()
+        .where("a < b AND root != root_b").select("a", "b")
+    )
+
+
+def _finer(members: DataFrame) -> DataFrame:
+    """Buckets of texts that share two bands, the next one or the seventh after each."""
+    own = members.groupBy("node", "score", "root").agg(
+        F.map_from_entries(F.collect_list(F.struct("band", "bucket"))).alias("own")
     )
+    keys = F.concat(
+        *(
+            F.expr(f"transform(filter(map_keys(own), i -> own[{after}] IS NOT NULL), i -> xxhash64(own[i], own[{after}]))")
+            for after in (f"(i + 1) % {BANDS}", f"(i + 7) % {BANDS}")
+        )
+    )
+    return own.select("node", "score", "root", F.explode(keys).alias("bucket"))
 
 
 def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Texts with their node, the links found between nodes, and each linked node's root.
 
-    Texts with the same words are one node. Every node of a bucket is verified
-    against the bucket's least node; so a bucket that very many similar texts
-    share takes one comparison each. Then, in buckets where nodes of several
-    groups are left, all pairs of different groups are verified: at once
-    where the bucket is small, else in the finer buckets that two such
-    buckets of a node give together, which two similar texts share too (they
-    agree in ten of 24 bands on average).
+    Texts with the same words are one node. In every bucket the members are
+    verified against its hub, the member that shares most buckets with
+    others, as the origin of many copies does; so a bucket takes one
+    comparison a member, however many similar texts share it. Then, while
+    links are found: in buckets where several groups are left, all pairs of
+    different groups are verified if the bucket is small; in a larger one a
+    hub of another group than the first one's is compared with all members,
+    and so are the hubs of the finer buckets of texts that share two bands.
     """
     texts = spool(signatures(docs), "signatures")
     classes = texts.groupBy("whole", "whole2").agg(F.min(F.struct("key", "copy")).alias("first"), F.min("bands").alias("bands"))
     nodes = spool(
         classes.withColumn("node", F.monotonically_increasing_id()).select("node", "whole", "whole2", "first.*", "bands"), "nodes"
     )
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
-    hubs = members.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a")).where("n > 1").select("bucket", "a")
-    members = spool(members.join(hubs, "bucket"), "members")
-    table = spool(
-        _shingle_table(docs, nodes.join(members.select("node").distinct(), "node").select("node", "key", "copy")), "shingles"
-    )
-    star = spool(members.where("node != a").select("a", F.col("node").alias("b")).distinct(), "star")
-    links = spool(verify(star, table, least), "links")
-    rest = spool(_open_members(members.select("bucket", "node"), components(links)), "open")
-    small = _cross_pairs(rest.where(F.col("n") <= SMALL_BUCKET))
-    large = rest.where(F.col("n") > SMALL_BUCKET).groupBy("node", "root").agg(F.sort_array(F.collect_set("bucket")).alias("own"))
-    finer = large.select(
-        "node", "root",
-        F.explode(F.expr("flatten(transform(own, (x, i) -> transform(slice(own, i + 2, size(own)), y -> xxhash64(x, y))))")).alias("bucket"),
-    )
-    pairs = small.unionByName(_cross_pairs(finer)).distinct().join(star, ["a", "b"], "left_anti")
-    links = spool(links.unionByName(verify(spool(pairs, "pairs"), table, least)), "links")
+    members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = spool(members.join(shared, "bucket"), "members")
+    scores = members.groupBy("node").agg(F.sum("n").alias("score"))
+    members = spool(members.join(scores, "node"), "scored")
+    table = spool(_shingle_table(docs, nodes.join(scores, "node").select("node", "key", "copy")), "shingles")
+
+    alone = members.withColumn("root", F.col("node"))
+    tested = spool(_once(_star(alone, alone)), "star")
+    links = spool(verify(tested, table, least), "links")
+    while True:
+        rest = _open_members(members, links)
+        large = rest.where(F.col("n") > SMALL_BUCKET)
+        others = _star(large, large).select("bucket", F.col("b").alias("node")).join(large, ["bucket", "node"])
+        finer = _finer(large)
+        pairs = (
+            _cross_pairs(rest.where(F.col("n") <= SMALL_BUCKET))
+            .unionByName(_star(large, others).select("a", "b"))
+            .unionByName(_star(finer, finer).select("a", "b"))
+        )
+        pairs = spool(_once(pairs).join(tested, ["low", "high"], "left_anti"), "pairs")
+        found = spool(verify(pairs, table, least), "links")
+        if found.isEmpty():
+            break
+        links, tested = links.unionByName(found), tested.unionByName(pairs)
     return texts.join(nodes.select("node", "whole", "whole2", F.col("key").alias("class")), ["whole", "whole2"]), links, components(links)
 
 
+def _once(pairs: DataFrame) -> DataFrame:
+    """Each pair once, whichever of the two is its hub; ``low`` and ``high`` name it."""
+    ends = pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"), F.col("a").alias("hub"))
+    hubs = ends.groupBy("low", "high").agg(F.min("hub").alias("a"))
+    return hubs.select("low", "high", "a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"))
+
+
 def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """key, copy, class, group, n_links and kept for every row of ``docs``.
 
