@@ -116,7 +116,10 @@ TEXT_ENTITIES = f"""
 def _sentiment(lexicon: dict, tokens: str) -> str:
     return f"""
         WITH lexicon(token, polarity) AS (VALUES {_rows(lexicon)}),
-        tokens AS (SELECT doc_id, unnest({tokens}) AS token FROM documents),
+        tokens AS (
+            SELECT doc_id, regexp_replace(token, '{_OUTER}', '', 'g') AS token
+            FROM (SELECT doc_id, unnest({tokens}) AS token FROM documents)
+        ),
         means AS (
             SELECT doc_id, sum(CAST(polarity AS DECIMAL(9, 6))) / CAST(count(*) AS DOUBLE) AS score
             FROM tokens JOIN lexicon USING (token) GROUP BY doc_id
@@ -175,10 +178,14 @@ def _shipped(period: str, category: str) -> str:
 
 
 ORACLES = {
-    "src_csv_roundtrip": "SELECT * FROM supplier",
+    "src_csv_roundtrip": """
+        SELECT doc_id, chr(9) || text || ' "x", y' || chr(13) || chr(10) || '\\ z' || chr(13) || ' ' AS text, lang, source, n_chars
+        FROM documents
+    """,
+    "csv_single_file": "SELECT source, count(*) AS count, 1 AS files FROM documents GROUP BY source",
     "src_parquet_count": "SELECT count(*) AS n FROM documents",
     "page_ingest": f"""
-        SELECT doc_id AS id, replace(replace({_strip("substring(text, 1, 80)")}, chr(10), ' '), chr(13), ' ') AS title,
+        SELECT doc_id AS id, replace(replace({_strip("source")}, chr(10), ' '), chr(13), ' ') AS title,
                '' AS url, '' AS image_url, {_strip("source")} AS news_site,
                replace({_squeeze("text")}, '"', '''') AS summary, false AS featured,
                '[{{"n":' || n_chars || '}}]' AS launches, '[]' AS events
@@ -246,6 +253,19 @@ ORACLES = {
                CASE WHEN score > 0 THEN 'positive' WHEN score < 0 THEN 'negative' ELSE 'neutral' END AS sentiment
         FROM ({_sentiment(LEXICON, "string_split(lower(text), ' ')")})
     """,
+    "topics_kmeans_rows": "SELECT doc_id AS id, true AS valid FROM documents",
+    "cluster_labels_agree": "SELECT true AS agree, true AS few",
+    "article_cluster_rows": "SELECT source AS title, text AS summary, true AS valid FROM documents",
+    "sentiment_scorer": """
+        WITH scored AS (
+            SELECT doc_id AS id,
+                   CAST((length(text) - length(replace(text, '?', ''))) / greatest(length(text), 1) - 0.001 AS FLOAT) AS score
+            FROM documents
+        )
+        SELECT id, round(score, 5) AS sentiment_score,
+               CASE WHEN score > 0 THEN 'positive' WHEN score < 0 THEN 'negative' ELSE 'neutral' END AS sentiment
+        FROM scored
+    """,
     "entities_gazetteer": f"""
         {ENTITIES}
         SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY pos, size DESC) - 1 AS INTEGER) AS place,
@@ -331,11 +351,22 @@ ORACLES = {
         WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal < 1000)
     """,
     "daily_run": f"""
-        SELECT d.doc_id AS article_id, d.source AS source_name, CAST(ts AS DATE) AS published_at,
-               round(s.sentiment_score, 4) AS sentiment_score, e.entities
-        FROM documents d LEFT JOIN events ON event_id = d.doc_id
+        SELECT d.doc_id AS article_id, d.doc_id AS id, d.source AS source_name, true AS topic_known,
+               CAST(ts AS DATE) AS published_at, round(s.sentiment_score, 4) AS sentiment_score,
+               round(0.5 * coalesce(r.reliability_score, 0) + 0.3 * s.sentiment_score, 4) AS other_importance, e.entities
+        FROM documents d LEFT JOIN ({SHARES}) r ON r.source_name = d.source LEFT JOIN events ON event_id = d.doc_id
         JOIN ({_sentiment(POLARITY, f"string_split({CLEAN_TEXT}, ' ')")}) s ON s.id = d.doc_id
         JOIN ({TEXT_ENTITIES}) e ON e.id = d.doc_id
     """,
+    "incremental_load": f"""
+        SELECT doc_id AS id, source AS title, {CLEAN_TEXT} AS summary, CAST(ts AS DATE) AS published_at
+        FROM documents LEFT JOIN events ON event_id = doc_id
+    """,
+    "stream_first_arrivals": """
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id, event_type, time_bucket(INTERVAL '1 hour', ts)
+                ORDER BY ts, event_id) AS place FROM events
+        ) WHERE place = 1
+    """,
     "month_partition_counts": "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders FROM orders GROUP BY 1",
 }

@@ -31,10 +31,18 @@ def leading_date(text: Column) -> Column:
     return F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
 
 
-def month_start(value: Column) -> Column:
-    return F.date_trunc("month", value)
+def month_start(value: Column, dtype: DataType | None = None) -> Column:
+    """The first instant of the month; of an instant, its month in UTC."""
+    return F.date_trunc("month", _in_utc(value, dtype))
 
 
-def month_key(value: Column) -> Column:
-    """yyyy-MM, the partition key of the fact table."""
-    return F.date_format(value, "yyyy-MM")
+def month_key(value: Column, dtype: DataType | None = None) -> Column:
+    """yyyy-MM, the partition key of the fact table; of an instant, its month in UTC."""
+    return F.date_format(_in_utc(value, dtype), "yyyy-MM")
+
+
+def _in_utc(value: Column, dtype: DataType | None) -> Column:
+    """The wall clock of UTC. Days and clocks without a zone stay as they are."""
+    if isinstance(dtype, TimestampType):
+        return F.convert_timezone(None, F.lit("UTC"), value.cast("timestamp_ntz"))
+    return value

@@ -4,19 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from newsloom import schemas
 from newsloom.functions import text
 from newsloom.functions.dates import utc_date
-from newsloom.operators.joins import equi_join, small_enough
+from newsloom.operators.joins import lookup_join
 from newsloom.session import spool
 
-# Up to this share of all rows, copies are picked out before the shuffle.
-FEW_COPIES = 0.5
-
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Exactly the columns of ``schema``, cast to its types; a missing column is an error."""
@@ -84,27 +81,14 @@ def deduplicate(
     """One row per key: the one with the greatest ``latest`` columns.
 
     Remaining ties go to the smallest other columns, so every run keeps the
-    same row. The keys are counted first, without the other columns. Unless
-    most rows are copies, only those are shuffled and the others pass through.
+    same row. The keys are counted first, without the other columns; rows whose
+    key occurs once pass through, the others are put in order by key.
     """
-    rows = Observation()
-    counts = (
-        df.select(*keys)
-        .observe(rows, F.count(F.lit(1)).alias("n"))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_copies"))
-    )
-    copies = spool(counts.where("_copies > 1"), "copies")
-    copied = copies.agg(F.sum("_copies").alias("n")).first()["n"] or 0
-    if copied == 0:
-        return df
-    if copied > FEW_COPIES * rows.get["n"] or not small_enough(copies):
-        return _best_rows(df, keys, latest)
-    repeated = F.broadcast(copies.select(*keys))
-    single = equi_join(df, repeated, keys, "left_anti", null_safe=True)
-    return single.unionByName(
-        _best_rows(equi_join(df, repeated, keys, "left_semi", null_safe=True), keys, latest)
-    )
+    counts = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_copies"))
+    repeated = spool(counts.where("_copies > 1").select(*keys), "copies")
+    single = lookup_join(df, repeated, keys, "left_anti", null_safe=True)
+    copied = lookup_join(df, repeated, keys, "left_semi", null_safe=True)
+    return single.unionByName(_best_rows(copied, keys, latest))
 
 
 def _best_rows(df: DataFrame, keys: Sequence[str], latest: Sequence[str]) -> DataFrame:

@@ -14,12 +14,11 @@ from newsloom.session import spool
 # A lookup table is broadcast when its values, measured, take at most this much.
 BROADCAST_BYTES = 64 << 20
 
-# A key is hot when it holds more than this share of the rows, so there are at
-# most 1 / HOT_SHARE hot keys however large the data.
-HOT_SHARE = 1 / 1000
-
-# Number of parts a hot key is split into.
-SALTS = 64
+# A key is hot when it holds more rows than this, or than this share of all
+# rows if that is more, so there are at most 1 / HOT_SHARE hot keys however
+# large the data.
+HOT_ROWS = 1_000_000
+HOT_SHARE = 1 / 100_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -58,11 +57,16 @@ def lookup_join(
     return salted_join(left, right, on, how, null_safe, hot=hot)
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """The keys holding more than ``share`` of all rows: fewer than 1 / share rows."""
+def hot_keys(df: DataFrame, on: Sequence[str], rows: int | None = None) -> DataFrame:
+    """The keys with more than ``rows`` rows and the number of ``_parts`` each is cut into.
+
+    At most 1 / HOT_SHARE keys: the limit rises with the number of all rows.
+    """
     counts = df.groupBy(*on).agg(F.count("*").alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("total")).scalar()
-    return spool(counts.where(F.col("_rows") > total * F.lit(share)).select(*on), "hot-keys")
+    limit = F.greatest(F.lit(HOT_ROWS if rows is None else rows).cast("double"), total * F.lit(HOT_SHARE))
+    hot = counts.where(F.col("_rows") > limit)
+    return spool(hot.select(*on, F.ceil(F.col("_rows") / limit).cast("int").alias("_parts")), "hot-keys")
 
 
 def salted_join(
@@ -71,32 +75,29 @@ def salted_join(
     on: Sequence[str],
     how: str = "left",
     null_safe: bool = False,
-    salts: int = SALTS,
+    rows: int | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Shuffled equi-join in which every hot key of ``left`` is spread over ``salts`` parts.
+    """Shuffled equi-join in which every hot key of ``left`` is cut into parts of about ``rows`` rows.
 
-    The salt is a hash of the whole left row, so a task that is run again
+    The part is a hash of the whole left row, so a task that is run again
     sends every row to the same place. Right rows of a hot key are repeated
     once per part; there are few hot keys, and all other rows stay single.
-    ``hot`` gives the hot keys where they are known already.
+    ``hot`` gives the hot keys and their ``_parts`` where they are known already.
     """
-    hot = hot_keys(left, on) if hot is None else hot
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
+    hot = F.broadcast(hot_keys(left, on, rows) if hot is None else hot)
+    parts = F.coalesce(F.col("_parts"), F.lit(1))
     others = [F.col(c) for c in left.columns if c not in on]
     spreader = F.xxhash64(*others) if others else F.spark_partition_id()
-    part = F.pmod(spreader, F.lit(salts)).cast("int")
     spread = (
         equi_join(left, hot, on, "left", null_safe=True)
-        .withColumn("_salt", F.when(is_hot, part).otherwise(0))
-        .drop("_hot")
+        .withColumn("_salt", F.pmod(spreader, parts).cast("int"))
+        .drop("_parts")
     )
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = (
         equi_join(right, hot, on, "left", null_safe=True)
-        .withColumn("_salt", F.explode(copies))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("_parts")
     )
     return equi_join(spread, repeated, [*on, "_salt"], how, null_safe).drop("_salt")
 

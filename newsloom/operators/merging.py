@@ -66,7 +66,7 @@ def upsert_sources(table: DataFrame, batch: DataFrame) -> DataFrame:
         ["reliability_score"],
     )
     new = ranked(
-        incoming.join(table.select("name"), "name", "left_anti"), [("name", "asc")], alias="_place"
+        incoming.join(table.select("name"), "name", "left_anti"), [("name", "asc")], alias="_place", aggregated=True
     )
     last = table.agg(F.coalesce(F.max("source_id"), F.lit(0))).scalar()
     numbered = new.select(

@@ -7,32 +7,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from newsloom.operators.joins import lookup_join
+from newsloom.operators.joins import equi_join, lookup_join
 from newsloom.session import spool
 
-# One task sorts a group of at most this many rows by itself.
-ONE_TASK_ROWS = 1_000_000
-
 
 def ranked(
     df: DataFrame,
     order_by: Sequence[tuple[str, str]],
     partition_by: Sequence[str] = (),
     alias: str = "rank",
-    one_task_rows: int | None = None,
+    aggregated: bool = False,
 ) -> DataFrame:
     """Add RANK over ``order_by``, pairs of column and direction such as ("n", "desc").
 
     A direction is any sort method of a column: asc, desc, desc_nulls_first...
-    Where every group is known to be small this is a plain window. Otherwise
-    the distinct values are cut into ranges, counted per range, and each value
-    is placed after the ranges before its own.
+    The distinct values are cut into ranges, counted per range, and each value
+    is placed after the ranges before its own, so a group may have any size.
+    ``aggregated`` says that ``df`` has a row per name or the like, few enough
+    for one task to put a group in order; then it is a plain window.
     """
-    limit = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
-    df = spool(df, "to-rank")
-    if _largest_group(df, partition_by) <= limit:
+    if aggregated:
         window = Window.partitionBy(*partition_by).orderBy(*_sort(order_by))
         return df.withColumn(alias, F.rank().over(window).cast("long"))
+    df = spool(df, "to-rank")
     keys = [*partition_by, *[name for name, _ in order_by]]
     values = df.groupBy(*keys).agg(F.count("*").alias("_ties"))
     places = spool(
@@ -49,31 +46,36 @@ def page(
     order_by: Sequence[tuple[str, str]],
     number: int = 1,
     size: int = 10,
-    one_task_rows: int | None = None,
 ) -> DataFrame:
     """Rows of page ``number``, counted from 1, in the order of a unique key.
 
-    Pages near the start are a top-k. For one far behind, the rows are cut
-    into ranges and only those on the page are kept.
+    Only the key's columns are cut into ranges and counted; the keys of the
+    page, ``size`` rows, are then taken from the ranges it lies in, and the
+    rows with these keys are read by the first column's bounds.
     """
-    limit = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
     first = (number - 1) * size
-    if first + size <= limit:
-        return df.orderBy(*_sort(order_by)).offset(first).limit(size)
-    placed = _rows_before(df.withColumn("_one", F.lit(1)), _sort(order_by), (), "_one")
-    on_page = (F.col("_before") >= first) & (F.col("_before") < first + size)
-    return placed.where(on_page).select(*df.columns).orderBy(*_sort(order_by))
+    names = [name for name, _ in order_by]
+    cut = spool(
+        df.select(*names).repartitionByRange(*_sort(order_by)).withColumn("_range", F.spark_partition_id()), "ranges"
+    )
+    before, wanted, skipped = 0, [], 0
+    for row in sorted(cut.groupBy("_range").count().collect()):  # a row for each range
+        if before + row["count"] > first and before < first + size:
+            skipped = before if not wanted else skipped
+            wanted.append(row["_range"])
+        before += row["count"]
+    keys = cut.where(F.col("_range").isin(wanted)).drop("_range").orderBy(*_sort(order_by))
+    keys = spool(keys.offset(first - skipped).limit(size), "page")
+    low, high, nulls = keys.agg(F.min(names[0]), F.max(names[0]), F.count_if(F.col(names[0]).isNull())).first()
+    inside = F.col(names[0]).between(low, high) if low is not None else F.lit(False)
+    rows = df.where(inside | F.col(names[0]).isNull() if nulls else inside)
+    return equi_join(rows, F.broadcast(keys), names, "left_semi", null_safe=True).orderBy(*_sort(order_by))
 
 
 def _sort(order_by: Sequence[tuple[str, str]]) -> list[Column]:
     return [getattr(F.col(name), direction)() for name, direction in order_by]
 
 
-def _largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
-    sizes = df.groupBy(*partition_by).agg(F.count("*").alias("_rows"))
-    return sizes.agg(F.max("_rows").alias("largest")).first()["largest"] or 0
-
-
 def _rows_before(
     df: DataFrame, order: list[Column], partition_by: Sequence[str], weight: str
 ) -> DataFrame:

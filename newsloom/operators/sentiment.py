@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from newsloom.functions.scoring import sentiment_label
 from newsloom.functions.text import words
+from newsloom.operators.entities import OUTER
 from newsloom.operators.joins import lookup_join
 
-# A small English lexicon, polarity from -1 to 1. Give a larger one as a frame.
+# A small English lexicon of our own, polarity from -1 to 1, graded by hand for
+# news texts. Give a larger one as a frame.
 POLARITY = {
     "amazing": 0.6, "bad": -0.7, "best": 1.0, "better": 0.5, "boring": -1.0,
     "broken": -0.4, "clean": 0.4, "crash": -0.6, "danger": -0.5, "dangerous": -0.6,
@@ -43,7 +45,7 @@ def sentiment(
     """Score and label of each document: columns id, sentiment_score, sentiment.
 
     Without ``scorer`` the score is the mean polarity of the words in the
-    lexicon, 0 when there is none. Words outside it are dropped before the
+    lexicon, 0 when there is none. Marks at a word's ends do not count. Words outside it are dropped before the
     shuffle, which carries one sum per document and task. ``scorer`` is a
     pandas UDF from text to float that takes the place of the lexicon.
     """
@@ -55,6 +57,7 @@ def sentiment(
     units = F.round(F.min("polarity") * _UNIT).cast("long")
     unique = lexicon.groupBy("token").agg(units.alias("units"))
     tokens = df.select(F.col(key).alias("id"), F.explode(words(F.col(summary))).alias("token"))
+    tokens = tokens.withColumn("token", F.btrim("token", F.lit(OUTER)))
     hits = lookup_join(tokens, unique, ["token"], "inner").select("id", "units")
     every = df.select(F.col(key).alias("id"), F.lit(None).cast("long").alias("units"))
     sums = every.unionByName(hits).groupBy("id").agg(F.sum("units").alias("sum"), F.count("units").alias("n"))

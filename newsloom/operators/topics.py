@@ -18,7 +18,7 @@ BUCKETS = 1000
 
 # With a comma and a space each word takes three characters or more (only one
 # word can be empty), so this many words always fill a label.
-LABEL_WORDS = 100
+LABEL_WORDS = -(-schemas.LABEL_CHARS // 3) + 1
 
 
 def fit_topics(
@@ -32,8 +32,10 @@ def fit_topics(
     """Fit the text-to-cluster pipeline on all rows of ``df``; null text counts as empty.
 
     The term counts are written once, so that neither the term weights nor
-    the rounds of k-means read the text again. The driver holds the k centres
-    and one weight per bucket.
+    the rounds of k-means read the text again; they are put in an order that
+    the texts fix, so that the same documents always give the same clusters. The driver holds the k centres
+    and one weight per bucket. With fewer distinct documents than ``k`` there
+    are as many clusters as distinct documents at most.
     """
     counting = PipelineModel(
         stages=[
@@ -42,9 +44,12 @@ def fit_topics(
             HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=buckets),
         ]
     )
-    counts = spool(counting.transform(df.select(_filled(summary))).select("raw_features"), "terms")
+    place = F.xxhash64(summary).alias("place")
+    counted = counting.transform(df.select(_filled(summary))).select("raw_features", place)
+    counts = spool(counted.repartition("place").sortWithinPartitions("place"), "terms").drop("place")
     weighting = IDF(inputCol="raw_features", outputCol="features").fit(counts)
-    kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=output)
+    # The block solver fails where it finds fewer starting points than k.
+    kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=output, solver="row")
     centres = kmeans.fit(weighting.transform(counts).select("features"))
     return PipelineModel(stages=[*counting.stages, weighting, centres])
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from newsloom.functions import text
 from newsloom.functions.stopwords import ENGLISH
-from newsloom.operators.joins import HOT_SHARE, lookup_join
+from newsloom.operators.joins import lookup_join
 from newsloom.session import spool
 
 
@@ -45,30 +45,30 @@ def tfidf_terms(
 ) -> DataFrame:
     """Exact weight of each term in each document: tf * ln((N + 1) / (df + 1)).
 
-    The documents per term are counted in a pass of their own that shuffles
-    one row per term and task; the terms of the documents are then looked up.
+    ``key`` is unique. A document's terms are counted in its row: its words
+    are sorted and runs of equal words measured. The counts are written once;
+    what is shuffled is one row per term and task, for the documents per term.
     """
-    distinct = df.select(F.array_distinct(text.words(F.col(summary))).alias("terms"))
-    doc_counts = (
-        distinct.select(F.explode("terms").alias("term"))
-        .where(text.not_stop_word(F.col("term"), stop_words))
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
+    listed = F.array_sort(F.filter(text.words(F.col(summary)), lambda w: text.not_stop_word(w, stop_words)))
+    places = F.expr("filter(sequence(0, size(listed) - 1), i -> i = 0 OR listed[i] <> listed[i - 1])")
+    runs = F.expr(
+        "transform(starts, (s, j) -> struct(listed[s] AS term, coalesce(get(starts, j + 1), size(listed)) - s AS tf))"
+    )
+    terms = spool(
+        df.select(key, listed.alias("listed"))
+        .where(F.size("listed") > 0)
+        .withColumn("starts", places)
+        .select(key, F.explode(runs).alias("run"))
+        .select(key, "run.term", F.col("run.tf").cast("long").alias("tf")),
+        "terms",
     )
     total = df.agg(F.count("*").alias("n")).scalar()
     weights = spool(
-        doc_counts.select(
-            "term", "df", F.log((total + F.lit(1)) / (F.col("df") + F.lit(1))).alias("idf")
-        ),
+        terms.groupBy("term")
+        .agg(F.count("*").alias("df"))
+        .select("term", "df", F.log((total + F.lit(1)) / (F.col("df") + F.lit(1))).alias("idf")),
         "idf",
     )
-    terms = (
-        explode_words(df, summary, [key], stop_words, "term")
-        .groupBy(key, "term")
-        .agg(F.count("*").alias("tf"))
-    )
-    share = weights.agg(F.sum("df") * F.lit(HOT_SHARE)).scalar()
-    hot = weights.where(F.col("df") > share).select("term")
-    return lookup_join(terms, weights, ["term"], "inner", hot=hot).select(
+    return lookup_join(terms, weights, ["term"], "inner").select(
         key, "term", "tf", "df", (F.col("tf") * F.col("idf")).alias("tfidf")
     )

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsloom import schemas
@@ -18,10 +19,14 @@ from newsloom.operators.profiles import doc_sources, publication_trend, site_cou
 from newsloom.operators.sentiment import sentiment
 from newsloom.operators.topics import CLUSTERS, classify_topics
 from newsloom.operators.words import word_counts
+from newsloom.session import scratch_run, spool
 from newsloom.sources import readers, star, writers
 
 DOC_TYPES = ("articles", "reports", "blogs")
 
+# Clusters that a date can have where each date has topics of its own.
+TOPICS_OF_A_DATE = 1000
+
 
 def extract_pages(
     spark: SparkSession, pages: str, out: str, since: str | None = None, missing_id: int | None = None
@@ -35,11 +40,24 @@ def clean_docs(batches: dict[str, DataFrame], keys=("id",)) -> tuple[DataFrame,
     """All document types cleaned and deduplicated, and the rows refused for want of an id.
 
     With ``keys`` = ("doc_type", "id") equal ids of different types stay apart.
+    The batch is read once: what follows reads the written rows.
     """
-    known, refused = split_valid(union_doc_types(batches), F.col("id").isNotNull())
+    delivered = spool(union_doc_types(batches), "delivered")
+    known, refused = split_valid(delivered, F.col("id").isNotNull())
     return deduplicate(clean(known), keys), refused
 
 
+def typed_id(doc_type: str = "doc_type", key: str = "id") -> Column:
+    """One id for a document type and an id in it: the id times the number of types, and the type's place."""
+    place = F.array_position(F.array(*(F.lit(t) for t in DOC_TYPES)), F.col(doc_type)) - 1
+    return (F.col(key) * len(DOC_TYPES) + place).cast("long")
+
+
+def dated_topic(date: str, topic: str = "topic_id") -> Column:
+    """One id for a date and a cluster of it: days since 1970 times 1000, and the cluster."""
+    return (F.unix_date(F.lit(date).cast("date")) * TOPICS_OF_A_DATE + F.col(topic)).cast("int")
+
+
 def run_daily(
     spark: SparkSession,
     date: str,
@@ -51,21 +69,27 @@ def run_daily(
     gazetteer: DataFrame | None = None,
     scorer=None,
     tagger=None,
-    multi_line: bool = False,
+    multi_line: bool = True,
     csv: bool = False,
+    keys: tuple[str, ...] = ("id",),
+    topics_by_date: bool = False,
 ) -> dict[str, DataFrame] | None:
     """Run one date: read ``inbox``/``date``, write ``out``/``date``, load ``warehouse``.
 
     Gives the written tables by name, or None when nothing was delivered.
     Running a date again replaces its folders and leaves the warehouse as it is.
+    With ``topics_by_date`` a topic's id holds the date, so that each date keeps
+    the labels of its own clusters; without, a cluster's number is the topic
+    and keeps its first label. For ``keys`` see run_batch.
     """
     paths = {t: f"{inbox}/{date}/{t}.csv" for t in DOC_TYPES}
     batches = readers.read_doc_types(spark, paths, multi_line)
     if not batches:
         return None
     return run_batch(
-        spark, batches, f"{out}/{date}", warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv
-    )
+        spark, batches, f"{out}/{date}", warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv, keys,
+        date if topics_by_date else None,
+    )
 
 
 def run_batch(
@@ -79,21 +103,42 @@ def run_batch(
     scorer=None,
     tagger=None,
     csv: bool = False,
+    keys: tuple[str, ...] = ("id",),
+    topics_of: str | None = None,
 ) -> dict[str, DataFrame]:
     """One batch of raw frames by document type. Every stage reads the written clean set.
 
-    Tables are Parquet; ``csv`` writes each as CSV too, the two small ones as
-    a single file.
+    Tables are Parquet; ``csv`` writes each as CSV too, sources and topics as
+    a single file. With ``keys`` = ("doc_type", "id") a document's id becomes
+    typed_id, so that equal ids of two types are two documents to the end.
+    With ``topics_of``, a date, a topic's id becomes dated_topic. What is
+    written along the way is removed at the end.
     """
-    cleaned, refused = clean_docs(batches)
+    with scratch_run(spark):
+        return _run_batch(
+            spark, batches, folder, warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv, keys, topics_of
+        )
+
+
+def _run_batch(
+    spark, batches, folder, warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv, keys, topics_of
+) -> dict[str, DataFrame]:
+    cleaned, refused = clean_docs(batches, keys)
+    if "doc_type" in keys:
+        cleaned = cleaned.withColumn("id", typed_id())
     cleaned = conform(cleaned, schemas.CLEAN)
     writers.write_partitioned(cleaned, f"{folder}/clean", "published_at")
     writers.write_parquet(refused, f"{folder}/refused_documents")
-    docs = readers.spread(spark.read.schema(schemas.CLEAN).parquet(f"{folder}/clean"))
+    docs = spark.read.schema(schemas.CLEAN).parquet(f"{folder}/clean")
 
     def topics() -> dict[str, DataFrame]:
         clustered, labels = classify_topics(docs, clusters)
-        return {"doc_topics": clustered.select("id", "topic_id"), "topics": labels}
+        found = {"doc_topics": clustered.select("id", "topic_id"), "topics": labels}
+        if topics_of is None:
+            return found
+        if clusters > TOPICS_OF_A_DATE:
+            raise ValueError(f"a date has {TOPICS_OF_A_DATE} topics at most")
+        return {name: df.withColumn("topic_id", dated_topic(topics_of)) for name, df in found.items()}
 
     tables = _written_together(
         spark,
@@ -114,8 +159,7 @@ def run_batch(
     tables["clean"] = docs
     if csv:
         for name, df in tables.items():
-            write = writers.write_small_csv if name in ("sources", "topics") else writers.write_csv
-            write(df, f"{folder}/{name}_csv")
+            writers.write_csv(df, f"{folder}/{name}_csv", 1 if name in ("sources", "topics") else None)
     if warehouse is not None:
         bad = star.load_batch(spark, warehouse, tables["scored"], tables["sources"], tables["topics"])
         for name, df in bad.items():
@@ -135,7 +179,9 @@ def _written_together(
         return {name: _stage(spark, df, f"{folder}/{name}") for name, df in analysis().items()}
 
     with ThreadPoolExecutor(len(analyses)) as pool:
-        started = [pool.submit(inheritable_thread_target(spark)(run), analysis) for analysis in analyses]
+        started = [
+            pool.submit(copy_context().run, inheritable_thread_target(spark)(run), analysis) for analysis in analyses
+        ]
         return {name: df for task in started for name, df in task.result().items()}
 
 

@@ -22,14 +22,15 @@ def monthly_trends(
     Topics that share a name are counted together.
     """
     topics = topics.select(key, F.col(name).alias("topic"))
-    dated = facts.select(key, month_start(F.col(published)).alias("month"), F.lit(1).alias("_n"))
+    dated = facts.select(key, month_start(F.col(published), facts.schema[published].dataType).alias("month"), F.lit(1).alias("_n"))
     if small_enough(topics):
         named = dated.join(F.broadcast(topics), key)
     else:
         # One row per month and topic is left to be shuffled.
         named = dated.groupBy(key, "month").agg(F.sum("_n").alias("_n")).join(topics, key)
     counts = named.groupBy("month", "topic").agg(F.sum("_n").alias("article_count"))
-    return ranked(counts, [("article_count", "desc")], ["month"]).orderBy(F.desc("month"), "rank")
+    # one row per month and name is left
+    return ranked(counts, [("article_count", "desc")], ["month"], aggregated=True).orderBy(F.desc("month"), "rank")
 
 
 def influential_sources(
@@ -58,4 +59,4 @@ def influential_sources(
         )
     )
     order = [("total_articles", "desc"), ("avg_importance", "desc_nulls_first")]
-    return ranked(totals, order).orderBy("rank")
+    return ranked(totals, order, aggregated=True).orderBy("rank")

@@ -11,33 +11,38 @@ from pyspark.sql.types import StructType
 from newsloom import schemas
 from newsloom.sources.files import existing
 
+# How this package reads CSV; a stream takes the same.
+CSV_OPTIONS = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "maxCharsPerColumn": -1,
+}
+
 
 def read_csv(
     spark: SparkSession,
     paths: str | Sequence[str],
     schema: StructType = schemas.RAW,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """CSV with a header and doubled quotes; a folder is read whole. Empty text reads as null.
 
-    Files without line breaks inside fields, as this package writes them, are
-    split among tasks. ``multi_line`` reads such breaks, one task per file.
+    Fields may hold line breaks, so a file is read by one task; this package
+    writes a folder of many files. Without ``multi_line`` a file is split among
+    tasks, and a line break inside a field ends the record.
     """
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv(paths)
-    )
+    return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(paths)
 
 
 def read_docs(
     spark: SparkSession,
     paths: Iterable[str],
     schema: StructType = schemas.RAW,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All of ``paths`` that exist; an empty frame when none does."""
     present = existing(spark, paths)
@@ -47,7 +52,7 @@ def read_docs(
 
 
 def read_doc_types(
-    spark: SparkSession, paths: Mapping[str, str], multi_line: bool = False
+    spark: SparkSession, paths: Mapping[str, str], multi_line: bool = True
 ) -> dict[str, DataFrame]:
     """One frame per document type; types without a file are left out."""
     present = set(existing(spark, paths.values()))
@@ -62,16 +67,6 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.parquet(*([path] if isinstance(path, str) else path))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of a few files dealt out to all cores, ahead of work that is heavy per row.
-
-    A scan with as many splits as there are cores stays as it is, so large
-    inputs are not shuffled. For plain scans only: it asks for the splits.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_rows(
     spark: SparkSession, rows: Sequence[Mapping], schema: StructType = schemas.RAW
 ) -> DataFrame:

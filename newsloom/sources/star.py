@@ -1,8 +1,12 @@
 """The star schema as Parquet folders.
 
-Dimensions are small: every load writes a new numbered copy, and readers take
-the last finished one. Facts are one folder per month: a load rewrites only
-the months it touches. One load runs at a time.
+Every load writes what it changes once, into new folders, and then publishes
+it: the dimensions and the list of fact months are small numbered tables, and
+readers take the last finished one. Facts are one folder per month; a load
+writes the months it touches and the list then names these. A load that breaks
+off leaves folders that nothing names. What is no longer named is removed
+after publishing, so a frame read before a load has to be read again. One load
+runs at a time.
 """
 
 from __future__ import annotations
@@ -23,10 +27,9 @@ from newsloom.session import spool
 from newsloom.sources.files import children, exists, remove
 from newsloom.sources.writers import write_partitioned
 
-# Up to this many months of a batch are named one by one to the fact scan.
-NAMED_MONTHS = 1000
-
 _FACT_PARTITIONED = StructType(list(schemas.FACT.fields)).add("month", "string")
+_FACT_FOLDERS = StructType(list(_FACT_PARTITIONED.fields)).add("version", "integer")
+_MONTHS = "month string, version int"
 
 
 def read_sources(spark: SparkSession, root: str) -> DataFrame:
@@ -39,10 +42,12 @@ def read_topics(spark: SparkSession, root: str) -> DataFrame:
 
 def read_facts(spark: SparkSession, root: str) -> DataFrame:
     """All facts with their ``month``; a filter on it prunes folders."""
-    path = f"{root}/fact_article"
-    if not exists(spark, path):
+    listed = _listed_months(spark, root)
+    if not listed:
         return spark.createDataFrame([], _FACT_PARTITIONED)
-    return spark.read.schema(_FACT_PARTITIONED).parquet(path)
+    base = f"{root}/fact_article"
+    paths = [f"{base}/version={version}/month={month}" for month, version in sorted(listed.items())]
+    return spark.read.schema(_FACT_FOLDERS).option("basePath", base).parquet(*paths).drop("version")
 
 
 def register_views(spark: SparkSession, root: str) -> None:
@@ -55,16 +60,17 @@ def register_views(spark: SparkSession, root: str) -> None:
 def load_batch(
     spark: SparkSession, root: str, scored: DataFrame, sources: DataFrame, topics: DataFrame
 ) -> dict[str, DataFrame]:
-    """Upsert one scored batch; gives the refused rows as frames "sources" and "facts".
+    """Upsert one scored batch; gives the refused rows as frames "sources", "topics" and "facts".
 
     Dimensions are written first, then facts, and loading the same batch again
     changes nothing. A source needs a name, a host and a score in [0, 1]; a
-    fact needs a key, a known source and a known topic.
+    topic an id, a name and a category; a fact a key, a known source and a
+    known topic.
     """
-    finish_pending(spark, root)
     good_sources, bad_sources = split_valid(sources, _source_rule())
+    good_topics, bad_topics = split_valid(topics, _all_set(schemas.DIM_TOPIC.fieldNames()))
     _write_copy(upsert_sources(read_sources(spark, root), good_sources), f"{root}/dim_source")
-    _write_copy(upsert_topics(read_topics(spark, root), topics), f"{root}/dim_topic")
+    _write_copy(upsert_topics(read_topics(spark, root), good_topics), f"{root}/dim_topic")
 
     facts = spool(
         resolve(scored, read_sources(spark, root), read_topics(spark, root)).withColumn(
@@ -73,11 +79,11 @@ def load_batch(
         "facts",
     )
     good, bad = split_valid(facts, _fact_rule())
-    present = _in_months(read_facts(spark, root), good.select("month").distinct())
+    touched = _months(good)
     columns = schemas.FACT.fieldNames()
-    merged = upsert_facts(present.select(*columns), good.select(*columns))
-    _write_facts(merged, root)
-    return {"sources": bad_sources, "facts": bad.drop("month", "_topic_known")}
+    present = read_facts(spark, root).where(F.col("month").isin(touched))
+    _write_facts(upsert_facts(present.select(*columns), good.select(*columns)), root, touched)
+    return {"sources": bad_sources, "topics": bad_topics, "facts": bad.drop("month", "_topic_known")}
 
 
 def resolve(scored: DataFrame, dim_source: DataFrame, dim_topic: DataFrame) -> DataFrame:
@@ -106,52 +112,45 @@ def delete_topics(spark: SparkSession, root: str, topic_ids: DataFrame) -> None:
 
 
 def _drop_facts(spark: SparkSession, root: str, gone: DataFrame, key: str) -> None:
-    finish_pending(spark, root)
-    path = f"{root}/fact_article"
     facts = read_facts(spark, root)
-    hit = spool(lookup_join(facts, gone.select(key), [key], "left_semi").select("month").distinct(), "hit")
-    kept = cascade_delete(_in_months(facts, hit), gone, key)
-    left = spool(kept.select("month").distinct(), "kept-months")
-    emptied = hit.join(left, "month", "left_anti").collect()  # at most one row per folder
-    _write_facts(kept, root)
-    # A dynamic overwrite leaves months alone that have no rows any more.
-    for row in emptied:
-        remove(spark, f"{path}/month={row['month']}")
+    touched = _months(lookup_join(facts, gone.select(key), [key], "left_semi"))
+    if touched:
+        _write_facts(cascade_delete(facts.where(F.col("month").isin(touched)), gone, key), root, touched)
 
 
-def _write_facts(facts: DataFrame, root: str) -> None:
-    """Replace the months present in ``facts``, which may come from the same folder.
+def _months(facts: DataFrame) -> list[str]:
+    """The months of ``facts``: as many as there are folders at most."""
+    return sorted(row["month"] for row in facts.select("month").distinct().collect())
 
-    They are written aside first. Should the driver end while folders are
-    being replaced, the next load starts by replacing them again.
-    """
-    dated = facts.withColumn("month", month_key(F.col("published_at")))
-    write_partitioned(dated, f"{root}/pending_fact_article", "month")
-    finish_pending(facts.sparkSession, root)
-
-
-def finish_pending(spark: SparkSession, root: str) -> None:
-    """Put completely written months in their place, if there are any."""
-    pending = f"{root}/pending_fact_article"
-    if not exists(spark, f"{pending}/_SUCCESS"):
-        return
-    (
-        spark.read.schema(_FACT_PARTITIONED)
-        .parquet(pending)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(f"{root}/fact_article")
-    )
-    remove(spark, pending)
+
+def _listed_months(spark: SparkSession, root: str) -> dict[str, int]:
+    """The version in which each month is to be read."""
+    rows = _read_copy(spark, f"{root}/fact_months", _MONTHS).collect()  # a row for each folder
+    return {row["month"]: row["version"] for row in rows}
 
 
-def _in_months(facts: DataFrame, months: DataFrame) -> DataFrame:
-    """Facts of the listed months; a usual number of months is named to the scan."""
-    named = [row["month"] for row in months.limit(NAMED_MONTHS + 1).collect()]
-    if len(named) > NAMED_MONTHS:
-        return lookup_join(facts, spool(months, "months"), ["month"], "left_semi")
-    return facts.where(F.col("month").isin(named))
+def _write_facts(facts: DataFrame, root: str, touched: list[str]) -> None:
+    """Write all facts of the ``touched`` months, publish them, and remove what they replace."""
+    spark, base = facts.sparkSession, f"{root}/fact_article"
+    version = max((int(c.removeprefix("version=")) for c in children(spark, base)), default=0) + 1
+    dated = facts.select(*schemas.FACT.fieldNames()).withColumn("month", month_key(F.col("published_at")))
+    write_partitioned(dated, f"{base}/version={version}", "month")
+    written = [c.removeprefix("month=") for c in children(spark, f"{base}/version={version}") if c.startswith("month=")]
+    listed = {m: v for m, v in _listed_months(spark, root).items() if m not in touched}
+    listed |= dict.fromkeys(written, version)
+    _write_copy(spark.createDataFrame(sorted(listed.items()), _MONTHS).coalesce(1), f"{root}/fact_months")
+    _remove_unlisted(spark, base, listed)
+
+
+def _remove_unlisted(spark: SparkSession, base: str, listed: dict[str, int]) -> None:
+    for folder in children(spark, base):
+        version = int(folder.removeprefix("version="))
+        if version not in listed.values():
+            remove(spark, f"{base}/{folder}")
+            continue
+        for month in children(spark, f"{base}/{folder}"):
+            if month.startswith("month=") and listed.get(month.removeprefix("month=")) != version:
+                remove(spark, f"{base}/{folder}/{month}")
 
 
 def _source_rule():
@@ -163,11 +162,14 @@ def _source_rule():
 
 
 def _fact_rule():
-    needed = ("article_id", "published_at", "source_id", "topic_id")
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed]) & F.col("_topic_known")
+    return _all_set(("article_id", "published_at", "source_id", "topic_id")) & F.col("_topic_known")
+
+
+def _all_set(columns):
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
 
 
-def _read_copy(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _read_copy(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     copies = _copies(spark, path)
     if not copies:
         return spark.createDataFrame([], schema)
@@ -178,6 +180,8 @@ def _write_copy(df: DataFrame, path: str) -> None:
     copies = _copies(df.sparkSession, path)
     number = int(copies[-1].removeprefix("copy=")) + 1 if copies else 1
     df.write.mode("overwrite").parquet(f"{path}/copy={number:08d}")
+    for old in copies:
+        remove(df.sparkSession, f"{path}/{old}")
 
 
 def _copies(spark: SparkSession, path: str) -> list[str]:

@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from newsloom.operators.joins import small_enough
-from newsloom.session import spool
-
 
 def write_parquet(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").parquet(path)
@@ -30,16 +27,13 @@ def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "static") -
     return path
 
 
-def write_csv(df: DataFrame, path: str) -> str:
-    """CSV with a header in as many parts as ``df`` has."""
-    _csv(df.write, path)
-    return path
-
+def write_csv(df: DataFrame, path: str, parts: int | None = None) -> str:
+    """CSV with a header, in as many parts as ``df`` has or in ``parts`` as the caller says.
 
-def write_small_csv(df: DataFrame, path: str) -> str:
-    """CSV with a header in a single part, as long as the result is small enough for that."""
-    result = spool(df, "csv")
-    write_csv(result.coalesce(1) if small_enough(result) else result, path)
+    Values come back as they are: blanks at their ends, quotes, commas and
+    line breaks of every kind.
+    """
+    _csv((df if parts is None else df.repartition(parts)).write, path)
     return path
 
 
@@ -51,4 +45,14 @@ def write_raw(df: DataFrame, path: str) -> str:
 
 
 def _csv(writer, path: str) -> None:
-    writer.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    (
+        writer.mode("overwrite")
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("quoteAll", True)
+        .option("lineSep", "\n")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

@@ -1,34 +1,28 @@
-"""Incremental runs over delivered folders."""
+"""Incremental runs over delivered folders, and streams whose result does not depend on batches."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from newsloom import schemas
-from newsloom.plans.daily import DOC_TYPES, run_batch
-from newsloom.session import scratch_path
-from newsloom.sources import writers
-from newsloom.sources.files import children
+from newsloom.plans.daily import DOC_TYPES, run_daily
+from newsloom.sources.readers import CSV_OPTIONS
+
+_DATE = r"^\d{4}-\d{2}-\d{2}$"
 
 
 def read_inbox(spark: SparkSession, inbox: str, doc_type: str) -> DataFrame:
-    """New files ``inbox``/<date>/<doc_type>.csv as a stream; the date is taken from the folder."""
+    """New files ``inbox``/<folder>/<doc_type>.csv as a stream of their records, with the folder's name."""
     stream = (
         spark.readStream.schema(schemas.RAW)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("recursiveFileLookup", True)
+        .options(**CSV_OPTIONS, multiLine=True, recursiveFileLookup=True)
         .csv(f"{inbox}/*/{doc_type}.csv")
     )
     path = F.col("_metadata.file_path")
-    return stream.withColumn("batch_date", F.regexp_extract(path, r"/(\d{4}-\d{2}-\d{2})/", 1)).withColumn(
-        "doc_type", F.lit(doc_type)
-    )
+    folder = F.regexp_extract(path, rf"/([^/]+)/{doc_type}\.csv(/|$)", 1)
+    return stream.select(F.url_decode(folder).alias("folder"), path.alias("file"))
 
 
 def incremental_load(
@@ -39,20 +33,27 @@ def incremental_load(
     checkpoint: str,
     **options,
 ) -> StreamingQuery:
-    """Load every date that has arrived since the last run, oldest first, and stop.
+    """Run every date that has new files since the last run, oldest first, and stop.
 
-    Scores and topics are defined per date, so a date must arrive complete;
-    documents repeated on another date are settled by the fact upsert. A run
-    that breaks off is repeated for the same files and gives the same result.
+    Scores and topics are defined per date, so a date with a new file is run
+    again from its whole folder: a late file gives the tables of ``out`` that
+    one complete delivery gives. Files of a folder that is no date are listed
+    in ``out``/refused_files. A run that breaks off is repeated for the same
+    files and gives the same result.
     """
     stream = read_inbox(spark, inbox, DOC_TYPES[0])
     for doc_type in DOC_TYPES[1:]:
         stream = stream.unionByName(read_inbox(spark, inbox, doc_type))
 
-    def load(batch: DataFrame, _: int) -> None:
-        by_date(batch, lambda date, batches: run_batch(
-            batch.sparkSession, batches, f"{out}/{date}", warehouse, **options
-        ))
+    def load(batch: DataFrame, number: int) -> None:
+        session = batch.sparkSession
+        files = batch.distinct()
+        is_date = F.col("folder").rlike(_DATE) & F.col("folder").try_cast("date").isNotNull()
+        refused = files.where(~is_date)
+        if not refused.isEmpty():
+            refused.write.mode("overwrite").parquet(f"{out}/refused_files/batch={number}")
+        for row in files.where(is_date).select("folder").distinct().orderBy("folder").collect():  # a row for each date
+            run_daily(session, row["folder"], inbox, out, warehouse, **options)
 
     return (
         stream.writeStream.foreachBatch(load)
@@ -62,22 +63,32 @@ def incremental_load(
     )
 
 
-def by_date(batch: DataFrame, run: Callable[[str, dict[str, DataFrame]], object]) -> None:
-    """Call ``run`` for each date in ``batch``, in order, with its frames by document type.
+def first_arrivals(
+    stream: DataFrame, out: str, checkpoint: str, keys: tuple[str, ...], event_time: str, width: str
+) -> StreamingQuery:
+    """Write the first row of each key in each window of event time; read it with read_first.
 
-    The files are parsed once, into one scratch folder per date.
+    First is the earliest event time, then the least other columns. Each
+    micro-batch writes its own first rows and the reader takes the first of
+    them, so neither the order of arrival nor the cut into batches matters, no
+    late row is lost and no state is kept. A batch that runs again replaces
+    its folder.
     """
-    spark = batch.sparkSession
-    path = writers.write_partitioned(batch, scratch_path(spark, "arrived"), "batch_date")
-    arrived = spark.read.schema(batch.schema).parquet(path)
-    folders = [f for f in children(spark, path) if f.startswith("batch_date=")]
-    for date in sorted(f.removeprefix("batch_date=") for f in folders):
-        day = arrived.where(F.col("batch_date") == date)
-        run(date, {t: day.where(F.col("doc_type") == t).drop("batch_date") for t in DOC_TYPES})
+    rest = [c for c in stream.columns if c not in (*keys, event_time)]
 
+    def write(batch: DataFrame, number: int) -> None:
+        window = F.window(event_time, width)["start"].alias("window")
+        first = F.min(F.struct(event_time, *rest)).alias("first")
+        batch.groupBy(*keys, window).agg(first).write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-def first_arrivals(
-    stream: DataFrame, keys: tuple[str, ...] = ("id",), event_time: str = "updated_at", delay: str = "1 day"
-) -> DataFrame:
-    """Drop repeats of a key that arrive within ``delay``. Keeps the first to arrive, not the latest."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_first(spark: SparkSession, out: str, keys: tuple[str, ...]) -> DataFrame:
+    """What first_arrivals has found so far."""
+    return spark.read.parquet(out).groupBy(*keys, "window").agg(F.min("first").alias("first")).select(*keys, "window", "first.*")

@@ -31,7 +31,7 @@ def test_salted_join_equals_plain_join(facts, names, how, null_safe):
     plain = facts.join(other, same, how)
     plain = plain.drop("r") if how in ("inner", "left") else plain
     columns = plain.columns
-    assert tuples(salted_join(facts, names, ["k"], how, null_safe, salts=5), *columns) == tuples(plain)
+    assert tuples(salted_join(facts, names, ["k"], how, null_safe, rows=80), *columns) == tuples(plain)
     assert tuples(lookup_join(facts, names, ["k"], how, null_safe), *columns) == tuples(plain)
     assert tuples(lookup_join(facts, names, ["k"], how, null_safe, limit=0), *columns) == tuples(plain)
 
@@ -43,12 +43,14 @@ def test_join_of_keys_alone(facts, names):
 
 
 def test_hot_keys_are_few_and_right(facts):
-    assert tuples(hot_keys(facts, ["k"], 0.1)) == [("hot",), (None,)]
-    assert hot_keys(facts, ["k"]).count() <= 1000
+    assert tuples(hot_keys(facts, ["k"], 150)) == [("hot", 3), (None, 2)]
+    assert tuples(hot_keys(facts, ["k"], 399)) == [("hot", 2)]
+    assert hot_keys(facts, ["k"]).count() == 0
+    assert joins.HOT_SHARE * 100_000 == 1
 
 
 def test_hot_key_is_spread(facts, names):
-    spread = salted_join(facts, names, ["k"], "inner", salts=8)
+    spread = salted_join(facts, names, ["k"], "inner", rows=50)
     parts = spread.where("k = 'hot'").select(F.spark_partition_id()).distinct().count()
     assert parts > 1 or spread.rdd.getNumPartitions() == 1
 
@@ -70,8 +72,8 @@ def test_small_side_is_broadcast_and_large_side_is_not(facts, names):
     assert beyond.count("strategy=broadcast") == 2  # the hot keys, once per side
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_rank_with_ties_and_nulls(spark, limit):
+@pytest.mark.parametrize("aggregated", [True, False])
+def test_rank_with_ties_and_nulls(spark, aggregated):
     rng = random.Random(5)
     data = [
         (i, rng.choice(["a", "b", None]), rng.choice([1] * 20 + list(range(30))), rng.choice([None, 0.5, 1.5, 2.5]))
@@ -80,7 +82,7 @@ def test_rank_with_ties_and_nulls(spark, limit):
     frame = spark.createDataFrame(data, "i int, g string, n int, x double").repartition(6)
     order = [("n", "desc"), ("x", "desc_nulls_first")]
     for group in ([], ["g"]):
-        got = {r["i"]: r["rank"] for r in ranking.ranked(frame, order, group, one_task_rows=limit).collect()}
+        got = {r["i"]: r["rank"] for r in ranking.ranked(frame, order, group, aggregated=aggregated).collect()}
 
         def key(row):
             return (-row[2], 0 if row[3] is None else 1, -(row[3] or 0))
@@ -90,17 +92,27 @@ def test_rank_with_ties_and_nulls(spark, limit):
             assert got[row[0]] == len(ahead) + 1
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_pages_cut_the_sorted_rows(spark, limit):
-    frame = spark.range(95).select((F.col("id") * 37 % 95).alias("k")).repartition(7)
+def test_pages_cut_the_sorted_rows(spark):
+    frame = spark.range(95).select((F.col("id") * 37 % 95).alias("k"), F.lit("x").alias("other")).repartition(7)
     seen = []
     for number in range(1, 12):
-        seen += [r["k"] for r in ranking.page(frame, [("k", "asc")], number, 10, one_task_rows=limit).collect()]
+        seen += [r["k"] for r in ranking.page(frame, [("k", "asc")], number, 10).collect()]
     assert seen == list(range(95))
 
 
-def test_far_pages_do_not_sort_in_one_task(spark):
-    frame = spark.range(1000).withColumnRenamed("id", "k")
-    far = ranking.page(frame, [("k", "asc")], 11, 10, one_task_rows=100)
-    assert [r["k"] for r in far.collect()] == list(range(100, 110))
-    assert joins.HOT_SHARE * 1000 == 1
+def test_pages_of_two_columns_with_nulls(spark):
+    rng = random.Random(2)
+    data = [(rng.choice([None, 1, 2, 3]), i) for i in range(60)]
+    frame = spark.createDataFrame(data, "a int, b int").repartition(5)
+    order = [("a", "desc_nulls_first"), ("b", "asc")]
+    wanted = sorted(data, key=lambda r: (r[0] is not None, -(r[0] or 0), r[1]))
+    for number in range(1, 8):
+        assert [tuple(r) for r in ranking.page(frame, order, number, 9).collect()] == wanted[9 * number - 9 : 9 * number]
+
+
+def test_a_page_takes_no_large_sort(spark):
+    frame = spark.range(1000).select(F.col("id").alias("k"), F.lit("y").alias("other"))
+    far = ranking.page(frame, [("k", "asc")], 90, 10)
+    text = far._jdf.queryExecution().executedPlan().toString()
+    assert [r["k"] for r in far.collect()] == list(range(890, 900))
+    assert "limit=" not in text and "LeftSemi" in text and "k" in text and ">= 890" in text

@@ -98,24 +98,45 @@ def test_only_touched_months_are_rewritten(spark, root):
 
     sources, topics = _sources(spark, ("a", "a.example", 1.0)), _topics(spark, (0, "n", "c"))
     star.load_batch(spark, root, _scored(spark, (1, "a", 0, "2025-01-01", 0.0, 0.0)), sources, topics)
-    before = children(spark, f"{root}/fact_article/month=2025-01")
+    before = children(spark, f"{root}/fact_article/version=1/month=2025-01")
     star.load_batch(spark, root, _scored(spark, (2, "a", 0, "2031-02-01", 0.0, 0.0)), sources, topics)
-    assert children(spark, f"{root}/fact_article/month=2025-01") == before
-    assert star.read_facts(spark, root).count() == 2
+    assert children(spark, f"{root}/fact_article/version=1/month=2025-01") == before
+    assert children(spark, f"{root}/fact_article") == ["version=1", "version=2"]
+    star.load_batch(spark, root, _scored(spark, (3, "a", 0, "2025-01-08", 0.0, 0.0)), sources, topics)
+    assert children(spark, f"{root}/fact_article") == ["version=2", "version=3"]  # what is replaced goes
+    assert star.read_facts(spark, root).count() == 3
+    assert len(children(spark, f"{root}/dim_source")) == 1
 
 
-def test_a_load_that_broke_off_is_finished(spark, root, monkeypatch):
-    from newsloom.sources.files import exists, remove
+def test_a_load_that_broke_off_changes_nothing(spark, root, monkeypatch):
+    from newsloom.sources.files import children
 
     sources, topics = _sources(spark, ("a", "x", 1.0)), _topics(spark, (0, "n", "c"))
     star.load_batch(spark, root, _scored(spark, (1, "a", 0, "2025-01-01", 0.0, 0.0)), sources, topics)
-    with monkeypatch.context() as broken:
-        broken.setattr(star, "finish_pending", lambda *_: None)
-        star.load_batch(spark, root, _scored(spark, (2, "a", 0, "2025-01-09", 0.0, 0.0)), sources, topics)
-    remove(spark, f"{root}/fact_article/month=2025-01")  # lost while being replaced
+    write = star._write_copy
+
+    def broken(df, path):
+        if path.endswith("fact_months"):
+            raise OSError("lost")
+        write(df, path)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(star, "_write_copy", broken)
+        with pytest.raises(OSError):
+            star.load_batch(spark, root, _scored(spark, (2, "a", 0, "2025-01-09", 0.0, 0.0)), sources, topics)
+        with pytest.raises(OSError):
+            star.delete_topics(spark, root, spark.createDataFrame([(0,)], "topic_id int"))
+    assert [f[0] for f in _facts(spark, root)] == [1]
     star.load_batch(spark, root, _scored(spark, (3, "a", 0, "2025-02-01", 0.0, 0.0)), sources, topics)
-    assert [f[0] for f in _facts(spark, root)] == [1, 2, 3]
-    assert not exists(spark, f"{root}/pending_fact_article")
+    assert [f[0] for f in _facts(spark, root)] == [1, 3]
+    assert len(children(spark, f"{root}/fact_article")) == 2
+
+
+def test_topics_without_a_name_are_refused(spark, root):
+    topics = _topics(spark, (0, "n", "c"), (1, None, "c"), (2, "n", None), (None, "n", "c"))
+    refused = star.load_batch(spark, root, _scored(spark, (1, "a", 0, "2025-01-01", 0.0, 0.0)), _sources(spark, ("a", "x", 1.0)), topics)
+    assert tuples(star.read_topics(spark, root)) == [(0, "n", "c")]
+    assert refused["topics"].count() == 3
 
 
 def test_sql_over_the_tables(spark, root):
@@ -209,11 +230,10 @@ def test_importance(spark):
 
 @pytest.mark.parametrize("limit", [None, 0])
 def test_rankings(spark, limit, monkeypatch):
-    from newsloom.operators import joins, ranking
+    from newsloom.operators import joins
 
     if limit == 0:
         monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-        monkeypatch.setattr(ranking, "ONE_TASK_ROWS", 0)
     facts = spark.createDataFrame(
         [(1, 1, 1, dt.date(2024, 1, 5), 1.0), (2, 1, 2, dt.date(2024, 1, 9), 3.0), (3, 2, 3, dt.date(2024, 1, 9), None),
          (4, 2, 1, dt.date(2024, 2, 9), None), (5, 3, 1, dt.date(2024, 2, 9), 4.0), (6, 9, 9, dt.date(2024, 2, 9), 4.0)],

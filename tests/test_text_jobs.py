@@ -94,7 +94,7 @@ def test_sentiment_is_the_mean_polarity(docs, limit, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", limit)
     got = {r["id"]: (r["sentiment_score"], r["sentiment"]) for r in sentiment.sentiment(docs).collect()}
     for key, text in _texts(docs).items():
-        hits = [sentiment.POLARITY[w] for w in (text or "").lower().split(" ") if w in sentiment.POLARITY]
+        hits = [sentiment.POLARITY[w] for w in ((text or "").lower().split(" ")) if w in sentiment.POLARITY]
         score = sum(hits) / len(hits) if hits else 0.0
         label = "positive" if score > 1e-9 else "negative" if score < -1e-9 else "neutral"
         assert got[key][0] == pytest.approx(score, abs=1e-6)
@@ -102,6 +102,21 @@ def test_sentiment_is_the_mean_polarity(docs, limit, monkeypatch):
             assert got[key][1] == label
 
 
+def test_marks_at_the_ends_of_words_do_not_count(spark):
+    frame = spark.createDataFrame([(1, "the launch was great."), (2, '"Great," (bad)!'), (3, "g.reat")], "id long, summary string")
+    got = {r["id"]: round(r["sentiment_score"], 4) for r in sentiment.sentiment(frame).collect()}
+    assert got == {1: 0.8, 2: 0.05, 3: 0.0}
+
+
+def test_more_clusters_than_documents(spark):
+    for texts in (["moon"], ["moon"] * 3, ["moon", "mars"], ["", None], ["a b", "c d", "e f", "g h", "i j", "k l"]):
+        frame = spark.createDataFrame([*enumerate(texts)], "id long, summary string")
+        clustered, labels = topics.classify_topics(frame)
+        rows = clustered.collect()
+        assert len(rows) == len(texts) and all(0 <= r["topic_id"] < topics.CLUSTERS for r in rows)
+        assert labels.count() <= topics.CLUSTERS
+
+
 def test_sentiment_with_a_model(docs):
     @F.pandas_udf("double")
     def length(texts: pd.Series) -> pd.Series:
