@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import batches, total_chars, whole_text
+from newsloom.llm.common import batches, whole_text
 from newsloom.llm.tokens import encoder, tokenizer_path
 from newsloom.session import scratch_path
 
@@ -18,8 +18,6 @@ END = 0
 #: Rows of an ORC row index entry; readers skip so many rows at a time.
 INDEX_STRIDE = 1000
 STRIPE_BYTES = 16 << 20
-#: Characters of text that go into one file, by default.
-FILE_CHARS = 32_000_000
 
 
 def write_tokens(
@@ -28,7 +26,7 @@ def write_tokens(
     tokenizer: str,
     id_column: str = "doc_id",
     text_column: str = "text",
-    file_chars: int = FILE_CHARS,
+    files: int | None = None,
     end: int = END,
 ) -> None:
     """Encode every whole text and write one row per document in ascending id order.
@@ -37,16 +35,15 @@ def write_tokens(
     file) and ``ids`` (the text's ids, then ``end``). ORC keeps integers
     run-length encoded; each stripe can be read by itself, its row index has
     the least and greatest id of every 1000 rows, and a Bloom filter tells
-    which ids a stripe cannot hold. A null text is empty, a null id sorts
+    which ids a stripe cannot hold. There are as many ``files`` as the caller
+    says, or one for each range of ids that the session's partition size gives.
+    A null text is empty, a null id sorts
     first, rows with equal ids are ordered by text and all kept. An empty
     table writes files without rows.
     """
-    files = max(1, -(-total_chars(docs, text_column) // file_chars))
-    rows = (
-        docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
-        .repartitionByRange(files, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
-    )
+    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
+    ranges = rows.repartitionByRange("doc_id") if files is None else rows.repartitionByRange(files, "doc_id")
+    rows = ranges.sortWithinPartitions("doc_id", "text")
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def encode(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

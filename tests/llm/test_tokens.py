@@ -40,14 +40,14 @@ def _wanted(rows):
 
 def test_files_hold_every_document_in_order(spark, docs, rows, tmp_path):
     path = str(tmp_path / "tokens")
-    token_files.write_tokens(docs, path, tokenizer_path(BYTES), file_chars=10_000)
+    token_files.write_tokens(docs, path, tokenizer_path(BYTES), files=5)
     got = [tuple(r) for r in token_files.token_positions(spark, path).collect()]
     assert sorted(got, key=lambda r: r[1]) == _wanted(rows)
 
 
 def test_scan_of_some_ids_is_pushed_down(spark, docs, tmp_path):
     path = str(tmp_path / "tokens")
-    token_files.write_tokens(docs, path, tokenizer_path(BYTES), file_chars=10_000)
+    token_files.write_tokens(docs, path, tokenizer_path(BYTES), files=5)
     some = token_files.read_tokens(spark, path, (10, 20))
     assert sorted(r["doc_id"] for r in some.select("doc_id").collect()) == list(range(10, 21))
     plan = some._jdf.queryExecution().toString()
