@@ -6,7 +6,7 @@ import __spark_entry__ as contract
 from checks.compare import differences
 from checks.queries import QUERIES
 
-SLOW = {"star_load", "daily_run"}
+SLOW = {"star_load", "daily_run", "incremental_load"}
 
 
 def test_contract(spark):
