@@ -5,7 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import words
+from .conftest import words
 
 from newsloom.llm import mixing
 

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import words
+from .conftest import words
 
 from newsloom.llm import near_dedup
 

@@ -6,7 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from conftest import words
+from .conftest import words
 
 from newsloom.llm import boosting, quality, toxicity
 

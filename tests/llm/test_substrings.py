@@ -4,7 +4,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import words
+from .conftest import words
 
 from newsloom.llm import exchange, substrings
 
