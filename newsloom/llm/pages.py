@@ -25,6 +25,7 @@ _MARKUP = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+'|[\"'])*+)(?:>|\Z)"
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_MAIN_ROLE = re.compile(r"(?<![\w-])role\s*=\s*[\"']?(?:article|main)(?![\w-])", re.I)
 _PIECES = re.compile(r"[\s_-]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -50,6 +51,8 @@ _NOISE_NAMES = set(
     "notices overlay pager pagination popup promo promoted recommended related replies respond share sharing sidebar "
     "signup social sponsor sponsored subscribe subscription teaser toolbar widget".split()
 )
+#: Those that an article element may have in its name without being one's text: comments, adverts, previews.
+_NOISE_ARTICLES = set("ad ads advert comment comments promo recommended related replies reply sponsored teaser".split())
 _NOISE_ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
 NOISE, OTHER, MAIN = 0, 1, 2
@@ -58,8 +61,9 @@ NOISE, OTHER, MAIN = 0, 1, 2
 def _is_noise(name: str, attributes: str, in_main: bool) -> bool:
     if name in _NOISE and not (name == "header" and in_main):
         return True
-    if not attributes or name in _MAIN or name in ("html", "body"):
+    if not attributes or name in ("html", "body"):
         return False
+    names = _NOISE_ARTICLES if name in _MAIN else _NOISE_NAMES
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next((v for v in values if v), "")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
@@ -68,7 +72,7 @@ def _is_noise(name: str, attributes: str, in_main: bool) -> bool:
             return True
         if key == "style" and "display:none" in value.replace(" ", "").lower():
             return True
-        if key in ("class", "id") and not _NOISE_NAMES.isdisjoint(_PIECES.split(_CAMEL.sub("-", value).lower())):
+        if key in ("class", "id") and not names.isdisjoint(_PIECES.split(_CAMEL.sub("-", value).lower())):
             return True
     return False
 
@@ -76,7 +80,7 @@ def _is_noise(name: str, attributes: str, in_main: bool) -> bool:
 def blocks(html: str) -> list[tuple[int, str]]:
     """The text blocks of a page in order, each with its zone: noise, other or main.
 
-    Main is what lies in ``article`` or ``main``. Menus, headers (but that of
+    Main is what lies in ``article`` or ``main``, by element or role. Menus, headers (but that of
     an article), footers, asides, forms, adverts, notices and comments are
     noise, by element, role or a part of the class name or id. Comments,
     scripts and styles have no blocks. Character references are decoded and
@@ -132,7 +136,7 @@ def blocks(html: str) -> list[tuple[int, str]]:
         if zone != NOISE:
             if _is_noise(name, found[3], zone == MAIN):
                 inner = NOISE
-            elif name in _MAIN:
+            elif name in _MAIN or "role" in found[3] and _MAIN_ROLE.search(found[3]):
                 inner = MAIN
         if inner != zone:
             close()

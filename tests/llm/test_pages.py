@@ -39,6 +39,8 @@ def test_shared_lines_are_a_longest_common_subsequence(seed):
         ("<p title='a>b' class=\"lead\">x &lt;b&gt; &#233;&nbsp;&eacute;</p>", [(OTHER, "x <b> é é")]),
         ("<div role=navigation>n</div><div hidden>h</div><div style='display: none'>s</div>1 < 2", [(NOISE, "n"), (NOISE, "h"), (NOISE, "s"), (OTHER, "1 < 2")]),
         ("<main><p>a</main></div></p>b<", [(MAIN, "a"), (OTHER, "b<")]),
+        ("<div role='main'><p>a</p><article class='comment reply'>c</article>b</div>d", [(MAIN, "a"), (NOISE, "c"), (MAIN, "b"), (OTHER, "d")]),
+        ("<article class='post share'><h2>t</h2></article>", [(MAIN, "t")]),
         ("<form><input><p>f</p></form><p>x<textarea><p>t</textarea>y", [(NOISE, "f"), (OTHER, "xy")]),
     ],
 )
