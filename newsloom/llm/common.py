@@ -23,7 +23,6 @@ __all__ = [
     "hash_words",
     "rolling",
     "mix",
-    "pack_rows",
 ]
 
 #: Stands for a null id while ids are packed as 64-bit integers; sorts first as nulls do.
@@ -31,8 +30,9 @@ NO_ID = -(2**63)
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+#: Bytes with A to Z in lower case.
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 
 _random = np.random.default_rng(20240917)
 _BYTE = _random.integers(0, 2**64, 256, dtype=np.uint64)
@@ -135,7 +135,7 @@ def hash_words(column, lower: bool = False) -> Words:
     """The words ``[^\\x20\\x09-\\x0D]+`` of each text with a 64-bit hash of their bytes."""
     data, offsets = text_bytes(column)
     if lower:
-        data = _LOWER[data]
+        data = LOWER[data]
     starts, ends = word_spans(data, offsets)
     hashes = np.zeros(len(starts), dtype=np.uint64)
     step = 1 << 17  # words at a time, so that the products fit in the cache
@@ -175,19 +175,14 @@ def rolling(hashes: np.ndarray, width: int, factor: int = 0x9E3779B97F4A7C15) ->
         while left:
             if left & 1:
                 if done is None:
-                    done, size, done_power = block, block_size, block_power
+                    done, size = block, block_size
                 else:
                     n = min(len(done), len(block) - size)
                     done = done[:n] * block_power + block[size : size + n]
-                    size, done_power = size + block_size, done_power * block_power
+                    size += block_size
             left >>= 1
             if left:
                 n = len(block) - block_size
                 block = block[:n] * block_power + block[block_size:]
                 block_size, block_power = block_size * 2, block_power * block_power
         return mix(done)
-
-
-def pack_rows(schema: pa.Schema, *columns) -> pa.RecordBatch:
-    """A record batch from numpy arrays or lists."""
-    return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)

@@ -252,7 +252,7 @@ def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFr
     alone = members.withColumn("root", F.col("node"))
     tested = spool(_once(_star(alone, alone)), "star")
     links = spool(verify(tested, table, least), "links")
-    while True:
+    while True:  # each time on merges groups, so this ends
         rest = _open_members(members, links)
         large = rest.where(F.col("n") > SMALL_BUCKET)
         others = _star(large, large).select("bucket", F.col("b").alias("node")).join(large, ["bucket", "node"])
