@@ -22,7 +22,7 @@ REGISTERS = ROWS * BANDS
 SMALL_BUCKET = 64
 #: Texts that are compared with one text in one task.
 CHUNK = 200
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 _STEPS = np.asarray([b for b in range(REGISTERS) if np.gcd(b, REGISTERS) == 1], dtype=np.uint64)
 _SEED = np.uint64(0x2545F4914F6CDD1D)

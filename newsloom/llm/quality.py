@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     names = list(FEATURES)
 
     def statistics(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(stream, "text", 8 << 20):
+        for table in batches(stream, "text", 4 << 20):
             _, stats = measure(table["text"])
             yield pa.RecordBatch.from_arrays(
                 [table["quality"].combine_chunks(), *(pa.array(stats[:, j]) for j in range(len(names)))],
@@ -163,7 +163,7 @@ def verdicts(docs: DataFrame, trees: Trees) -> DataFrame:
     """
 
     def judge(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(stream, "text", 8 << 20):
+        for table in batches(stream, "text", 4 << 20):
             counts, stats = measure(table["text"])
             failed, score = base_failed(counts), trees.probability(stats)
             yield pa.RecordBatch.from_arrays(
@@ -186,7 +186,7 @@ def keep_good(docs: DataFrame, trees: Trees, text_column: str = "text") -> DataF
     at = docs.columns.index(text_column)
 
     def keep(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in batches(stream, text_column, 8 << 20):
+        for table in batches(stream, text_column, 4 << 20):
             counts, stats = measure(pc.fill_null(table.column(at), ""))
             good = ~base_failed(counts) & (trees.probability(stats) >= 0.5)
             yield from table.filter(pa.array(good)).combine_chunks().to_batches()
