@@ -18,6 +18,8 @@ from newsloom.llm.common import batches, spool, text_bytes, whole_text
 SAMPLE_ROWS = 20_000
 #: Learned entries of the lexicon at most; the strongest are taken.
 LEXICON_SIZE = 2_000
+#: Toxic documents that a learned entry occurs in at least.
+LEAST_DOCUMENTS = 3
 HELD_OUT = 5
 FOLDS = 2
 
@@ -158,18 +160,19 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> list[dict[str,
     learned from the rows of the other folds, then one from all rows. A weight
     is the log of the ratio of smoothed document frequencies.
     """
-    words = sample.select(
-        "toxic", "fold", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), 1))).alias("word"), "row"
-    )
-    entries = words.select(
-        "row", "toxic", "fold",
-        F.explode(
-            F.array("word", *(F.when(F.length("word") > n, F.concat(F.substring("word", 1, n), F.lit("*"))) for n in (4, 5, 6)))
-        ).alias("entry"),
-    ).where("entry IS NOT NULL").distinct()
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}+)"), F.lit(1)))
+
+    def starts(word):
+        return F.array(word, *(F.when(F.length(word) > n, F.concat(F.substring(word, 1, n), F.lit("*"))) for n in (4, 5, 6)))
+
+    own = F.array_distinct(F.array_compact(F.flatten(F.transform(words, starts))))  # a document counts once
+    entries = sample.select("toxic", "fold", F.explode(own).alias("entry"))
     totals = {(r["fold"], r["toxic"]): r["count"] for r in sample.groupBy("fold", "toxic").count().collect()}
-    counted = entries.groupBy("entry").agg(
-        *(F.count_if((F.col("fold") == f) & (F.col("toxic") == t)).alias(f"n{f}{t}") for f in range(FOLDS) for t in (0, 1))
+    counted = spool(
+        entries.groupBy("entry")
+        .agg(*(F.count_if((F.col("fold") == f) & (F.col("toxic") == t)).alias(f"n{f}{t}") for f in range(FOLDS) for t in (0, 1)))
+        .where(sum(F.col(f"n{f}1") for f in range(FOLDS)) >= LEAST_DOCUMENTS),
+        "lexicon",
     )
     out = []
     for left_out in (*range(FOLDS), None):
@@ -179,7 +182,7 @@ def learn_lexicon(sample: DataFrame, size: int = LEXICON_SIZE) -> list[dict[str,
         weight = F.log((bad + 0.5) / (n[1] + 1)) - F.log((fine + 0.5) / (n[0] + 1))
         rows = (
             counted.withColumn("bad", bad).withColumn("weight", weight)
-            .where((F.col("bad") >= max(3, n[1] // 200)) & (F.col("weight") > 2.5))
+            .where((F.col("bad") >= max(LEAST_DOCUMENTS, n[1] // 200)) & (F.col("weight") > 2.5))
             .orderBy(F.desc(F.col("weight") * F.log1p("bad")), "entry").limit(size).select("entry", "weight")
         )
         out.append({r["entry"]: r["weight"] for r in rows.collect()})
