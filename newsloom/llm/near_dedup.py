@@ -22,6 +22,8 @@ REGISTERS = ROWS * BANDS
 SMALL_BUCKET = 64
 #: Texts that are compared with one text in one task.
 CHUNK = 200
+#: Texts and distinct shingles of one side of a block, whose pairs are compared in one task.
+BLOCK_TEXTS, BLOCK_SHINGLES = 400, 1_000_000
 BATCH_BYTES = 4 << 20
 
 _STEPS = np.asarray([b for b in range(REGISTERS) if np.gcd(b, REGISTERS) == 1], dtype=np.uint64)
@@ -142,7 +144,7 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def _shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Sorted shingle hashes and their counts for the texts of ``nodes`` (node, key, copy)."""
+    """Sorted shingle hashes, their counts and their number for the texts of ``nodes`` (node, key, copy)."""
 
     def cut(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in batches(stream, "text", BATCH_BYTES):
@@ -155,12 +157,13 @@ def _shingle_table(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     table["node"].combine_chunks(),
                     pa.array([value[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
                     pa.array([count[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])], pa.binary()),
+                    pa.array(np.diff(ends).astype(np.int64)),
                 ],
-                names=["node", "hashes", "counts"],
+                names=["node", "hashes", "counts", "size"],
             )
 
     texts = _texts(docs).join(nodes, ["key", "copy"]).select("node", "text")
-    return texts.mapInArrow(cut, "node long, hashes binary, counts binary").dropDuplicates(["node"])
+    return texts.mapInArrow(cut, "node long, hashes binary, counts binary, size long").dropDuplicates(["node"])
 
 
 def verify(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
@@ -187,6 +190,85 @@ def verify(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
     return sides.groupBy("a", "chunk").applyInPandas(compare, "a long, b long")
 
 
+def _blocks(members: DataFrame, nodes: DataFrame, table: DataFrame) -> DataFrame:
+    """Members of buckets (bucket, band, node, root) dealt to blocks of two parts, with their bands and shingles.
+
+    A part holds texts and shingles of bounded number. The members of a
+    bucket's largest group form parts that meet all parts of the others but
+    not each other, so a text beside very many of one group costs one
+    comparison for each of them.
+    """
+    sized = members.select("bucket", "band", "node", "root").join(table.select("node", "size"), "node")
+    counts = sized.groupBy("bucket", "root").agg(F.count("*").alias("texts"))
+    largest = counts.groupBy("bucket").agg(F.max(F.struct("texts", "root"))["root"].alias("largest"))
+    sized = sized.join(largest, "bucket").withColumn("free", F.col("root") != F.col("largest"))
+    n_parts = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_SHINGLES))
+    sides = sized.groupBy("bucket", "free").agg(n_parts.alias("parts"))
+    sides = sides.groupBy("bucket").agg(
+        F.sum(F.when(F.col("free"), F.col("parts")).otherwise(0)).alias("own"),
+        F.sum(F.when(F.col("free"), 0).otherwise(F.col("parts"))).alias("rest"),
+    )
+    part = "IF(free, pmod(xxhash64(node), greatest(own, 1)), own + pmod(xxhash64(node), greatest(rest, 1)))"
+    meets = "transform(sequence(0, IF(free, own + rest, own) - 1), x -> struct(least(x, part) AS low, greatest(x, part) AS high))"
+    dealt = sized.join(sides, "bucket").withColumn("part", F.expr(part)).withColumn("block", F.explode(F.expr(meets)))
+    dealt = dealt.select("bucket", "band", "node", "root", "part", "block.low", "block.high")
+    return dealt.join(nodes.select("node", "bands"), "node").join(table, "node")
+
+
+def similar_in_block(part: pd.DataFrame, least: float, across: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """Places in the sorted block of a text and of those similar to it.
+
+    A pair is compared in the first band it shares only. With ``across`` texts
+    of one group are not compared, and groups that are linked become one.
+    """
+    part = part.sort_values(["part", "node"], ignore_index=True)
+    own, root, bands, band = part["part"].to_numpy(), part["root"].to_numpy().copy(), np.stack(part["bands"]), int(part["band"].iat[0])
+    hashes = [np.frombuffer(x, dtype=np.uint64) for x in part["hashes"]]
+    counts = [np.frombuffer(x, dtype=np.uint32) for x in part["counts"]]
+    first = np.append(0, np.cumsum([len(h) for h in hashes]))
+    values, ids = np.unique(np.concatenate(hashes), return_inverse=True)
+    count = np.concatenate(counts).astype(np.int64)
+    total = np.add.reduceat(count, first[:-1])
+    mark = np.zeros(len(values), dtype=np.int64)
+    split = int((own == part["low"].iat[0]).sum())
+    for i in range(split):
+        low = i + 1 if split == len(own) else split
+        asked = ~(bands[low:, :band] == bands[i, :band]).any(1)
+        if across:
+            asked &= root[low:] != root[i]
+        if not asked.any():
+            continue
+        mine = slice(first[i], first[i + 1])
+        mark[ids[mine]] = count[mine]
+        x, y, starts = mark[ids[first[low] :]], count[first[low] :], first[low:-1] - first[low]
+        mark[ids[mine]] = 0
+        common = np.add.reduceat((x > 0).astype(np.int64), starts)
+        score = common / (total[i] + total[low:] - common)  # right if no common shingle repeats
+        repeats = asked & (np.add.reduceat(((x > 0) & (x + y > 2)).astype(np.int64), starts) > 0)
+        if repeats.any():
+            score[repeats] = 0
+            most = np.add.reduceat(np.minimum(x / total[i], y / np.repeat(total[low:], np.diff(first[low:]))), starts)
+            for j in np.flatnonzero(repeats & (most >= least - 1e-9)):
+                score[j] = similarity(hashes[i], counts[i], hashes[low + j], counts[low + j])
+        near = low + np.flatnonzero(asked & (score >= least - 1e-12))
+        if across:  # one link for each other group
+            near = near[np.unique(root[near], return_index=True)[1]]
+            root[np.isin(root, root[near])] = root[i]
+        if len(near):
+            yield i, near
+
+
+def _links_across(members: DataFrame, nodes: DataFrame, table: DataFrame, least: float) -> DataFrame:
+    """Links between all groups of a bucket that have a similar pair, every pair of their members being compared."""
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        node = part.sort_values(["part", "node"])["node"].to_numpy()
+        pairs = [(node[i], node[j]) for i, near in similar_in_block(part, least, True) for j in near]
+        return pd.DataFrame(pairs, columns=["a", "b"]).astype("int64")
+
+    return _blocks(members, nodes, table).groupBy("bucket", "low", "high").applyInPandas(compare, "a long, b long")
+
+
 def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of buckets that still hold several groups: bucket, band, node, n, score and the group's root."""
     roots = components(links).select(F.col("id").alias("node"), "root")
@@ -236,6 +318,9 @@ def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFr
     different groups are verified if the bucket is small; in a larger one a
     hub of another group than the first one's is compared with all members,
     and so are the hubs of the finer buckets of texts that share two bands.
+    At last, in the larger buckets that still hold several groups, all pairs of
+    different groups are compared, block by block. So every pair that shares a
+    bucket is either in one group or was found not similar.
     """
     texts = spool(signatures(docs), "signatures")
     classes = texts.groupBy("whole", "whole2").agg(F.min(F.struct("key", "copy")).alias("first"), F.min("bands").alias("bands"))
@@ -267,6 +352,7 @@ def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFr
         if found.isEmpty():
             break
         links, tested = links.unionByName(found), tested.unionByName(pairs)
+    links = links.unionByName(spool(_links_across(large, nodes, table, least), "links"))
     return texts.join(nodes.select("node", "whole", "whole2", F.col("key").alias("class")), ["whole", "whole2"]), links, components(links)
 
 

@@ -108,3 +108,28 @@ def test_chains_and_large_groups(spark):
         rows.append((100 + i, " ".join(changed)))
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["key"] >= 100, r["group"]) for r in got} == {(False, 0), (True, 100)}
+
+
+def around_one_template(n=90):
+    """Texts that keep most of a template, each with changes of its own (similarities lie on both sides of 0.8)."""
+    rng = np.random.default_rng(11)
+    template = [f"t{i}" for i in range(200)]
+    rows = []
+    for i in range(n):
+        own = list(template)
+        for k, at in enumerate(rng.choice(195, rng.integers(1, 7), replace=False)):
+            own[at] = f"x{i}y{k}"
+        own[0] = own[1] = own[2] = f"z{i % 30}"
+        rows.append((i, " ".join(own + own[100 : 100 + 10 * (i % 2)])))
+    return rows
+
+
+@pytest.mark.parametrize("block", [near_dedup.BLOCK_TEXTS, 7])
+def test_large_buckets_are_compared_whole(spark, monkeypatch, block):
+    """No group is lost in a large bucket, whichever texts its hubs are."""
+    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", block)
+    rows = around_one_template()
+    roots, texts = brute(rows)
+    got = {r["key"]: r["group"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {t[0]: roots[t][0] for t in texts}
