@@ -190,18 +190,18 @@ def verify(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
     return sides.groupBy("a", "chunk").applyInPandas(compare, "a long, b long")
 
 
-def _blocks(members: DataFrame, nodes: DataFrame, table: DataFrame) -> DataFrame:
+def _blocks(members: DataFrame, nodes: DataFrame, table: DataFrame, across: bool = True) -> DataFrame:
     """Members of buckets (bucket, band, node, root) dealt to blocks of two parts, with their bands and shingles.
 
     A part holds texts and shingles of bounded number. The members of a
     bucket's largest group form parts that meet all parts of the others but
     not each other, so a text beside very many of one group costs one
-    comparison for each of them.
+    comparison for each of them. Without ``across`` all parts meet each other.
     """
     sized = members.select("bucket", "band", "node", "root").join(table.select("node", "size"), "node")
     counts = sized.groupBy("bucket", "root").agg(F.count("*").alias("texts"))
     largest = counts.groupBy("bucket").agg(F.max(F.struct("texts", "root"))["root"].alias("largest"))
-    sized = sized.join(largest, "bucket").withColumn("free", F.col("root") != F.col("largest"))
+    sized = sized.join(largest, "bucket").withColumn("free", F.col("root") != F.col("largest") if across else F.lit(True))
     n_parts = F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("size") / BLOCK_SHINGLES))
     sides = sized.groupBy("bucket", "free").agg(n_parts.alias("parts"))
     sides = sides.groupBy("bucket").agg(
@@ -269,6 +269,40 @@ def _links_across(members: DataFrame, nodes: DataFrame, table: DataFrame, least:
     return _blocks(members, nodes, table).groupBy("bucket", "low", "high").applyInPandas(compare, "a long, b long")
 
 
+def _degrees(members: DataFrame, nodes: DataFrame, table: DataFrame, tested: DataFrame, links: DataFrame, least: float) -> DataFrame:
+    """How many texts each text (node) is similar to, of all that share a bucket with it.
+
+    Every pair counts in the first band it shares: in small buckets those of
+    the pairs ``tested`` that are links, and the others verified; in large
+    ones all are compared in blocks, which give only the sums.
+    """
+    own = members.where(F.col("n") <= SMALL_BUCKET).join(nodes.select("node", "bands"), "node")
+    other = own.select("bucket", F.col("node").alias("high"), F.col("bands").alias("others"))
+    first = (
+        own.select("bucket", "band", F.col("node").alias("low"), "bands").join(other, "bucket")
+        .where("low < high AND NOT arrays_overlap(slice(bands, 1, band), slice(others, 1, band))")
+        .select("low", "high")
+    )
+    first = spool(first.join(tested.select("low", "high", F.lit(True).alias("done")), ["low", "high"], "left"), "pairs")
+    linked = links.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()
+    known = first.where("done").join(linked, ["low", "high"], "left_semi").select(F.col("low").alias("a"), F.col("high").alias("b"))
+    pairs = first.where("done IS NULL").select(F.col("low").alias("a"), F.col("high").alias("b"))
+    found = known.unionByName(spool(verify(pairs, table, least), "links"))
+
+    def count(part: pd.DataFrame) -> pd.DataFrame:
+        node = part.sort_values(["part", "node"])["node"].to_numpy()
+        n = np.zeros(len(node), dtype=np.int64)
+        for i, near in similar_in_block(part, least, False):
+            n[i] += len(near)
+            n[near] += 1
+        return pd.DataFrame({"node": node[n > 0], "count": n[n > 0]})
+
+    large = members.where(F.col("n") > SMALL_BUCKET).withColumn("root", F.col("node"))
+    blocks = _blocks(large, nodes, table, across=False).groupBy("bucket", "low", "high").applyInPandas(count, "node long, count long")
+    ends = [found.select(F.col(c).alias("node"), F.lit(1).cast("long").alias("count")) for c in ("a", "b")]
+    return blocks.unionByName(ends[0]).unionByName(ends[1]).groupBy("node").agg(F.sum("count").alias("count"))
+
+
 def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
     """Members of buckets that still hold several groups: bucket, band, node, n, score and the group's root."""
     roots = components(links).select(F.col("id").alias("node"), "root")
@@ -307,8 +341,8 @@ def _finer(members: DataFrame) -> DataFrame:
     return own.select("node", "score", "root", F.explode(keys).alias("bucket"))
 
 
-def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Texts with their node, the links found between nodes, and each linked node's root.
+def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY, degrees: bool = True) -> tuple[DataFrame, DataFrame | None, DataFrame]:
+    """Texts with their node, each linked node's number of links (if ``degrees``), and its root.
 
     Texts with the same words are one node. In every bucket the members are
     verified against its hub, the member that shares most buckets with
@@ -352,8 +386,9 @@ def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFr
         if found.isEmpty():
             break
         links, tested = links.unionByName(found), tested.unionByName(pairs)
+    counted = _degrees(members, nodes, table, tested.unionByName(pairs), links, least) if degrees else None
     links = links.unionByName(spool(_links_across(large, nodes, table, least), "links"))
-    return texts.join(nodes.select("node", "whole", "whole2", F.col("key").alias("class")), ["whole", "whole2"]), links, components(links)
+    return texts.join(nodes.select("node", "whole", "whole2", F.col("key").alias("class")), ["whole", "whole2"]), counted, components(links)
 
 
 def _once(pairs: DataFrame) -> DataFrame:
@@ -363,20 +398,9 @@ def _once(pairs: DataFrame) -> DataFrame:
     return hubs.select("low", "high", "a", F.when(F.col("a") == F.col("low"), F.col("high")).otherwise(F.col("low")).alias("b"))
 
 
-def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """key, copy, class, group, n_links and kept for every row of ``docs``.
-
-    Two texts are linked if the probability Jaccard similarity of their
-    five-word shingles, weighted by how often they occur, is at least
-    ``least``. ``class`` is the least id of the texts with the same words,
-    ``group`` that of all texts reachable by links, ``n_links`` how many other
-    classes this one was found linked to. One text of a group is kept, the
-    first by id, then by hash; rows with equal id and text are one text and
-    all are marked. A text without words is linked to nothing but is of the
-    class of all such texts, which are kept. Null ids sort first.
-    """
-    texts, links, roots = link_texts(docs, least)
-    degrees = links.select(F.col("a").alias("node")).unionAll(links.select(F.col("b").alias("node"))).groupBy("node").count()
+def _groups(docs: DataFrame, least: float, degrees: bool) -> tuple[DataFrame, DataFrame | None]:
+    """key, copy, class, node, group and kept for every row of ``docs``, and the nodes' numbers of links."""
+    texts, counted, roots = link_texts(docs, least, degrees)
     rows = spool(
         texts.join(roots.withColumnRenamed("id", "node"), "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
@@ -384,18 +408,34 @@ def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFra
         "groups",
     )
     first = rows.groupBy("root").agg(F.min(F.struct("key", "copy")).alias("first"))
-    return (
-        rows.join(first, "root").join(degrees, "node", "left")
-        .select(
-            "key", "copy", "class", F.col("first.key").alias("group"), F.coalesce("count", F.lit(0)).alias("n_links"),
-            ((F.struct("key", "copy") == F.col("first")) | ~F.col("has_words")).alias("kept"),
-        )
+    named = rows.join(first, "root").select(
+        "key", "copy", "class", "node", F.col("first.key").alias("group"),
+        ((F.struct("key", "copy") == F.col("first")) | ~F.col("has_words")).alias("kept"),
     )
+    return named, counted
+
+
+def near_duplicates(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """key, copy, class, group, n_links and kept for every row of ``docs``.
+
+    Two texts are linked if the probability Jaccard similarity of their
+    five-word shingles, weighted by how often they occur, is at least
+    ``least`` and they share a bucket. ``class`` is the least id of the texts
+    with the same words, ``group`` that of all texts reachable by links,
+    ``n_links`` how many other classes this one is linked to, all pairs of a
+    bucket being compared. One text of a group is kept, the first by id, then
+    by hash; rows with equal id and text are one text and all are marked. A
+    text without words is linked to nothing but is of the class of all such
+    texts, which are kept. Null ids sort first.
+    """
+    rows, counted = _groups(docs, least, degrees=True)
+    n_links = F.coalesce("count", F.lit(0)).alias("n_links")
+    return rows.join(counted, "node", "left").select("key", "copy", "class", "group", n_links, "kept")
 
 
 def keep_one(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """One document of each group, its columns unchanged; of rows with equal id and text one stays."""
-    kept = near_duplicates(docs, least).where("kept").select("key", "copy").distinct()
+    kept = _groups(docs, least, degrees=False)[0].where("kept").select("key", "copy").distinct()
     taken = {c.lower() for c in docs.columns}
     key, copy = (next(n for n in (f"{p}{i}" for i in range(len(taken) + 1)) if n not in taken) for p in "kc")
     named = docs.withColumns({key: doc_key(), copy: F.xxhash64(whole_text())})

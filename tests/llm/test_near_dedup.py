@@ -133,3 +133,16 @@ def test_large_buckets_are_compared_whole(spark, monkeypatch, block):
     roots, texts = brute(rows)
     got = {r["key"]: r["group"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {t[0]: roots[t][0] for t in texts}
+
+
+@pytest.mark.parametrize("small", [near_dedup.SMALL_BUCKET, 100, 1])
+def test_links_are_counted_by_all_pairs(spark, monkeypatch, small):
+    """In small and large buckets, and in both, each pair counts once for both of its texts."""
+    monkeypatch.setattr(near_dedup, "SMALL_BUCKET", small)
+    monkeypatch.setattr(near_dedup, "BLOCK_TEXTS", 20)
+    rows = around_one_template(70)
+    rows += [(100 + i, f"{rows[0][1]} {i}") for i in range(3)] + [(200, rows[0][1])]
+    shingled = {i: grams(t) for i, t in rows if i != 200}
+    near = {i: sum(probability_jaccard(a, b) >= 0.8 for j, b in shingled.items() if j != i) for i, a in shingled.items()}
+    got = {r["key"]: r["n_links"] for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got.pop(200) == near[0] and got == near
