@@ -55,7 +55,27 @@ _NOISE_NAMES = set(
 _NOISE_ARTICLES = set("ad ads advert comment comments promo recommended related replies reply sponsored teaser".split())
 _NOISE_ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
-NOISE, OTHER, MAIN = 0, 1, 2
+#: Elements and roles in which an article is another one than the page's.
+_SEALS = _NOISE - {"form", "header", "dialog", "label"}
+_SEAL_ROLES = _NOISE_ROLES - {"alert", "alertdialog", "banner", "dialog", "form"}
+
+#: Sealed is noise in which no article opens main again.
+SEALED, NOISE, OTHER, MAIN = -1, 0, 1, 2
+
+
+def _seals(name: str, attributes: str) -> bool:
+    """Whether an element that is noise may hold other articles than the page's, or none that is shown."""
+    if name in _SEALS:
+        return True
+    for key, *values in _ATTRIBUTE.findall(attributes or ""):
+        key, value = key.lower(), next((v for v in values if v), "")
+        if key in ("hidden", "aria-hidden", "style") and _is_noise("div", f' {key}="{value}"', False):
+            return True
+        if key == "role" and value.lower() in _SEAL_ROLES:
+            return True
+        if key in ("class", "id") and not _NOISE_ARTICLES.isdisjoint(_PIECES.split(_CAMEL.sub("-", value).lower())):
+            return True
+    return False
 
 
 def _is_noise(name: str, attributes: str, in_main: bool) -> bool:
@@ -63,7 +83,7 @@ def _is_noise(name: str, attributes: str, in_main: bool) -> bool:
         return True
     if not attributes or name in ("html", "body"):
         return False
-    names = _NOISE_ARTICLES if name in _MAIN else _NOISE_NAMES
+    names = _NOISE_ARTICLES if name in _MAIN or _MAIN_ROLE.search(attributes) else _NOISE_NAMES
     for key, *values in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), next((v for v in values if v), "")
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
@@ -82,7 +102,9 @@ def blocks(html: str) -> list[tuple[int, str]]:
 
     Main is what lies in ``article`` or ``main``, by element or role. Menus, headers (but that of
     an article), footers, asides, forms, adverts, notices and comments are
-    noise, by element, role or a part of the class name or id. Comments,
+    noise, by element, role or a part of the class name or id. An article in such a wrapper (a form
+    around the page, a layout named by its sidebar) is main all the same, unless the wrapper is
+    hidden, an aside, menu or footer, or one of comments, adverts or previews. Comments,
     scripts and styles have no blocks. Character references are decoded and
     white space in a block becomes one space. Unclosed and stray tags are
     taken as they come.
@@ -97,7 +119,7 @@ def blocks(html: str) -> list[tuple[int, str]]:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                out.append((zone, joined))
+                out.append((max(zone, NOISE), joined))
             text.clear()
 
     while True:
@@ -133,9 +155,9 @@ def blocks(html: str) -> list[tuple[int, str]]:
         if name in _VOID or found[3].endswith("/") and name not in _BLOCKS:
             continue
         inner = zone
-        if zone != NOISE:
+        if zone != SEALED:
             if _is_noise(name, found[3], zone == MAIN):
-                inner = NOISE
+                inner = SEALED if _seals(name, found[3]) else NOISE
             elif name in _MAIN or "role" in found[3] and _MAIN_ROLE.search(found[3]):
                 inner = MAIN
         if inner != zone:

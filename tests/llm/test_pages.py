@@ -91,3 +91,19 @@ def test_given_pages_hold_their_articles(spark):
         article = re.search(r"<article>(.*)</article>", source[r["page_id"]], re.S)[1]
         lines = (" ".join(entities.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in re.split(r"</?(?:p|h1)>", article))
         assert r["text"] == "\n".join(x for x in lines if x)
+
+
+@pytest.mark.parametrize("wrapper", [
+    'div class="layout with-sidebar"', 'div id="page-header-fixed"', 'div class="modal"', 'form id="aspnetForm"', 'header',
+])
+@pytest.mark.parametrize("main", ["article", "main", 'div role="main" class="has-sidebar"'])
+def test_articles_in_wrappers_named_like_noise(wrapper, main):
+    end = lambda tag: f"</{tag.split()[0]}>"
+    html = f"<{wrapper}><p>menu</p><{main}><p>Text.</p><div class=share>x</div></{main.split()[0]}><p>foot</p>{end(wrapper)}"
+    assert blocks(html) == [(NOISE, "menu"), (MAIN, "Text."), (NOISE, "x"), (NOISE, "foot")]
+
+
+@pytest.mark.parametrize("wrapper", ["aside", "nav", 'div class="related"', "div hidden", 'div style="display: none"', 'div id="comments"'])
+def test_articles_in_sealed_wrappers_stay_noise(wrapper):
+    inner = "<div class=sidebar><article>Other</article></div>"
+    assert blocks(f"<article>Text <{wrapper}>{inner}</{wrapper.split()[0]}></article>") == [(MAIN, "Text"), (NOISE, "Other")]
