@@ -123,7 +123,8 @@ def base_failed(counts: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trees:
     """Trees for labels.quality, from at most ``sample_rows`` labelled documents.
 
-    The rows are those with the least hash of their id. Labels that are null
+    The labels are those with the least hash of their id, and of their documents
+    those with the least hash of the row, as an id may be repeated. Labels that are null
     are left out; with no labels, or one class, the trees accept everything
     of that class (without any label: accept).
     """
@@ -140,13 +141,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         for table in batches(stream, "text", 4 << 20):
             _, stats = measure(table["text"])
             yield pa.RecordBatch.from_arrays(
-                [table["quality"].combine_chunks(), *(pa.array(stats[:, j]) for j in range(len(names)))],
-                names=["quality", *names],
+                [table["row"].combine_chunks(), table["quality"].combine_chunks(), *(pa.array(stats[:, j]) for j in range(len(names)))],
+                names=["row", "quality", *names],
             )
 
-    schema = "quality int, " + ", ".join(f"{x} double" for x in names)
-    # the sample is bounded by its parameter, so it may be sent to all tasks
-    sample = rows.join(F.broadcast(chosen), "doc_id").mapInArrow(statistics, schema).toPandas()
+    schema = "row long, quality int, " + ", ".join(f"{x} double" for x in names)
+    # the sample is bounded by its parameter, so it may be sent to all tasks; ids may be repeated, so what it finds is bounded again
+    found = rows.join(F.broadcast(chosen), "doc_id").select("text", "quality", F.xxhash64("doc_id", "text", "quality").alias("row"))
+    sample = found.mapInArrow(statistics, schema).orderBy("row", "quality", *names).limit(sample_rows).drop("row").toPandas()
     if sample.empty:
         trees = fit(np.zeros((0, len(names))), np.zeros(0))
         trees.bias = 1.0

@@ -222,12 +222,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
                 if own.num_rows:
                     stats = measure(own["text"], insults, finders[f])
                     yield pa.RecordBatch.from_arrays(
-                        [own["toxic"].combine_chunks(), own["fold"].combine_chunks(), *(pa.array(stats[:, j]) for j in range(len(FEATURES)))],
-                        names=["toxic", "fold", *FEATURES],
+                        [*(own[c].combine_chunks() for c in ("row", "toxic", "fold")), *(pa.array(stats[:, j]) for j in range(len(FEATURES)))],
+                        names=["row", "toxic", "fold", *FEATURES],
                     )
 
-    schema = "toxic int, fold int, " + ", ".join(f"{x} double" for x in FEATURES)
-    rows = sample.select("text", "toxic", "fold").mapInArrow(features, schema).toPandas()
+    schema = "row long, toxic int, fold int, " + ", ".join(f"{x} double" for x in FEATURES)
+    measured = sample.select("row", "text", "toxic", "fold").mapInArrow(features, schema)
+    # ids may be repeated, so the rows that the labels find are bounded again
+    rows = measured.orderBy("row", "toxic", *FEATURES).limit(sample_rows).drop("row").toPandas()
     rows = rows.sort_values(list(rows.columns))
     stats, toxic, fold = rows[list(FEATURES)].to_numpy(), rows["toxic"].to_numpy().astype(float), rows["fold"].to_numpy()
     margin = np.zeros(len(rows))

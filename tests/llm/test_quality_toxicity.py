@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from .conftest import words
 
 from newsloom.llm import boosting, quality, toxicity
@@ -119,3 +120,19 @@ def test_features_see_disguise_and_second_person():
     assert stats["near_second_person"].tolist() == [1, 0, 0, 0, 0]
     assert stats["obfuscated_insults"].tolist() == [0, 1, 0, 0, 0]
     assert stats["learned"].tolist() == [0, 0, 2, 0, 0] and stats["learned_strongest"][2] == 3
+
+
+@pytest.mark.parametrize("module, label", [(quality, "quality"), (toxicity, "toxic")])
+def test_rows_of_repeated_ids_are_bounded(spark, monkeypatch, module, label):
+    """However many rows a labelled id has, the driver gets as many as the sample may have."""
+    sizes, fit = [], module.fit
+
+    def counted(stats, *more):
+        sizes.append(len(stats))
+        return fit(stats, *more)
+
+    monkeypatch.setattr(module, "fit", counted)
+    docs = spark.createDataFrame([(i % 8, f"text {i} of many words") for i in range(200)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(8)], f"doc_id long, {label} int")
+    module.train(docs, labels, 10)
+    assert max(sizes) == 10
