@@ -61,22 +61,23 @@ def total_chars(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.coalesce(F.sum(F.length(column)), F.lit(0))).first()[0]
 
 
-def batches(stream: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[pa.Table]:
-    """Record batches put together, or cut, until each holds about ``most`` bytes of text.
+def batches(stream: Iterator[pa.RecordBatch], text: str, most: int, rows: int | None = None) -> Iterator[pa.Table]:
+    """Record batches put together, or cut, until each holds about ``most`` bytes of text, or ``rows`` rows.
 
     A single text longer than that is a batch by itself.
     """
-    held, size = [], 0
+    held, size, count = [], 0, 0
     for batch in stream:
         lengths = np.diff(_offsets(batch.column(batch.schema.get_field_index(text))))
         start = 0
         for row, length in enumerate(lengths):
-            if size and size + length > most:
+            if (size and size + length > most) or (rows and count >= rows):
                 if row > start:
                     held.append(batch.slice(start, row - start))
                 yield pa.Table.from_batches(held)
-                held, size, start = [], 0, row
+                held, size, count, start = [], 0, 0, row
             size += int(length)
+            count += 1
         if start < batch.num_rows:
             held.append(batch.slice(start))
     if held:

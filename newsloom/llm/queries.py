@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import embeddings, manifest, mixing, near_dedup, packing, pages, ppm, quality, substrings, token_files, toxicity
+from newsloom.llm import alignment, embeddings, manifest, mixing, near_dedup, packing, pages, ppm, quality, substrings, token_files, toxicity
 
 QUERIES = {
     "op1_token_files": token_files.token_output,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_toxicity": toxicity.toxicity,
     "op10_substring_dedup": substrings.substring_dedup,
     "op12_merkle_manifest": manifest.merkle_manifest,
+    "op13_token_alignment": alignment.token_alignment,
 }
 
 ORACLES = {"op6_source_mix": mixing.oracle_sql(), "op12_merkle_manifest": manifest.oracle_sql()}
