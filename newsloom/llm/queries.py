@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from newsloom.llm import alignment, embeddings, manifest, mixing, near_dedup, packing, pages, ppm, quality, substrings, token_files, toxicity
+from newsloom.llm import alignment, embeddings, manifest, mixing, near_dedup, packing, pages, ppm, quality, secret_scan, substrings, token_files, toxicity
 
 QUERIES = {
     "op1_token_files": token_files.token_output,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_lm_scores": ppm.lm_scores,
     "op9_toxicity": toxicity.toxicity,
     "op10_substring_dedup": substrings.substring_dedup,
+    "op11_secret_scan": secret_scan.secret_scan,
     "op12_merkle_manifest": manifest.merkle_manifest,
     "op13_token_alignment": alignment.token_alignment,
 }
