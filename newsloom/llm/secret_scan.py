@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import batches, whole_text
+from newsloom.llm.common import batches, spool, whole_text
 
 # The kinds of base findings, their patterns and their least lengths, in the order of the kinds.
 ASSIGN = re.compile(
@@ -67,6 +67,7 @@ NOVELTY = 0.7
 LEVEL = 3
 #: Identifiers that the dictionary holds, the most frequent of all texts.
 DICTIONARY_WORDS = 4096
+LEAST_SHARE = 1 / 100_000
 IDENTIFIER = r"(?<![A-Za-z0-9+/=_-])[A-Za-z_]{4,32}(?![A-Za-z0-9+/=_-])"
 
 BATCH_BYTES = 4 << 20
@@ -75,12 +76,17 @@ _FINDINGS = "key long, findings array<struct<kind:string,start:int,end:int,novel
 
 
 def identifiers(docs: DataFrame, text_column: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:
-    """The identifiers without digits that most texts' words are, counted over all texts; at most ``words``.
+    """The identifiers without digits that occur most, counted over all texts; at most ``words``.
 
-    Strings with digits never get in, so a secret copied to many documents stays new.
+    Only those that make up at least 1 / 100,000 of all are taken, so that at
+    most 100,000 are put in order, whatever the number of tasks. Strings with
+    digits never get in, so a secret copied to many documents stays new.
     """
     found = docs.select(F.explode(F.regexp_extract_all(whole_text(text_column), F.lit(IDENTIFIER), 0)).alias("word"))
-    top = found.groupBy("word").count().orderBy(F.col("count").desc(), "word").limit(words)
+    counts = spool(found.groupBy("word").count(), "identifiers")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    frequent = counts.where(F.col("count") >= total * LEAST_SHARE)
+    top = frequent.orderBy(F.col("count").desc(), "word").limit(words)
     return [row["word"] for row in top.collect()]
 
 
