@@ -182,6 +182,11 @@ ORACLES = {
         SELECT doc_id, chr(9) || text || ' "x", y' || chr(13) || chr(10) || '\\ z' || chr(13) || ' ' AS text, lang, source, n_chars
         FROM documents
     """,
+    "src_csv_split": """
+        SELECT doc_id, text || ' "",' || chr(10) || chr(10) || '"x"' || chr(13) || chr(10) || ',y' || chr(10) || text AS text,
+               lang, source, n_chars
+        FROM documents
+    """,
     "csv_single_file": "SELECT source, count(*) AS count, 1 AS files FROM documents GROUP BY source",
     "src_parquet_count": "SELECT count(*) AS n FROM documents",
     "page_ingest": f"""

@@ -102,6 +102,14 @@ def src_csv_roundtrip(spark, folder):
     return readers.read_csv(spark, path, docs.schema)
 
 
+def src_csv_split(spark, folder):
+    """Whole texts twice over, with blank lines, quotes and line breaks, in one file that many tasks read."""
+    docs = table(spark, folder, "documents")
+    twice = F.concat("text", F.lit(' "",\n\n"x"\r\n,y\n'), "text")
+    path = writers.write_csv(docs.withColumn("text", twice), scratch_path(spark, "documents"), parts=1)
+    return readers.read_csv(spark, path, docs.schema, split=True)
+
+
 def csv_single_file(spark, folder):
     """A counted table as one CSV file, as the caller says."""
     counts = profiles.site_counts(table(spark, folder, "documents"), "source")
@@ -587,6 +595,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         src_csv_roundtrip,
+        src_csv_split,
         csv_single_file,
         src_parquet_count,
         page_ingest,

@@ -73,6 +73,7 @@ def run_daily(
     csv: bool = False,
     keys: tuple[str, ...] = ("id",),
     topics_by_date: bool = False,
+    split: bool = False,
 ) -> dict[str, DataFrame] | None:
     """Run one date: read ``inbox``/``date``, write ``out``/``date``, load ``warehouse``.
 
@@ -80,10 +81,11 @@ def run_daily(
     Running a date again replaces its folders and leaves the warehouse as it is.
     With ``topics_by_date`` a topic's id holds the date, so that each date keeps
     the labels of its own clusters; without, a cluster's number is the topic
-    and keeps its first label. For ``keys`` see run_batch.
+    and keeps its first label. For ``keys`` see run_batch, for ``multi_line``
+    and ``split`` read_csv.
     """
     paths = {t: f"{inbox}/{date}/{t}.csv" for t in DOC_TYPES}
-    batches = readers.read_doc_types(spark, paths, multi_line)
+    batches = readers.read_doc_types(spark, paths, multi_line, split)
     if not batches:
         return None
     return run_batch(

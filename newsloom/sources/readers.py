@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from newsloom import schemas
+from newsloom.sources.csv_split import read_csv_split
 from newsloom.sources.files import existing
 
 # How this package reads CSV; a stream takes the same.
@@ -28,13 +29,18 @@ def read_csv(
     paths: str | Sequence[str],
     schema: StructType = schemas.RAW,
     multi_line: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """CSV with a header and doubled quotes; a folder is read whole. Empty text reads as null.
 
     Fields may hold line breaks, so a file is read by one task; this package
-    writes a folder of many files. Without ``multi_line`` a file is split among
-    tasks, and a line break inside a field ends the record.
+    writes a folder of many files. With ``split`` large files are read by many
+    tasks with the same result, in two passes (see csv_split for what quotes
+    may stand for). Without ``multi_line`` a file is split among tasks, and a
+    line break inside a field ends the record.
     """
+    if split:
+        return read_csv_split(spark, paths, schema, CSV_OPTIONS)
     return spark.read.schema(schema).options(**CSV_OPTIONS, multiLine=multi_line).csv(paths)
 
 
@@ -43,21 +49,22 @@ def read_docs(
     paths: Iterable[str],
     schema: StructType = schemas.RAW,
     multi_line: bool = True,
+    split: bool = False,
 ) -> DataFrame:
     """All of ``paths`` that exist; an empty frame when none does."""
     present = existing(spark, paths)
     if not present:
         return spark.createDataFrame([], schema)
-    return read_csv(spark, present, schema, multi_line)
+    return read_csv(spark, present, schema, multi_line, split)
 
 
 def read_doc_types(
-    spark: SparkSession, paths: Mapping[str, str], multi_line: bool = True
+    spark: SparkSession, paths: Mapping[str, str], multi_line: bool = True, split: bool = False
 ) -> dict[str, DataFrame]:
     """One frame per document type; types without a file are left out."""
     present = set(existing(spark, paths.values()))
     return {
-        name: read_csv(spark, path, multi_line=multi_line)
+        name: read_csv(spark, path, multi_line=multi_line, split=split)
         for name, path in paths.items()
         if path in present
     }
