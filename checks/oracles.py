@@ -373,5 +373,13 @@ ORACLES = {
                 ORDER BY ts, event_id) AS place FROM events
         ) WHERE place = 1
     """,
+    "stream_first_in_window": """
+        SELECT event_id, ts, user_id, event_type, value, props FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id, event_type, time_bucket(INTERVAL '1 hour', ts)
+                ORDER BY ts, event_id) AS place FROM events
+        ) WHERE place = 1
+        AND time_bucket(INTERVAL '1 hour', ts) + INTERVAL '1 hour' <= (SELECT max(ts) FROM events) - INTERVAL '2 days'
+    """,
+    "stream_once": "SELECT event_id, ts, user_id, event_type, value, props FROM events",
     "month_partition_counts": "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS orders FROM orders GROUP BY 1",
 }

@@ -591,6 +591,46 @@ def stream_first_arrivals(spark, folder):
     )
 
 
+#: Event time by which the rows of the two stateful streams may be late, and parts they are delivered in.
+DELAY = "2 days"
+DELIVERIES = 3
+
+
+def _delivered_events(spark, folder, start) -> None:
+    """Run ``start`` on a stream of events after each of three deliveries; a delivery repeats the end of the one before."""
+    source = scratch_path(spark, "inbox")
+    events = table(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min("ts").cast("double"), F.max("ts").cast("double")).first()
+    for number in range(DELIVERIES):
+        place = (F.col("ts").cast("double") - low) / (high - low) * DELIVERIES
+        again = F.col("ts").cast("double") > low + (high - low) * number / DELIVERIES - 86_400
+        part = F.least(F.floor(place), F.lit(DELIVERIES - 1)) == number
+        earlier = place < number
+        events.where(part | (earlier & again)).write.mode("append").parquet(source)
+        start(spark.readStream.schema(events.schema).parquet(source)).awaitTermination()
+
+
+def _event_columns(rows: DataFrame) -> DataFrame:
+    return rows.select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "user_id", "event_type", "value", "props")
+
+
+def stream_first_in_window(spark, folder):
+    """The first event of a user and type in each hour that is over, kept in a state of two days."""
+    out, progress = scratch_path(spark, "first"), scratch_path(spark, "progress")
+    keys = ("user_id", "event_type")
+    _delivered_events(
+        spark, folder, lambda s: incremental.first_per_window(s, out, progress, keys, "ts", "1 hour", DELAY)
+    )
+    return _event_columns(spark.read.parquet(out))
+
+
+def stream_once(spark, folder):
+    """Every event once, though deliveries overlap by a day."""
+    out, progress = scratch_path(spark, "once"), scratch_path(spark, "progress")
+    _delivered_events(spark, folder, lambda s: incremental.once_per_key(s, out, progress, ("event_id",), "ts", DELAY))
+    return _event_columns(spark.read.parquet(out))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -648,5 +688,7 @@ QUERIES = {
         daily_run,
         incremental_load,
         stream_first_arrivals,
+        stream_first_in_window,
+        stream_once,
     )
 }

@@ -1,4 +1,10 @@
-"""Incremental runs over delivered folders, and streams whose result does not depend on batches."""
+"""Incremental runs over delivered folders, and the first rows of streams.
+
+First rows are found in one of two ways. first_arrivals keeps every batch's
+candidates and decides when it is read: no row is ever late, and what is kept
+grows with the stream. first_per_window and once_per_key keep state only for
+as long as a row may be late by, and write each result once, for good.
+"""
 
 from __future__ import annotations
 
@@ -92,3 +98,58 @@ def first_arrivals(
 def read_first(spark: SparkSession, out: str, keys: tuple[str, ...]) -> DataFrame:
     """What first_arrivals has found so far."""
     return spark.read.parquet(out).groupBy(*keys, "window").agg(F.min("first").alias("first")).select(*keys, "window", "first.*")
+
+
+def first_per_window(
+    stream: DataFrame, out: str, checkpoint: str, keys: tuple[str, ...], event_time: str, width: str, delay: str
+) -> StreamingQuery:
+    """Write the first row of each key in each window of event time, when no earlier one can come any more.
+
+    First is the earliest event time, then the least other columns. A window
+    is written to ``out`` once the newest event time of finished batches lies
+    ``delay`` behind its end; from then on rows of it are late and left out,
+    and late_rows tells how many. The state holds the first rows of windows
+    that are still open, one for each key, and goes on from ``checkpoint``. Cut into
+    batches and order of arrival change nothing as long as no row is late.
+    Event times up to 1970 are late from the start. Results are appended as
+    Parquet files, each exactly once.
+    """
+    rest = [c for c in stream.columns if c not in (*keys, event_time)]
+    window = F.window(event_time, width)
+    first = (
+        stream.withWatermark(event_time, delay)
+        .groupBy(*keys, window.alias("_window"))
+        .agg(F.min(F.struct(event_time, *rest)).alias("first"))
+    )
+    return _appended(first.select(*keys, F.col("_window.start").alias("window"), "first.*"), out, checkpoint)
+
+
+def once_per_key(
+    stream: DataFrame, out: str, checkpoint: str, keys: tuple[str, ...], event_time: str, delay: str
+) -> StreamingQuery:
+    """Write each row at once unless its key came before; for deliveries that may come again.
+
+    A key is remembered until the newest event time of finished batches lies
+    ``delay`` behind its own: a copy whose event time is within ``delay`` of the
+    first one's is always left out. A row older than that is late, is left
+    out whether it is a copy or not, and counted by late_rows. The state holds
+    the keys of the last ``delay`` of event time, whatever the length of the
+    stream. Event times up to 1970 are late from the start.
+    """
+    return _appended(stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys)), out, checkpoint)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came too late in the batches that ``query`` still reports."""
+    return sum(s["numRowsDroppedByWatermark"] for p in query.recentProgress for s in p["stateOperators"])
+
+
+def _appended(rows: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
+    return (
+        rows.writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
