@@ -177,6 +177,13 @@ def _shipped(period: str, category: str) -> str:
     """
 
 
+LEFT3 = """
+    SELECT event_id AS article_id, source AS source_name, quality AS topic_id,
+           CAST(ts AS DATE) AS published_at, CAST(label AS FLOAT) AS sentiment_score
+    FROM events e LEFT JOIN documents d ON d.doc_id = event_id
+    LEFT JOIN labels l ON l.doc_id = event_id LEFT JOIN embeddings ON vec_id = event_id
+"""
+
 ORACLES = {
     "src_csv_roundtrip": """
         SELECT doc_id, chr(9) || text || ' "x", y' || chr(13) || chr(10) || '\\ z' || chr(13) || ' ' AS text, lang, source, n_chars
@@ -284,12 +291,8 @@ ORACLES = {
     "source_reliability": f"""
         SELECT source_name, url, round(reliability_score, 6) AS reliability_score FROM ({SHARES})
     """,
-    "merge_left3": """
-        SELECT event_id AS article_id, source AS source_name, quality AS topic_id,
-               CAST(ts AS DATE) AS published_at, CAST(label AS FLOAT) AS sentiment_score
-        FROM events e LEFT JOIN documents d ON d.doc_id = event_id
-        LEFT JOIN labels l ON l.doc_id = event_id LEFT JOIN embeddings ON vec_id = event_id
-    """,
+    "merge_left3": LEFT3,
+    "merge_bucketed": LEFT3,
     "importance": SCORED,
     "attach_entities": f"""
         SELECT s.*, e.id, e.entities FROM ({SCORED}) s LEFT JOIN ({TEXT_ENTITIES}) e ON e.id = s.article_id

@@ -22,7 +22,7 @@ from newsloom.operators import (
 )
 from newsloom.plans import daily, rankings
 from newsloom.session import scratch_path, spool
-from newsloom.sources import readers, star, writers
+from newsloom.sources import bucketed, readers, star, writers
 from newsloom.streaming import incremental
 
 # Two deliveries that overlap, as ranges of days over a whole table.
@@ -342,20 +342,29 @@ def source_reliability(spark, folder):
 # Facts
 
 
-def merge_left3(spark, folder):
-    """Events with the source, label and cluster of the document of the same number."""
-    return facts.merge_documents(
-        table(spark, folder, "events").select(
+def _left3(spark, folder):
+    """Events, and the source, label and cluster of the document of the same number."""
+    return {
+        "dates": table(spark, folder, "events").select(
             F.col("event_id").alias("id"), F.col("ts").cast("date").alias("published_at")
         ),
-        profiles.doc_sources(table(spark, folder, "documents"), "doc_id", "source"),
-        table(spark, folder, "labels").select(
-            F.col("doc_id").alias("id"), F.col("quality").alias("topic_id")
-        ),
-        table(spark, folder, "embeddings").select(
+        "sources": profiles.doc_sources(table(spark, folder, "documents"), "doc_id", "source"),
+        "topics": table(spark, folder, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("topic_id")),
+        "sentiment": table(spark, folder, "embeddings").select(
             F.col("vec_id").alias("id"), F.col("label").cast("float").alias("sentiment_score")
         ),
-    )
+    }
+
+
+def merge_left3(spark, folder):
+    return facts.merge_documents(*_left3(spark, folder).values())
+
+
+def merge_bucketed(spark, folder):
+    """The same over tables in buckets of the id, which meet without a shuffle."""
+    path = scratch_path(spark, "bucketed")
+    written = [bucketed.write_bucketed(df, f"{path}/{name}", "id", 16) for name, df in _left3(spark, folder).items()]
+    return facts.merge_documents(*written)
 
 
 def _scored(spark, folder):
@@ -670,6 +679,7 @@ QUERIES = {
         doc_sources,
         source_reliability,
         merge_left3,
+        merge_bucketed,
         importance,
         attach_entities,
         monthly_trends,

@@ -21,9 +21,13 @@ from newsloom.operators.topics import CLUSTERS, classify_topics
 from newsloom.operators.words import word_counts
 from newsloom.session import scratch_run, spool
 from newsloom.sources import readers, star, writers
+from newsloom.sources.bucketed import write_bucketed
 
 DOC_TYPES = ("articles", "reports", "blogs")
 
+# Tables with a row for each document.
+PER_DOCUMENT = ("doc_dates", "doc_sources", "doc_topics", "sentiment", "entities")
+
 # Clusters that a date can have where each date has topics of its own.
 TOPICS_OF_A_DATE = 1000
 
@@ -74,6 +78,7 @@ def run_daily(
     keys: tuple[str, ...] = ("id",),
     topics_by_date: bool = False,
     split: bool = False,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame] | None:
     """Run one date: read ``inbox``/``date``, write ``out``/``date``, load ``warehouse``.
 
@@ -90,7 +95,7 @@ def run_daily(
         return None
     return run_batch(
         spark, batches, f"{out}/{date}", warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv, keys,
-        date if topics_by_date else None,
+        date if topics_by_date else None, buckets,
     )
 
 
@@ -107,23 +112,26 @@ def run_batch(
     csv: bool = False,
     keys: tuple[str, ...] = ("id",),
     topics_of: str | None = None,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """One batch of raw frames by document type. Every stage reads the written clean set.
 
     Tables are Parquet; ``csv`` writes each as CSV too, sources and topics as
     a single file. With ``keys`` = ("doc_type", "id") a document's id becomes
     typed_id, so that equal ids of two types are two documents to the end.
-    With ``topics_of``, a date, a topic's id becomes dated_topic. What is
-    written along the way is removed at the end.
+    With ``topics_of``, a date, a topic's id becomes dated_topic. With
+    ``buckets`` what is known of each document is written in so many buckets
+    of its id, and facts are put together bucket by bucket without a shuffle.
+    What is written along the way is removed at the end.
     """
     with scratch_run(spark):
         return _run_batch(
-            spark, batches, folder, warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv, keys, topics_of
+            spark, batches, folder, warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv, keys, topics_of, buckets
         )
 
 
 def _run_batch(
-    spark, batches, folder, warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv, keys, topics_of
+    spark, batches, folder, warehouse, clusters, lexicon, gazetteer, scorer, tagger, csv, keys, topics_of, buckets
 ) -> dict[str, DataFrame]:
     cleaned, refused = clean_docs(batches, keys)
     if "doc_type" in keys:
@@ -145,15 +153,17 @@ def _run_batch(
     tables = _written_together(
         spark,
         folder,
+        buckets,
         topics,
         lambda: {"entities": entities_as_text(entities(docs, gazetteer, tagger))},
         lambda: {"sentiment": sentiment(docs, lexicon, scorer)},
         lambda: {"words": word_counts(docs)},
         lambda: {"sources": source_reliability(docs), "doc_sources": doc_sources(docs)},
         lambda: {"trend": publication_trend(docs), "sites": site_counts(docs)},
+        *([lambda: {"doc_dates": docs.select("id", "published_at")}] if buckets else []),
     )
     merged = merge_documents(
-        docs, tables["doc_sources"], tables["doc_topics"], tables["sentiment"]
+        tables.pop("doc_dates", docs), tables["doc_sources"], tables["doc_topics"], tables["sentiment"]
     )
     tables["merged"] = _stage(spark, merged, f"{folder}/merged")
     scored = daily_insights(tables["merged"], tables["sources"], tables["entities"])
@@ -170,7 +180,7 @@ def _run_batch(
 
 
 def _written_together(
-    spark: SparkSession, folder: str, *analyses: Callable[[], dict[str, DataFrame]]
+    spark: SparkSession, folder: str, buckets: int | None, *analyses: Callable[[], dict[str, DataFrame]]
 ) -> dict[str, DataFrame]:
     """Tables of analyses that do not need each other, their jobs submitted side by side.
 
@@ -178,7 +188,12 @@ def _written_together(
     """
 
     def run(analysis: Callable[[], dict[str, DataFrame]]) -> dict[str, DataFrame]:
-        return {name: _stage(spark, df, f"{folder}/{name}") for name, df in analysis().items()}
+        return {
+            name: write_bucketed(df, f"{folder}/{name}", "id", buckets)
+            if buckets and name in PER_DOCUMENT
+            else _stage(spark, df, f"{folder}/{name}")
+            for name, df in analysis().items()
+        }
 
     with ThreadPoolExecutor(len(analyses)) as pool:
         started = [

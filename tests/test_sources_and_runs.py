@@ -294,3 +294,12 @@ def test_first_arrivals(spark, folder, files):
     stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
     first_arrivals(stream, f"{folder}/o", f"{folder}/c", ("id",), "updated_at", "1 hour").awaitTermination()
     assert tuples(read_first(spark, f"{folder}/o", ("id",)), "id", "title") == [(1, "a"), (1, "c"), (1, "late"), (2, "d")]
+
+
+def test_a_run_in_buckets_from_split_files_gives_the_same(spark, two_days):
+    folder, tables = two_days
+    out = f"{folder}/bucketed"
+    got = run_daily(spark, "2025-02-01", f"{folder}/inbox", out, clusters=2, split=True, buckets=3)
+    assert got.keys() == tables.keys() - {n for n in tables if n.startswith("refused_")}
+    for name in ("clean", "scored", "merged", "doc_sources", "sentiment", "entities"):
+        assert tuples(got[name], *sorted(got[name].columns)) == tuples(tables[name], *sorted(got[name].columns)), name
