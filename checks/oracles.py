@@ -177,6 +177,15 @@ def _shipped(period: str, category: str) -> str:
     """
 
 
+STAR = f"""
+    {SOURCES}
+    SELECT o_orderkey AS article_id, source_id, CAST(o_orderpriority[1] AS INTEGER) AS topic_id,
+           CAST(o_orderdate AS DATE) AS published_at, o_totalprice AS sentiment_score,
+           CASE WHEN {LATE} THEN 1.0::DOUBLE ELSE o_totalprice / 1000 END AS importance_score,
+           strftime(o_orderdate, '%Y-%m') AS month, c_name AS source_name
+    FROM orders JOIN customer ON o_custkey = c_custkey JOIN dim ON dim.name = c_name
+"""
+
 LEFT3 = """
     SELECT event_id AS article_id, source AS source_name, quality AS topic_id,
            CAST(ts AS DATE) AS published_at, CAST(label AS FLOAT) AS sentiment_score
@@ -334,14 +343,8 @@ ORACLES = {
                o_totalprice / 1000 AS importance_score
         FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal >= 0
     """,
-    "star_load": f"""
-        {SOURCES}
-        SELECT o_orderkey AS article_id, source_id, CAST(o_orderpriority[1] AS INTEGER) AS topic_id,
-               CAST(o_orderdate AS DATE) AS published_at, o_totalprice AS sentiment_score,
-               CASE WHEN {LATE} THEN 1.0::DOUBLE ELSE o_totalprice / 1000 END AS importance_score,
-               strftime(o_orderdate, '%Y-%m') AS month, c_name AS source_name
-        FROM orders JOIN customer ON o_custkey = c_custkey JOIN dim ON dim.name = c_name
-    """,
+    "star_load": STAR,
+    "star_load_buckets": STAR,
     "fk_violations": """
         SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
     """,

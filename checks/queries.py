@@ -487,7 +487,7 @@ def fact_resolved(spark, folder):
     return resolved.where(F.col("source_id").isNotNull()).drop("_topic_known")
 
 
-def star_load(spark, folder):
+def star_load(spark, folder, bucket_rows=None):
     """Two overlapping batches loaded into star tables on disk."""
     root = scratch_path(spark, "star")
     orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
@@ -497,12 +497,17 @@ def star_load(spark, folder):
     later = _customer_profile(orders.where(F.col("o_orderdate") >= LATER_FROM), customers, "later")
     early = F.col("published_at") < F.lit(FIRST_YEAR).cast("date")
     late = F.col("published_at") >= F.lit(LATER_FROM).cast("date")
-    star.load_batch(spark, root, scored.where(early), first, topic_rows)
-    star.load_batch(spark, root, changed.where(late), later, topic_rows)
+    star.load_batch(spark, root, scored.where(early), first, topic_rows, bucket_rows)
+    star.load_batch(spark, root, changed.where(late), later, topic_rows, bucket_rows)
     names = star.read_sources(spark, root).select("source_id", F.col("name").alias("source_name"))
     return star.read_facts(spark, root).join(names, "source_id")
 
 
+def star_load_buckets(spark, folder):
+    """The same into buckets of few facts, so that months are cut and loads touch some of their buckets only."""
+    return star_load(spark, folder, bucket_rows=100)
+
+
 def fk_violations(spark, folder):
     return constraints.orphans(
         table(spark, folder, "documents").select("doc_id", "source"), "doc_id", table(spark, folder, "labels"), "doc_id"
@@ -689,6 +694,7 @@ QUERIES = {
         upsert_facts,
         fact_resolved,
         star_load,
+        star_load_buckets,
         fk_violations,
         key_violations,
         null_violations,

@@ -2,11 +2,13 @@
 
 Every load writes what it changes once, into new folders, and then publishes
 it: the dimensions and the list of fact months are small numbered tables, and
-readers take the last finished one. Facts are one folder per month; a load
-writes the months it touches and the list then names these. A load that breaks
-off leaves folders that nothing names. What is no longer named is removed
-after publishing, so a frame read before a load has to be read again. One load
-runs at a time.
+readers take the last finished one. Facts are one folder per month and range
+of article ids, a bucket; a load writes the buckets it touches and the list
+then names these. A bucket of a month begins at its ``low`` id and ends before
+the next one's. One that has grown to more than twice the wanted rows is cut
+when it is written. A load that breaks off leaves folders that nothing names.
+What is no longer named is removed after publishing, so a frame read before a
+load has to be read again. One load runs at a time.
 """
 
 from __future__ import annotations
@@ -25,11 +27,18 @@ from newsloom.operators.joins import lookup_join
 from newsloom.operators.merging import upsert_facts, upsert_sources, upsert_topics
 from newsloom.session import spool
 from newsloom.sources.files import children, exists, remove
-from newsloom.sources.writers import write_partitioned
 
+#: Facts that a bucket is to hold; one with more than twice as many is cut.
+BUCKET_ROWS = 1_000_000
 _FACT_PARTITIONED = StructType(list(schemas.FACT.fields)).add("month", "string")
-_FACT_FOLDERS = StructType(list(_FACT_PARTITIONED.fields)).add("version", "integer")
-_MONTHS = "month string, version int"
+_FACT_FOLDERS = StructType(list(_FACT_PARTITIONED.fields)).add("low", "long").add("version", "integer")
+_BUCKETS = "month string, low long, version int"
+#: The low id of a month's first bucket.
+_LEAST = -(2**63)
+#: Parts into which ids of a large bucket are cut at a time, at most.
+_CUTS = 64
+
+Bucket = tuple[str, int]
 
 
 def read_sources(spark: SparkSession, root: str) -> DataFrame:
@@ -42,11 +51,15 @@ def read_topics(spark: SparkSession, root: str) -> DataFrame:
 
 def read_facts(spark: SparkSession, root: str) -> DataFrame:
     """All facts with their ``month``; a filter on it prunes folders."""
-    listed = _listed_months(spark, root)
+    return _read_buckets(spark, root, _listed(spark, root)).drop("low")
+
+
+def _read_buckets(spark: SparkSession, root: str, listed: dict[Bucket, int]) -> DataFrame:
+    """The facts of the listed buckets with their ``month`` and ``low``."""
     if not listed:
-        return spark.createDataFrame([], _FACT_PARTITIONED)
+        return spark.createDataFrame([], _FACT_FOLDERS).drop("version")
     base = f"{root}/fact_article"
-    paths = [f"{base}/version={version}/month={month}" for month, version in sorted(listed.items())]
+    paths = [f"{base}/version={version}/month={month}/low={low}" for (month, low), version in sorted(listed.items())]
     return spark.read.schema(_FACT_FOLDERS).option("basePath", base).parquet(*paths).drop("version")
 
 
@@ -58,14 +71,20 @@ def register_views(spark: SparkSession, root: str) -> None:
 
 
 def load_batch(
-    spark: SparkSession, root: str, scored: DataFrame, sources: DataFrame, topics: DataFrame
+    spark: SparkSession,
+    root: str,
+    scored: DataFrame,
+    sources: DataFrame,
+    topics: DataFrame,
+    bucket_rows: int | None = None,
 ) -> dict[str, DataFrame]:
     """Upsert one scored batch; gives the refused rows as frames "sources", "topics" and "facts".
 
     Dimensions are written first, then facts, and loading the same batch again
     changes nothing. A source needs a name, a host and a score in [0, 1]; a
     topic an id, a name and a category; a fact a key, a known source and a
-    known topic.
+    known topic. Only buckets that hold or get keys of the batch are read and
+    written; ``bucket_rows`` is BUCKET_ROWS unless it is given.
     """
     good_sources, bad_sources = split_valid(sources, _source_rule())
     good_topics, bad_topics = split_valid(topics, _all_set(schemas.DIM_TOPIC.fieldNames()))
@@ -79,10 +98,12 @@ def load_batch(
         "facts",
     )
     good, bad = split_valid(facts, _fact_rule())
-    touched = _months(good)
+    listed = _listed(spark, root)
+    touched = _touched(_in_buckets(good, list(listed)))
     columns = schemas.FACT.fieldNames()
-    present = read_facts(spark, root).where(F.col("month").isin(touched))
-    _write_facts(upsert_facts(present.select(*columns), good.select(*columns)), root, touched)
+    present = _read_buckets(spark, root, {b: v for b, v in listed.items() if b in touched})
+    upserted = upsert_facts(present.select(*columns), good.select(*columns))
+    _write_facts(upserted, root, listed, touched, bucket_rows or BUCKET_ROWS)
     return {"sources": bad_sources, "topics": bad_topics, "facts": bad.drop("month", "_topic_known")}
 
 
@@ -112,45 +133,88 @@ def delete_topics(spark: SparkSession, root: str, topic_ids: DataFrame) -> None:
 
 
 def _drop_facts(spark: SparkSession, root: str, gone: DataFrame, key: str) -> None:
-    facts = read_facts(spark, root)
-    touched = _months(lookup_join(facts, gone.select(key), [key], "left_semi"))
+    listed = _listed(spark, root)
+    touched = _touched(lookup_join(_read_buckets(spark, root, listed), gone.select(key), [key], "left_semi"))
     if touched:
-        _write_facts(cascade_delete(facts.where(F.col("month").isin(touched)), gone, key), root, touched)
+        present = _read_buckets(spark, root, {b: v for b, v in listed.items() if b in touched})
+        _write_facts(cascade_delete(present.drop("low"), gone, key), root, listed, touched, BUCKET_ROWS)
+
+
+def _touched(facts: DataFrame) -> set[Bucket]:
+    """The buckets of ``facts``: as many as there are folders at most."""
+    return {tuple(row) for row in facts.select("month", "low").distinct().collect()}
 
 
-def _months(facts: DataFrame) -> list[str]:
-    """The months of ``facts``: as many as there are folders at most."""
-    return sorted(row["month"] for row in facts.select("month").distinct().collect())
+def _listed(spark: SparkSession, root: str) -> dict[Bucket, int]:
+    """The version in which each bucket is to be read."""
+    rows = _read_copy(spark, f"{root}/fact_months", _BUCKETS).collect()  # a row for each folder
+    return {(row["month"], row["low"]): row["version"] for row in rows}
 
 
-def _listed_months(spark: SparkSession, root: str) -> dict[str, int]:
-    """The version in which each month is to be read."""
-    rows = _read_copy(spark, f"{root}/fact_months", _MONTHS).collect()  # a row for each folder
-    return {row["month"]: row["version"] for row in rows}
+def _in_buckets(facts: DataFrame, buckets: list[Bucket]) -> DataFrame:
+    """Add ``low``, the bucket of each fact; a month without buckets begins one for all its ids."""
+    lows: dict[str, list[int]] = {}
+    for month, low in sorted(buckets):
+        lows.setdefault(month, []).append(low)
+    by_month = facts.sparkSession.createDataFrame(list(lows.items()), "month string, _lows array<long>")
+    last = F.array_max(F.filter("_lows", lambda low: low <= F.col("article_id")))
+    return lookup_join(facts, by_month, ["month"]).withColumn("low", F.coalesce(last, F.lit(_LEAST))).drop("_lows")
 
 
-def _write_facts(facts: DataFrame, root: str, touched: list[str]) -> None:
-    """Write all facts of the ``touched`` months, publish them, and remove what they replace."""
+def _cuts(placed: DataFrame, bucket_rows: int) -> list[Bucket]:
+    """Where buckets with more than twice the wanted rows are to be cut."""
+    shares = [i / _CUTS for i in range(1, _CUTS)]
+    sizes = placed.groupBy("month", "low").agg(F.count("*").alias("n"), F.percentile_approx("article_id", shares).alias("at"))
+    parts = F.least(F.ceil(F.col("n") / bucket_rows), F.lit(_CUTS)).cast("int")
+    chosen = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.element_at("at", F.floor(i * _CUTS / parts).cast("int")))
+    cuts = sizes.where(F.col("n") > 2 * bucket_rows).select("month", "low", F.explode(chosen).alias("cut"))
+    # a bucket of one id, with a day each, stays as it is
+    return [tuple(r) for r in cuts.where("cut > low").select("month", "cut").distinct().collect()]
+
+
+def _write_facts(facts: DataFrame, root: str, listed: dict[Bucket, int], touched: set[Bucket], bucket_rows: int) -> None:
+    """Write all facts of the ``touched`` buckets, publish them, and remove what they replace."""
     spark, base = facts.sparkSession, f"{root}/fact_article"
     version = max((int(c.removeprefix("version=")) for c in children(spark, base)), default=0) + 1
     dated = facts.select(*schemas.FACT.fieldNames()).withColumn("month", month_key(F.col("published_at")))
-    write_partitioned(dated, f"{base}/version={version}", "month")
-    written = [c.removeprefix("month=") for c in children(spark, f"{base}/version={version}") if c.startswith("month=")]
-    listed = {m: v for m, v in _listed_months(spark, root).items() if m not in touched}
-    listed |= dict.fromkeys(written, version)
-    _write_copy(spark.createDataFrame(sorted(listed.items()), _MONTHS).coalesce(1), f"{root}/fact_months")
-    _remove_unlisted(spark, base, listed)
-
-
-def _remove_unlisted(spark: SparkSession, base: str, listed: dict[str, int]) -> None:
+    dated = spool(dated, "to-write")
+    buckets = set(listed) | touched
+    placed = _in_buckets(dated, list(buckets))
+    while cuts := set(_cuts(placed, bucket_rows)) - buckets:  # each round makes large buckets up to 64 times smaller
+        buckets |= cuts
+        placed = _in_buckets(dated, list(buckets))
+    placed.hint("rebalance", "month", "low").write.mode("overwrite").partitionBy("month", "low").parquet(f"{base}/version={version}")
+    left = {bucket: v for bucket, v in listed.items() if bucket not in touched}
+    left |= dict.fromkeys(_folders(spark, f"{base}/version={version}"), version)
+    rows = [(month, low, v) for (month, low), v in sorted(left.items())]
+    _write_copy(spark.createDataFrame(rows, _BUCKETS).coalesce(1), f"{root}/fact_months")
+    _remove_unlisted(spark, base, left)
+
+
+def _folders(spark: SparkSession, path: str) -> list[Bucket]:
+    """The buckets that a version has written."""
+    months = [c.removeprefix("month=") for c in children(spark, path) if c.startswith("month=")]
+    return [
+        (month, int(c.removeprefix("low=")))
+        for month in months
+        for c in children(spark, f"{path}/month={month}")
+        if c.startswith("low=")
+    ]
+
+
+def _remove_unlisted(spark: SparkSession, base: str, listed: dict[Bucket, int]) -> None:
     for folder in children(spark, base):
-        version = int(folder.removeprefix("version="))
-        if version not in listed.values():
-            remove(spark, f"{base}/{folder}")
+        version, path = int(folder.removeprefix("version=")), f"{base}/{folder}"
+        kept = [bucket for bucket, v in listed.items() if v == version]
+        if not kept:
+            remove(spark, path)
             continue
-        for month in children(spark, f"{base}/{folder}"):
-            if month.startswith("month=") and listed.get(month.removeprefix("month=")) != version:
-                remove(spark, f"{base}/{folder}/{month}")
+        months = {month for month, _ in kept}
+        for month, low in _folders(spark, path):
+            if month not in months:
+                remove(spark, f"{path}/month={month}")
+            elif (month, low) not in kept:
+                remove(spark, f"{path}/month={month}/low={low}")
 
 
 def _source_rule():

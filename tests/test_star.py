@@ -108,6 +108,42 @@ def test_only_touched_months_are_rewritten(spark, root):
     assert len(children(spark, f"{root}/dim_source")) == 1
 
 
+def test_only_touched_buckets_are_rewritten(spark, root):
+    def batch(ids, score):
+        frame = ids.selectExpr("id as article_id", "'a' as source_name", "0 as topic_id")
+        dated = frame.withColumn("published_at", F.expr("date_add(date '2031-05-01', cast(pmod(article_id, 31) as int))"))
+        return dated.withColumn("sentiment_score", F.lit(score)).withColumn("importance_score", F.lit(0.0))
+
+    sources, topics = _sources(spark, ("a", "x", 1.0)), _topics(spark, (0, "n", "c"))
+
+    def load(ids, score):
+        star.load_batch(spark, root, batch(ids, score), sources, topics, bucket_rows=50)
+        return star._listed(spark, root)
+
+    first = load(spark.range(-500, 1500), 0.0)
+    assert 30 <= len(first) <= 64 and {month for month, _ in first} == {"2031-05"}
+    second = load(spark.range(700, 720), 0.5)  # 1 percent of the month's keys
+    assert second.keys() == first.keys() and 1 <= sum(v == 2 for v in second.values()) <= 3
+    assert star.read_facts(spark, root).where("sentiment_score = 0.5").count() == 20
+    third = load(spark.range(1500, 1900), 1.0)  # new ids: the last bucket grows and is cut
+    changed = {b for b, v in third.items() if v == 3}
+    assert len(changed) >= 4 and all(low >= max(second)[1] for _, low in changed)
+    facts = star.read_facts(spark, root)
+    assert facts.count() == facts.select("article_id").distinct().count() == 2400
+    assert tuples(facts.groupBy("sentiment_score").count()) == [(0.0, 1980), (0.5, 20), (1.0, 400)]
+    sizes = star._read_buckets(spark, root, third).groupBy("low").count()
+    assert sizes.where("count > 100").count() == 0
+    again = load(spark.range(1500, 1900), 1.0)  # the same load again: the same buckets
+    assert again.keys() == third.keys() and star.read_facts(spark, root).count() == 2400
+
+
+def test_days_of_one_article_are_not_cut(spark, root):
+    sources, topics = _sources(spark, ("a", "x", 1.0)), _topics(spark, (0, "n", "c"))
+    scored = _scored(spark, *[(7, "a", 0, f"2031-05-{d:02d}", 0.0, 0.0) for d in range(1, 31)])
+    star.load_batch(spark, root, scored, sources, topics, bucket_rows=3)
+    assert star.read_facts(spark, root).count() == 30 and len(star._listed(spark, root)) <= 2
+
+
 def test_a_load_that_broke_off_changes_nothing(spark, root, monkeypatch):
     from newsloom.sources.files import children
 
