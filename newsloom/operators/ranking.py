@@ -11,6 +11,10 @@ from newsloom.operators.joins import equi_join, lookup_join
 from newsloom.session import spool
 
 
+#: Rows that one task may put in order.
+ONE_TASK_ROWS = 1_000_000
+
+
 def ranked(
     df: DataFrame,
     order_by: Sequence[tuple[str, str]],
@@ -23,13 +27,14 @@ def ranked(
     A direction is any sort method of a column: asc, desc, desc_nulls_first...
     The distinct values are cut into ranges, counted per range, and each value
     is placed after the ranges before its own, so a group may have any size.
-    ``aggregated`` says that ``df`` has a row per name or the like, few enough
-    for one task to put a group in order; then it is a plain window.
+    ``aggregated`` says that ``df`` has a row per name or the like. Its rows are
+    counted, and while they are few enough for one task to put in order it is
+    a plain window; beyond, it is cut as well.
     """
-    if aggregated:
+    df = spool(df, "to-rank")
+    if aggregated and df.count() <= ONE_TASK_ROWS:
         window = Window.partitionBy(*partition_by).orderBy(*_sort(order_by))
         return df.withColumn(alias, F.rank().over(window).cast("long"))
-    df = spool(df, "to-rank")
     keys = [*partition_by, *[name for name, _ in order_by]]
     values = df.groupBy(*keys).agg(F.count("*").alias("_ties"))
     places = spool(

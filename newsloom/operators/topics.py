@@ -28,13 +28,15 @@ def fit_topics(
     output: str = "topic_id",
     seed: int = SEED,
     buckets: int = BUCKETS,
+    key: str = "id",
 ) -> PipelineModel:
     """Fit the text-to-cluster pipeline on all rows of ``df``; null text counts as empty.
 
     The term counts are written once, so that neither the term weights nor
     the rounds of k-means read the text again; they are put in an order that
-    the texts fix, so that the same documents always give the same clusters. The driver holds the k centres
-    and one weight per bucket. With fewer distinct documents than ``k`` there
+    the texts and ids fix, so that the same documents always give the same
+    clusters and copies of a text are dealt among tasks by their ids. The
+    driver holds the k centres and one weight per bucket. With fewer distinct documents than ``k`` there
     are as many clusters as distinct documents at most.
     """
     counting = PipelineModel(
@@ -44,8 +46,9 @@ def fit_topics(
             HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=buckets),
         ]
     )
-    place = F.xxhash64(summary).alias("place")
-    counted = counting.transform(df.select(_filled(summary))).select("raw_features", place)
+    identity = [c for c in (key,) if c in df.columns and c != summary]
+    place = F.xxhash64(summary, *identity).alias("place")
+    counted = counting.transform(df.select(_filled(summary), *identity)).select("raw_features", place)
     counts = spool(counted.repartition("place").sortWithinPartitions("place"), "terms").drop("place")
     weighting = IDF(inputCol="raw_features", outputCol="features").fit(counts)
     # The block solver fails where it finds fewer starting points than k.

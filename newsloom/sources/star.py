@@ -9,6 +9,11 @@ the next one's. One that has grown to more than twice the wanted rows is cut
 when it is written. A load that breaks off leaves folders that nothing names.
 What is no longer named is removed after publishing, so a frame read before a
 load has to be read again. One load runs at a time.
+
+Beside each bucket lie its counts and sums by source and topic. A load or a
+deletion writes those of the buckets it touches, so what the facts it replaces
+had added is gone with them, and the totals of all buckets are those of a full
+recount, without reading other facts.
 """
 
 from __future__ import annotations
@@ -32,6 +37,7 @@ from newsloom.sources.files import children, exists, remove
 BUCKET_ROWS = 1_000_000
 _FACT_PARTITIONED = StructType(list(schemas.FACT.fields)).add("month", "string")
 _FACT_FOLDERS = StructType(list(_FACT_PARTITIONED.fields)).add("low", "long").add("version", "integer")
+_SUMS = "source_id long, topic_id int, rows long, articles long, score_sum double, scores long, month string, low long, version int"
 _BUCKETS = "month string, low long, version int"
 #: The low id of a month's first bucket.
 _LEAST = -(2**63)
@@ -54,13 +60,33 @@ def read_facts(spark: SparkSession, root: str) -> DataFrame:
     return _read_buckets(spark, root, _listed(spark, root)).drop("low")
 
 
-def _read_buckets(spark: SparkSession, root: str, listed: dict[Bucket, int]) -> DataFrame:
-    """The facts of the listed buckets with their ``month`` and ``low``."""
+def read_sums(spark: SparkSession, root: str) -> DataFrame:
+    """Counts and sums of the facts by ``month``, ``source_id`` and ``topic_id``, up to date after each load.
+
+    ``rows`` facts, ``articles`` with an id, ``score_sum`` of the ``scores`` importance scores that are set.
+    """
+    sums = _read_buckets(spark, root, _listed(spark, root), "fact_sums", StructType.fromDDL(_SUMS))
+    totals = [F.sum(c).alias(c) for c in ("rows", "articles", "score_sum", "scores")]
+    return sums.groupBy("month", "source_id", "topic_id").agg(*totals)
+
+
+def _read_buckets(
+    spark: SparkSession, root: str, listed: dict[Bucket, int], name: str = "fact_article", schema: StructType = _FACT_FOLDERS
+) -> DataFrame:
+    """The rows of the listed buckets with their ``month`` and ``low``."""
     if not listed:
-        return spark.createDataFrame([], _FACT_FOLDERS).drop("version")
-    base = f"{root}/fact_article"
+        return spark.createDataFrame([], schema).drop("version")
+    base = f"{root}/{name}"
     paths = [f"{base}/version={version}/month={month}/low={low}" for (month, low), version in sorted(listed.items())]
-    return spark.read.schema(_FACT_FOLDERS).option("basePath", base).parquet(*paths).drop("version")
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("version")
+
+
+def _sums(facts: DataFrame) -> DataFrame:
+    score = F.col("importance_score")
+    return facts.groupBy("month", "low", "source_id", "topic_id").agg(
+        F.count("*").alias("rows"), F.count("article_id").alias("articles"),
+        F.sum(score).alias("score_sum"), F.count(score).alias("scores"),
+    )
 
 
 def register_views(spark: SparkSession, root: str) -> None:
@@ -183,12 +209,15 @@ def _write_facts(facts: DataFrame, root: str, listed: dict[Bucket, int], touched
     while cuts := set(_cuts(placed, bucket_rows)) - buckets:  # each round makes large buckets up to 64 times smaller
         buckets |= cuts
         placed = _in_buckets(dated, list(buckets))
-    placed.hint("rebalance", "month", "low").write.mode("overwrite").partitionBy("month", "low").parquet(f"{base}/version={version}")
+    for rows, folder in ((placed, base), (_sums(placed), f"{root}/fact_sums")):
+        even = rows.hint("rebalance", "month", "low").write.mode("overwrite")
+        even.partitionBy("month", "low").parquet(f"{folder}/version={version}")
     left = {bucket: v for bucket, v in listed.items() if bucket not in touched}
     left |= dict.fromkeys(_folders(spark, f"{base}/version={version}"), version)
     rows = [(month, low, v) for (month, low), v in sorted(left.items())]
     _write_copy(spark.createDataFrame(rows, _BUCKETS).coalesce(1), f"{root}/fact_months")
     _remove_unlisted(spark, base, left)
+    _remove_unlisted(spark, f"{root}/fact_sums", left)
 
 
 def _folders(spark: SparkSession, path: str) -> list[Bucket]:

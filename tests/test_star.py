@@ -137,6 +137,37 @@ def test_only_touched_buckets_are_rewritten(spark, root):
     assert again.keys() == third.keys() and star.read_facts(spark, root).count() == 2400
 
 
+def test_sums_equal_a_recount_after_load_reload_and_delete(spark, root):
+    from newsloom.plans.rankings import influential_sources_of_sums, monthly_trends_of_sums
+
+    sources = _sources(spark, *[(f"s{i}", "x", 0.5) for i in range(4)])
+    topics = _topics(spark, *[(i, f"n{i % 2}", "c") for i in range(3)])
+
+    def batch(low, high, score):
+        days = [f"2031-0{i % 3 + 1}-0{i % 9 + 1}" for i in range(low, high)]
+        return _scored(spark, *[(i, f"s{i % 4}", i % 3, d, 0.0, score if i % 5 else None) for i, d in zip(range(low, high), days)])
+
+    def check():
+        facts, sums = star.read_facts(spark, root), star.read_sums(spark, root)
+        named = star.read_sources(spark, root), star.read_topics(spark, root)
+        want = tuples(facts.groupBy("month", "source_id", "topic_id").agg(
+            F.count("*").alias("rows"), F.count("article_id").alias("articles"),
+            F.sum("importance_score").alias("score_sum"), F.count("importance_score").alias("scores"),
+        ))
+        assert tuples(sums) == want and want
+        assert tuples(influential_sources_of_sums(sums, named[0])) == tuples(influential_sources(facts, named[0]))
+        assert tuples(monthly_trends_of_sums(sums, named[1])) == tuples(monthly_trends(facts, named[1]))
+
+    for low, high, score in ((0, 60, 1.0), (30, 90, 2.5), (30, 90, 2.5)):
+        star.load_batch(spark, root, batch(low, high, score), sources, topics, bucket_rows=8)
+        check()
+    star.delete_sources(spark, root, spark.createDataFrame([("s1",)], "name string"))
+    check()
+    star.delete_topics(spark, root, spark.createDataFrame([(2,)], "topic_id int"))
+    check()
+    assert star.read_sums(spark, root).agg(F.sum("rows")).first()[0] == star.read_facts(spark, root).count()
+
+
 def test_days_of_one_article_are_not_cut(spark, root):
     sources, topics = _sources(spark, ("a", "x", 1.0)), _topics(spark, (0, "n", "c"))
     scored = _scored(spark, *[(7, "a", 0, f"2031-05-{d:02d}", 0.0, 0.0) for d in range(1, 31)])
