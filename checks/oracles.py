@@ -345,6 +345,39 @@ ORACLES = {
     """,
     "star_load": STAR,
     "star_load_buckets": STAR,
+    "star_sums": f"""
+        SELECT month, source_id, topic_id, count(*) AS rows, count(article_id) AS articles,
+               round(sum(importance_score), 3) AS score_sum, count(importance_score) AS scores
+        FROM ({STAR}) WHERE topic_id <> 5 GROUP BY month, source_id, topic_id
+    """,
+    "star_trends": f"""
+        SELECT month, topic, article_count, rank() OVER (PARTITION BY month ORDER BY article_count DESC) AS rank
+        FROM (
+            SELECT date_trunc('month', o_orderdate) AS month, o_orderpriority AS topic, count(*) AS article_count
+            FROM orders WHERE o_orderkey IN (SELECT article_id FROM ({STAR})) GROUP BY 1, 2
+        )
+    """,
+    "entities_tagger": """
+        SELECT id, CAST(generate_subscripts(found, 1) - 1 AS INTEGER) AS place, unnest(found) AS text, 'NUMBER' AS label
+        FROM (SELECT doc_id AS id, regexp_extract_all(text, '[0-9]{4,}') AS found FROM documents)
+    """,
+    "hashed_terms": """
+        SELECT doc_id, CAST(n AS INTEGER) AS tokens, n AS hashed FROM (
+            SELECT doc_id, len(string_split_regex(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+$', ''), '[ \\t\\n\\x0B\\f\\r]'))
+                AS n
+            FROM documents
+        )
+    """,
+    "analyze_in_memory": """
+        WITH records AS (SELECT DISTINCT source, lang FROM documents)
+        SELECT word AS filtered_words, count(*) AS count FROM (
+            SELECT source AS word FROM records UNION ALL SELECT lang FROM records UNION ALL SELECT 'item' FROM records
+        ) GROUP BY word
+    """,
+    "raw_sink": "SELECT doc_id AS id, source AS title, nullif(text, '') AS summary FROM documents",
+    "empty_inputs": """
+        SELECT unnest(['clustered', 'labels', 'articles', 'words', 'entities', 'sentiment', 'sources']) AS operator, 0 AS n
+    """,
     "fk_violations": """
         SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
     """,

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.feature import HashingTF, Tokenizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +24,7 @@ from newsloom.operators import (
     topics,
     words,
 )
-from newsloom.plans import daily, rankings
+from newsloom.plans import analysis, daily, rankings
 from newsloom.session import scratch_path, spool
 from newsloom.sources import bucketed, readers, star, writers
 from newsloom.streaming import incremental
@@ -313,6 +317,60 @@ def entities_text(spark, folder):
     return entities.entities_as_text(found)
 
 
+def entities_tagger(spark, folder):
+    """A model in place of the gazetteer: here it finds numbers of four digits or more."""
+
+    def numbers(batches):
+        import re
+
+        for batch in batches:
+            found = [[{"text": n, "label": "NUMBER"} for n in re.findall("[0-9]{4,}", t)] for t in batch["text"]]
+            yield batch[["id"]].assign(entities=found)
+
+    found = entities.entities(with_summary(spark, folder), tagger=numbers)
+    listed = found.select("id", F.posexplode("entities").alias("place", "entity"))
+    return listed.select("id", "place", "entity.text", "entity.label")
+
+
+def hashed_terms(spark, folder):
+    """Tokens of each text, and what the hashed counts of its terms add up to."""
+    docs = table(spark, folder, "documents")
+    tokens = Tokenizer(inputCol="text", outputCol="words").transform(docs.select("doc_id", "text"))
+    hashed = HashingTF(inputCol="words", outputCol="terms", numFeatures=topics.BUCKETS).transform(tokens)
+    counted = F.aggregate(vector_to_array("terms"), F.lit(0.0), lambda a, n: a + n)
+    return hashed.select("doc_id", F.size("words").alias("tokens"), counted.cast("long").alias("hashed"))
+
+
+def analyze_in_memory(spark, folder):
+    """The words of records held in memory, one for each source and language."""
+    docs = table(spark, folder, "documents")
+    firsts = docs.groupBy("source", "lang").agg(F.min("doc_id").alias("id"))
+    records = [
+        {"id": r["id"], "title": r["source"], "news_site": r["source"], "summary": f"{r['source']} Item {r['lang']}", "url": "https://a.example/x"}
+        for r in firsts.collect()  # held in memory, as a user of this has them
+    ]
+    return analysis.analyze_rows(spark, records)["words"]
+
+
+def raw_sink(spark, folder):
+    """Whole texts as a raw delivery and back; empty ones read as null."""
+    path = writers.write_raw(documents(spark, folder).drop("lang"), scratch_path(spark, "raw"))
+    return readers.read_csv(spark, path).select("id", "title", "summary")
+
+
+def empty_inputs(spark, folder):
+    """Rows that operators make of the documents of no language."""
+    none = documents(spark, folder).where("lang = 'none'")
+    clustered, labels = topics.classify_topics(none)
+    found = {
+        "clustered": clustered, "labels": labels, "articles": topics.classify_articles(none),
+        "words": words.word_counts(none), "entities": entities.entities(none, gazetteer(spark)),
+        "sentiment": sentiment.sentiment(none, lexicon(spark)), "sources": profiles.source_reliability(none),
+    }
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("operator"), "n") for name, df in found.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # Counts and profiles
 
 
@@ -487,8 +545,8 @@ def fact_resolved(spark, folder):
     return resolved.where(F.col("source_id").isNotNull()).drop("_topic_known")
 
 
-def star_load(spark, folder, bucket_rows=None):
-    """Two overlapping batches loaded into star tables on disk."""
+def _loaded_star(spark, folder, bucket_rows=None) -> str:
+    """The folder of star tables after two overlapping batches."""
     root = scratch_path(spark, "star")
     orders, customers = table(spark, folder, "orders"), table(spark, folder, "customer")
     scored, topic_rows = _scored_orders(spark, folder), _priority_topics(spark, folder)
@@ -499,13 +557,35 @@ def star_load(spark, folder, bucket_rows=None):
     late = F.col("published_at") >= F.lit(LATER_FROM).cast("date")
     star.load_batch(spark, root, scored.where(early), first, topic_rows, bucket_rows)
     star.load_batch(spark, root, changed.where(late), later, topic_rows, bucket_rows)
+    return root
+
+
+def _named_facts(spark, root: str) -> DataFrame:
     names = star.read_sources(spark, root).select("source_id", F.col("name").alias("source_name"))
     return star.read_facts(spark, root).join(names, "source_id")
 
 
+def star_load(spark, folder):
+    """Two overlapping batches loaded into star tables on disk."""
+    return _named_facts(spark, _loaded_star(spark, folder))
+
+
 def star_load_buckets(spark, folder):
     """The same into buckets of few facts, so that months are cut and loads touch some of their buckets only."""
-    return star_load(spark, folder, bucket_rows=100)
+    return _named_facts(spark, _loaded_star(spark, folder, bucket_rows=100))
+
+
+def star_sums(spark, folder):
+    """Sums kept up to date by two loads and the deletion of a topic."""
+    root = _loaded_star(spark, folder, bucket_rows=100)
+    star.delete_topics(spark, root, spark.createDataFrame([(5,)], "topic_id int"))
+    return star.read_sums(spark, root).withColumn("score_sum", F.round("score_sum", 3))
+
+
+def star_trends(spark, folder):
+    """Topics of each month, from the sums that loads keep up to date."""
+    root = _loaded_star(spark, folder)
+    return rankings.monthly_trends_of_sums(star.read_sums(spark, root), star.read_topics(spark, root))
 
 
 def fk_violations(spark, folder):
@@ -679,6 +759,11 @@ QUERIES = {
         sentiment_scorer,
         entities_gazetteer,
         entities_text,
+        entities_tagger,
+        hashed_terms,
+        analyze_in_memory,
+        raw_sink,
+        empty_inputs,
         publication_trend,
         site_counts,
         doc_sources,
@@ -695,6 +780,8 @@ QUERIES = {
         fact_resolved,
         star_load,
         star_load_buckets,
+        star_sums,
+        star_trends,
         fk_violations,
         key_violations,
         null_violations,
