@@ -2,9 +2,10 @@
 
 Whether a byte lies inside a quoted field follows from the number of quotes
 before it: odd is inside. A first pass counts the quotes of each split and
-adds up the splits before it; a second pass then knows where its first record
-begins. Records that lie in one split never leave their task; only the pieces
-of those that reach over an end of a split are brought together.
+adds up the splits before it; a second one then knows where its first record
+begins and keeps the pieces of records that reach over an end of a split, which
+are brought together. What lies in one split is read last and never leaves its
+task. So a file is read three times, and only pieces are ever written.
 """
 
 from __future__ import annotations
@@ -48,9 +49,10 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     else:
         told = told.withColumn("line", F.monotonically_increasing_id()).join(starts, "block")
         told = told.repartition("block").sortWithinPartitions("block", "line")
-    pieces = spool(told.select("value", "block", "odd", "first").mapInArrow(_assemble, _PIECES), "csv-records")
-    whole = pieces.where(F.col("kind") == WHOLE)
-    return whole.unionByName(_joined(pieces.where(F.col("kind") != WHOLE), blocks)).where(~F.col("header")).select("record")
+    told = told.select("value", "block", "odd", "first")
+    whole = told.mapInArrow(_assembler(pieces=False), _PIECES)
+    pieces = spool(told.mapInArrow(_assembler(pieces=True), _PIECES), "csv-pieces")
+    return whole.unionByName(_joined(pieces, blocks)).where(~F.col("header")).select("record")
 
 
 def read_csv_split(spark: SparkSession, paths: str | Sequence[str], schema: StructType, options: dict) -> DataFrame:
@@ -82,6 +84,19 @@ def _joined(pieces: DataFrame, blocks: DataFrame) -> DataFrame:
     )
 
 
+def _assembler(pieces: bool):
+    """Lines to pieces of records, or to whole records."""
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _assemble(stream):
+            if pieces:
+                rows = rows.filter(pc.not_equal(rows.column(1), WHOLE))
+            if rows.num_rows and (pieces or rows.column(1)[0].as_py() == WHOLE):
+                yield rows
+
+    return run
+
+
 def _assemble(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines to records and pieces. The lines of a split follow each other."""
     block = open_lines = None  # the split, and the lines of the record that is not closed yet

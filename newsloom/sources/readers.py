@@ -35,7 +35,7 @@ def read_csv(
 
     Fields may hold line breaks, so a file is read by one task; this package
     writes a folder of many files. With ``split`` large files are read by many
-    tasks with the same result, in two passes (see csv_split for what quotes
+    tasks with the same result, in three passes (see csv_split for what quotes
     may stand for). Without ``multi_line`` a file is split among tasks, and a
     line break inside a field ends the record.
     """
