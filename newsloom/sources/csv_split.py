@@ -57,7 +57,8 @@ def csv_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def read_csv_split(spark: SparkSession, paths: str | Sequence[str], schema: StructType, options: dict) -> DataFrame:
     """CSV files with line breaks in fields, as csv_records finds the records, parsed with ``options``."""
-    parsed = F.from_csv("record", schema.simpleString()[len("struct<") : -1].replace(":", " "), {**options, "multiLine": "true"})
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parsed = F.from_csv("record", columns, {**options, "multiLine": "true"})
     return csv_records(spark, paths).select(parsed.alias("row")).select("row.*")
 
 
