@@ -61,7 +61,11 @@ def total_chars(df: DataFrame, column: str = "text") -> int:
     return df.agg(F.coalesce(F.sum(F.length(column)), F.lit(0))).first()[0]
 
 
-def batches(stream: Iterator[pa.RecordBatch], text: str, most: int, rows: int | None = None) -> Iterator[pa.Table]:
+#: Texts of a batch at most: what is held for a text besides its bytes stays bounded for very short ones.
+BATCH_ROWS = 20_000
+
+
+def batches(stream: Iterator[pa.RecordBatch], text: str, most: int, rows: int = BATCH_ROWS) -> Iterator[pa.Table]:
     """Record batches put together, or cut, until each holds about ``most`` bytes of text, or ``rows`` rows.
 
     A single text longer than that is a batch by itself.
@@ -71,7 +75,7 @@ def batches(stream: Iterator[pa.RecordBatch], text: str, most: int, rows: int |
         lengths = np.diff(_offsets(batch.column(batch.schema.get_field_index(text))))
         start = 0
         for row, length in enumerate(lengths):
-            if (size and size + length > most) or (rows and count >= rows):
+            if (size and size + length > most) or count >= rows:
                 if row > start:
                     held.append(batch.slice(start, row - start))
                 yield pa.Table.from_batches(held)
