@@ -269,38 +269,41 @@ def _links_across(members: DataFrame, nodes: DataFrame, table: DataFrame, least:
     return _blocks(members, nodes, table).groupBy("bucket", "low", "high").applyInPandas(compare, "a long, b long")
 
 
-def _degrees(members: DataFrame, nodes: DataFrame, table: DataFrame, tested: DataFrame, links: DataFrame, least: float) -> DataFrame:
-    """How many texts each text (node) is similar to, of all that share a bucket with it.
+def every_link(members: DataFrame, nodes: DataFrame, table: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """Links that join all groups, and how many texts each text (node) is similar to, of all that share a bucket with it.
 
-    Every pair counts in the first band it shares: in small buckets those of
-    the pairs ``tested`` that are links, and the others verified; in large
-    ones all are compared in blocks, which give only the sums.
+    Every pair is compared once, in the first band it shares: in small buckets
+    pair by pair, in large ones block by block. A block gives each text's
+    number of links and the first text of its group there, not the pairs.
     """
     own = members.where(F.col("n") <= SMALL_BUCKET).join(nodes.select("node", "bands"), "node")
-    other = own.select("bucket", F.col("node").alias("high"), F.col("bands").alias("others"))
-    first = (
-        own.select("bucket", "band", F.col("node").alias("low"), "bands").join(other, "bucket")
-        .where("low < high AND NOT arrays_overlap(slice(bands, 1, band), slice(others, 1, band))")
-        .select("low", "high")
+    other = own.select("bucket", F.col("node").alias("b"), F.col("bands").alias("others"))
+    pairs = (
+        own.select("bucket", "band", F.col("node").alias("a"), "bands").join(other, "bucket")
+        .where("a < b AND NOT arrays_overlap(slice(bands, 1, band), slice(others, 1, band))")
+        .select("a", "b")
     )
-    first = spool(first.join(tested.select("low", "high", F.lit(True).alias("done")), ["low", "high"], "left"), "pairs")
-    linked = links.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")).distinct()
-    known = first.where("done").join(linked, ["low", "high"], "left_semi").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    pairs = first.where("done IS NULL").select(F.col("low").alias("a"), F.col("high").alias("b"))
-    found = known.unionByName(spool(verify(pairs, table, least), "links"))
+    found = spool(verify(spool(pairs, "pairs"), table, least), "links")
 
     def count(part: pd.DataFrame) -> pd.DataFrame:
         node = part.sort_values(["part", "node"])["node"].to_numpy()
-        n = np.zeros(len(node), dtype=np.int64)
+        n, root = np.zeros(len(node), dtype=np.int64), np.arange(len(node))
         for i, near in similar_in_block(part, least, False):
             n[i] += len(near)
             n[near] += 1
-        return pd.DataFrame({"node": node[n > 0], "count": n[n > 0]})
+            joined = np.unique(np.append(root[near], root[i]))
+            if len(joined) > 1:
+                root[np.isin(root, joined)] = joined[0]
+        own = n > 0
+        return pd.DataFrame({"node": node[own], "count": n[own], "root": node[root[own]]})
 
     large = members.where(F.col("n") > SMALL_BUCKET).withColumn("root", F.col("node"))
-    blocks = _blocks(large, nodes, table, across=False).groupBy("bucket", "low", "high").applyInPandas(count, "node long, count long")
+    blocks = _blocks(large, nodes, table, across=False).groupBy("bucket", "low", "high")
+    blocks = spool(blocks.applyInPandas(count, "node long, count long, root long"), "counts")
     ends = [found.select(F.col(c).alias("node"), F.lit(1).cast("long").alias("count")) for c in ("a", "b")]
-    return blocks.unionByName(ends[0]).unionByName(ends[1]).groupBy("node").agg(F.sum("count").alias("count"))
+    counts = blocks.select("node", "count").unionByName(ends[0]).unionByName(ends[1])
+    links = found.unionByName(blocks.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))
+    return links, counts.groupBy("node").agg(F.sum("count").alias("count"))
 
 
 def _open_members(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -344,17 +347,10 @@ def _finer(members: DataFrame) -> DataFrame:
 def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY, degrees: bool = True) -> tuple[DataFrame, DataFrame | None, DataFrame]:
     """Texts with their node, each linked node's number of links (if ``degrees``), and its root.
 
-    Texts with the same words are one node. In every bucket the members are
-    verified against its hub, the member that shares most buckets with
-    others, as the origin of many copies does; so a bucket takes one
-    comparison a member, however many similar texts share it. Then, while
-    links are found: in buckets where several groups are left, all pairs of
-    different groups are verified if the bucket is small; in a larger one a
-    hub of another group than the first one's is compared with all members,
-    and so are the hubs of the finer buckets of texts that share two bands.
-    At last, in the larger buckets that still hold several groups, all pairs of
-    different groups are compared, block by block. So every pair that shares a
-    bucket is either in one group or was found not similar.
+    Texts with the same words are one node. With ``degrees`` all pairs of a
+    bucket are compared, once each (``every_link``); without, as many as the
+    groups need (``_group_links``). Either way every pair that shares a bucket is in
+    one group or was found not similar.
     """
     texts = spool(signatures(docs), "signatures")
     classes = texts.groupBy("whole", "whole2").agg(F.min(F.struct("key", "copy")).alias("first"), F.min("bands").alias("bands"))
@@ -365,9 +361,28 @@ def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY, degrees: bool =
     shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     members = spool(members.join(shared, "bucket"), "members")
     scores = members.groupBy("node").agg(F.sum("n").alias("score"))
-    members = spool(members.join(scores, "node"), "scored")
     table = spool(_shingle_table(docs, nodes.join(scores, "node").select("node", "key", "copy")), "shingles")
+    if degrees:
+        links, counted = every_link(members, nodes, table, least)
+    else:
+        links, counted = _group_links(spool(members.join(scores, "node"), "scored"), nodes, table, least), None
+    return texts.join(nodes.select("node", "whole", "whole2", F.col("key").alias("class")), ["whole", "whole2"]), counted, components(links)
+
+
+def _group_links(members: DataFrame, nodes: DataFrame, table: DataFrame, least: float) -> DataFrame:
+    """Links that join all groups, with fewer comparisons than all pairs of a bucket.
 
+    In every bucket the members are
+    verified against its hub, the member that shares most buckets with
+    others, as the origin of many copies does; so a bucket takes one
+    comparison a member, however many similar texts share it. Then, while
+    links are found: in buckets where several groups are left, all pairs of
+    different groups are verified if the bucket is small; in a larger one a
+    hub of another group than the first one's is compared with all members,
+    and so are the hubs of the finer buckets of texts that share two bands.
+    At last, in the larger buckets that still hold several groups, all pairs of
+    different groups are compared, block by block.
+    """
     alone = members.withColumn("root", F.col("node"))
     tested = spool(_once(_star(alone, alone)), "star")
     links = spool(verify(tested, table, least), "links")
@@ -386,9 +401,7 @@ def link_texts(docs: DataFrame, least: float = LEAST_SIMILARITY, degrees: bool =
         if found.isEmpty():
             break
         links, tested = links.unionByName(found), tested.unionByName(pairs)
-    counted = _degrees(members, nodes, table, tested.unionByName(pairs), links, least) if degrees else None
-    links = links.unionByName(spool(_links_across(large, nodes, table, least), "links"))
-    return texts.join(nodes.select("node", "whole", "whole2", F.col("key").alias("class")), ["whole", "whole2"]), counted, components(links)
+    return links.unionByName(spool(_links_across(large, nodes, table, least), "links"))
 
 
 def _once(pairs: DataFrame) -> DataFrame:
