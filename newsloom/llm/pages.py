@@ -18,14 +18,16 @@ from newsloom.llm.common import batches, spool
 
 #: Pages whose neighbours are looked for in one task.
 RANGE_ROWS = 20_000
+#: Bits of the states that a comparison of two pages keeps, and of the masks of frequent lines.
+STATE_BITS, MASK_BITS = 1 << 25, 1 << 28
 
 _MARKUP = re.compile(
     r"<!--(?s:.*?)(?:-->|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]{0,5000}+\"|'[^']{0,5000}+'|[\"'])*+)(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)(?:>|\Z)"
 )
-_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_MAIN_ROLE = re.compile(r"(?<![\w-])role\s*=\s*[\"']?(?:article|main)(?![\w-])", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=>\"'/]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?+")
+_USED = {"class", "id", "role", "hidden", "aria-hidden", "style"}
 _PIECES = re.compile(r"[\s_-]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -63,13 +65,24 @@ _SEAL_ROLES = _NOISE_ROLES - {"alert", "alertdialog", "banner", "dialog", "form"
 SEALED, NOISE, OTHER, MAIN = -1, 0, 1, 2
 
 
-def _seals(name: str, attributes: str) -> bool:
+def _attributes(text: str) -> list[tuple[str, str]]:
+    """The attributes that tell what an element is, in order; words inside other attributes' values are none."""
+    if not text:
+        return []
+    found = ((key.lower(), a or b or c) for key, a, b, c in _ATTRIBUTE.findall(text))
+    return [(key, value) for key, value in found if key in _USED]
+
+
+def _is_main(name: str, attributes: list[tuple[str, str]]) -> bool:
+    return name in _MAIN or any(key == "role" and value.lower() in _MAIN for key, value in attributes)
+
+
+def _seals(name: str, attributes: list[tuple[str, str]]) -> bool:
     """Whether an element that is noise may hold other articles than the page's, or none that is shown."""
     if name in _SEALS:
         return True
-    for key, *values in _ATTRIBUTE.findall(attributes or ""):
-        key, value = key.lower(), next((v for v in values if v), "")
-        if key in ("hidden", "aria-hidden", "style") and _is_noise("div", f' {key}="{value}"', False):
+    for key, value in attributes:
+        if key in ("hidden", "aria-hidden", "style") and _is_noise("div", [(key, value)], False):
             return True
         if key == "role" and value.lower() in _SEAL_ROLES:
             return True
@@ -78,14 +91,13 @@ def _seals(name: str, attributes: str) -> bool:
     return False
 
 
-def _is_noise(name: str, attributes: str, in_main: bool) -> bool:
+def _is_noise(name: str, attributes: list[tuple[str, str]], in_main: bool) -> bool:
     if name in _NOISE and not (name == "header" and in_main):
         return True
     if not attributes or name in ("html", "body"):
         return False
-    names = _NOISE_ARTICLES if name in _MAIN or _MAIN_ROLE.search(attributes) else _NOISE_NAMES
-    for key, *values in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), next((v for v in values if v), "")
+    names = _NOISE_ARTICLES if _is_main(name, attributes) else _NOISE_NAMES
+    for key, value in attributes:
         if key == "hidden" or key == "aria-hidden" and value.lower() == "true":
             return True
         if key == "role" and value.lower() in _NOISE_ROLES:
@@ -156,9 +168,10 @@ def blocks(html: str) -> list[tuple[int, str]]:
             continue
         inner = zone
         if zone != SEALED:
-            if _is_noise(name, found[3], zone == MAIN):
-                inner = SEALED if _seals(name, found[3]) else NOISE
-            elif name in _MAIN or "role" in found[3] and _MAIN_ROLE.search(found[3]):
+            attributes = _attributes(found[3])
+            if _is_noise(name, attributes, zone == MAIN):
+                inner = SEALED if _seals(name, attributes) else NOISE
+            elif _is_main(name, attributes):
                 inner = MAIN
         if inner != zone:
             close()
@@ -170,36 +183,93 @@ def blocks(html: str) -> list[tuple[int, str]]:
     return out
 
 
-def shared_lines(own: list, other: list) -> list[int]:
-    """Indexes of ``own`` that lie on a longest common subsequence with ``other``."""
-    low = 0
-    while low < len(own) and low < len(other) and own[low] == other[low]:
-        low += 1
-    high = 0
-    while high < min(len(own), len(other)) - low and own[-1 - high] == other[-1 - high]:
-        high += 1
-    a, b = own[low : len(own) - high], other[low : len(other) - high]
+def _masks(lines: list):
+    """For a line, a number with a bit for each place it has in ``lines``; few are held at a time."""
     where: dict = {}
-    for j, line in enumerate(b):
-        where[line] = where.get(line, 0) | 1 << j
-    full = (1 << len(b)) - 1
-    state, states = full, []
-    for line in a:  # bit j of a state is 0 where the length grows at j
-        states.append(state)
-        hit = state & where.get(line, 0)
-        state = ((state + hit) | (state - hit)) & full
-    middle, j = [], len(b)
-    states.append(state)
+    for j, line in enumerate(lines):
+        where.setdefault(line, []).append(j)
+    held: dict = {}
+
+    def mask(line) -> int:
+        at = where.get(line, ())
+        if len(at) < 8:
+            return sum(1 << j for j in at)
+        if line not in held:
+            if len(held) * len(lines) > MASK_BITS:
+                held.clear()
+            bits = np.zeros(len(lines), dtype=np.uint8)
+            bits[at] = 1
+            held[line] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+        return held[line]
+
+    return mask
+
+
+def _grow(state: int, hit: int, full: int) -> int:
+    """The next line's state; bit j is 0 where the length of the subsequence grows at j."""
+    hit &= state
+    return ((state + hit) | (state - hit)) & full
+
+
+def _lengths(a: list, b: list) -> np.ndarray:
+    """Length of a longest common subsequence of ``a`` and each beginning of ``b``."""
+    mask, full = _masks(b), (1 << len(b)) - 1
+    state = full
+    for line in a:
+        state = _grow(state, mask(line), full)
+    data = np.frombuffer(state.to_bytes(len(b) // 8 + 1, "little"), dtype=np.uint8)
+    return np.append(0, np.cumsum(1 - np.unpackbits(data, bitorder="little")[: len(b)].astype(np.int64)))
+
+
+def _small_lcs(a: list, b: list) -> list[int]:
+    """Indexes of ``a`` on a longest common subsequence with ``b``; keeps a state for each line of ``a``."""
+    mask, full = _masks(b), (1 << len(b)) - 1
+    states = [full]
+    for line in a:
+        states.append(_grow(states[-1], mask(line), full))
+    out, j = [], len(b)
     zeros = lambda s, n: n - (s & ((1 << n) - 1)).bit_count()
     for i in range(len(a), 0, -1):
-        while j and zeros(states[i], j) == zeros(states[i], j - 1):
+        while j and (states[i] >> (j - 1)) & 1:
             j -= 1
         if not j:
             break
         if zeros(states[i - 1], j) < zeros(states[i], j):
-            middle.append(low + i - 1)
+            out.append(i - 1)
             j -= 1
-    return [*range(low), *reversed(middle), *range(len(own) - high, len(own))]
+    return out[::-1]
+
+
+def shared_lines(own: list, other: list) -> list[int]:
+    """Indexes of ``own`` that lie on a longest common subsequence with ``other``.
+
+    Lines that the other page lacks are left out first. Long pages are halved
+    where the lengths of both halves add up to most, so memory grows with the
+    number of lines, not with its square.
+    """
+    low = 0
+    while low < len(own) and low < len(other) and own[low] == other[low]:
+        low += 1
+    high = 0
+    while high < min(len(own), len(other)) - low and own[-1 - high] == other[-1 - high]:
+        high += 1
+    there, here = set(other[low : len(other) - high]), set(own[low : len(own) - high])
+    places = [i for i in range(low, len(own) - high) if own[i] in there]
+    a, b = [own[i] for i in places], [line for line in other[low : len(other) - high] if line in here]
+    middle: list[int] = []
+    open_parts = [(0, len(a), 0, len(b))]
+    while open_parts:  # the part to the left first
+        a0, a1, b0, b1 = open_parts.pop()
+        if a0 == a1 or b0 == b1:
+            continue
+        if a1 - a0 == 1 or (a1 - a0) * (b1 - b0) <= STATE_BITS:
+            middle.extend(a0 + i for i in _small_lcs(a[a0:a1], b[b0:b1]))
+            continue
+        half = (a0 + a1) // 2
+        left, right = _lengths(a[a0:half], b[b0:b1]), _lengths(a[half:a1][::-1], b[b0:b1][::-1])
+        cut = b0 + int(np.argmax(left + right[::-1]))
+        open_parts += [(half, a1, cut, b1), (a0, half, b0, cut)]
+    return [*range(low), *(places[i] for i in middle), *range(len(own) - high, len(own))]
 
 
 def _place(url: str | None) -> tuple[str | None, str]:

@@ -26,6 +26,53 @@ def test_shared_lines_are_a_longest_common_subsequence(seed):
         assert found == sorted(set(found)) and len(found) == length(a, b) and all(a[i] in rest for i in found)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_halved_pages_give_a_longest_common_subsequence(monkeypatch, seed):
+    monkeypatch.setattr(pages, "STATE_BITS", 12)
+    monkeypatch.setattr(pages, "MASK_BITS", 40)
+    rng = random.Random(seed)
+    for kinds, most in ((3, 60), (40, 60), (1, 30)):
+        for _ in range(40):
+            a, b = ([rng.randrange(kinds) for _ in range(rng.randint(0, most))] for _ in range(2))
+            found = shared_lines(a, b)
+            rest = iter(b)
+            assert found == sorted(set(found)) and len(found) == length(a, b) and all(a[i] in rest for i in found)
+
+
+def test_long_pages_take_memory_in_line_with_their_lines():
+    import tracemalloc
+
+    n = 100_000
+    own = list(range(n))
+    other = own[::-1][: n // 2] + own[n // 4 :]
+    tracemalloc.start()
+    assert len(shared_lines(own, list(range(n, 2 * n)))) == 0
+    assert shared_lines(own, other) == own[n // 4 :]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+@pytest.mark.parametrize("size", [4_000, 6_000, 1_000_000])
+def test_long_attribute_values_are_no_text(quote, size):
+    assert blocks(f"<article><p data-x={quote}{'a' * size}>LEAK{quote}>text</p></article>") == [(MAIN, "text")]
+
+
+def test_unclosed_quotes_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert blocks("<article>text</article>" + "<p a='x\" b='" * 100_000)[0] == (MAIN, "text")
+    assert blocks("<article>text</article>" + "<p a=\"x" + "<p class=' y>" * 100_001)[0] == (MAIN, "text")
+    assert time.perf_counter() - start < 5
+
+
+@pytest.mark.parametrize("value", ["the hidden truth", "class=ad", "role=navigation", "style=display:none id=comments"])
+def test_words_in_other_attributes_say_nothing(value):
+    assert blocks(f'<article><p title="{value}">a</p></article><div data-x="role=main">b</div>') == [(MAIN, "a"), (OTHER, "b")]
+
+
 @pytest.mark.parametrize(
     ("html", "wanted"),
     [
