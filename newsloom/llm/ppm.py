@@ -1,4 +1,4 @@
-"""Prediction by partial matching: byte contexts inside words, learned escapes, symbol exclusion."""
+"""Prediction by partial matching: contexts of five bytes across words, escapes, symbol exclusion."""
 
 from __future__ import annotations
 
@@ -7,29 +7,27 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import LOWER, NO_ID, batches, doc_key, hash_words, spool, total_chars, whole_text
+from newsloom.llm.common import LOWER, NO_ID, batches, doc_key, hash_words, mix, spool, total_chars, whole_text
 from newsloom.llm.exchange import (
     ROWS, answer, batch_id, bucket_of, grouped, join_bytes, own_row, per_batch, rows_of, split_bytes,
 )
 
 FOLDS, HELD_OUT = 7, 2
-WORD_END, TEXT_END, SYMBOLS = 256, 257, 258
+#: Bytes of a context.
+ORDER = 5
+TEXT_END, SYMBOLS = 256, 257
 PAD = 0x20
-#: Length of the word prefixes that words are dealt to tasks by; shorter ones are counted in one bounded table.
-HEAD = 3
-BUCKET_WORDS = 50_000
-BUCKET_CHARS = 24_000_000
+BUCKET_CHARS = 12_000_000
 BATCH_BYTES = 8 << 20
-#: A word with more than this part of all tokens is known to every task: there are at most so many.
-HEAVY = 10_000
+#: Symbols whose contexts are worked out at once, and entries that are summed up at once.
+CHUNK, MERGE = 1 << 21, 1 << 21
 _TABLE_ROWS = 400_000
-_CLASSES = 21 * 16
 _LOWERED = bytes(LOWER)
+COUNTED, ASKED = 0, 1
 
 
 def is_held_out(column: str = "doc_id"):
@@ -70,80 +68,9 @@ def vocabulary(rows: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen"))
 
 
-class _Bytes:
-    """Words put together, to read the byte of many words at one place."""
-
-    def __init__(self, words: list[bytes]):
-        self.sizes = np.asarray([len(w) for w in words], dtype=np.int64)
-        self.starts = np.append(0, np.cumsum(self.sizes))[:-1]
-        self.data = np.frombuffer(b"".join(words) + b"\0", dtype=np.uint8)
-
-    def at(self, rows: np.ndarray, place: int) -> np.ndarray:
-        """The symbol of each word at a place: its byte, or the word's end."""
-        inside = place < self.sizes[rows]
-        return np.where(inside, self.data[np.where(inside, self.starts[rows] + place, 0)], WORD_END).astype(np.int64)
-
-    def before(self, rows: np.ndarray, place: int) -> np.ndarray:
-        """The two bytes before a place, blanks before the word's beginning."""
-        a = self.data[self.starts[rows] + place - 2].astype(np.int64) if place > 1 else np.full(len(rows), PAD)
-        b = self.data[self.starts[rows] + place - 1].astype(np.int64) if place > 0 else np.full(len(rows), PAD)
-        return a << 8 | b
-
-
-def _everywhere(words: _Bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All places of all words: the word's row, the two bytes before it, and the symbol."""
-    per = words.sizes + 1
-    row = np.repeat(np.arange(len(per)), per)
-    place = np.arange(len(row)) - np.repeat(np.append(0, np.cumsum(per))[:-1], per)
-    inside = place < words.sizes[row]
-    at = words.starts[row] + place
-    symbol = np.where(inside, words.data[np.where(inside, at, 0)], WORD_END).astype(np.int64)
-    one = np.where(place > 0, words.data[np.maximum(at - 1, 0)], PAD).astype(np.int64)
-    two = np.where(place > 1, words.data[np.maximum(at - 2, 0)], PAD).astype(np.int64)
-    return row, two << 8 | one, symbol
-
-
-def bounded_tables(words: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Counts of symbols after two bytes ("two") and after the words' first bytes ("head").
-
-    Both have at most 256 * 256 contexts of 258 symbols each, however many
-    words there are; only these counts reach the driver.
-    """
-
-    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            own, c = _Bytes(batch.column(0).to_pylist()), batch.column(1).to_numpy()
-            row, context, symbol = _everywhere(own)
-            keys, tables, weights = [context * SYMBOLS + symbol], [np.zeros(len(row), dtype=np.int8)], [c[row]]
-            for place in range(HEAD):
-                some = np.flatnonzero(own.sizes >= place)
-                keys.append(_head_key(own, some, place) * SYMBOLS + own.at(some, place))
-                tables.append(np.full(len(some), 1 + place, dtype=np.int8))
-                weights.append(c[some])
-            key, table, weight = (np.concatenate(x) for x in (keys, tables, weights))
-            both, inverse = np.unique(key * 4 + table, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((both % 4).astype(np.int32)), pa.array(both // 4), pa.array(np.bincount(inverse, weight).astype(np.int64))],
-                names=["place", "entry", "n"],
-            )
-
-    learned = words.where("c > 0").select("word", "c").mapInArrow(count, "place int, entry long, n long")
-    found = learned.groupBy("place", "entry").agg(F.sum("n").alias("n")).toPandas().sort_values(["place", "entry"])
-    out = {"two": found[found["place"] == 0]}
-    out |= {f"head{i}": found[found["place"] == i + 1] for i in range(HEAD)}
-    return {k: (v["entry"].to_numpy(np.int64), v["n"].to_numpy(np.int64)) for k, v in out.items()}
-
-
-def _head_key(words: _Bytes, rows: np.ndarray, place: int) -> np.ndarray:
-    key = np.zeros(len(rows), dtype=np.int64)
-    for i in range(place):
-        key = key << 8 | words.data[words.starts[rows] + i]
-    return key
-
-
 @dataclass
 class Counts:
-    """Counts of symbols after contexts: sorted entries (context * 258 + symbol), and sums by context."""
+    """Counts of symbols after contexts: sorted entries (context * 257 + symbol), and sums by context."""
 
     entries: np.ndarray
     n: np.ndarray
@@ -217,342 +144,237 @@ def _shorter(counts: Counts, shorten) -> Counts:
     return Counts(entries, np.bincount(inverse, counts.n, len(entries)).astype(np.int64))
 
 
-def state(n: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    """The class of a context by its total and its number of symbols."""
-    size = np.minimum(np.floor(np.log2(np.maximum(n, 1))), 20).astype(np.int64)
-    return size * 16 + np.minimum(kinds, 15)
-
-
-def _events(n: np.ndarray, kinds: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """New and known symbols by class, each occurrence judged by the context without it."""
-    judged = n > 1
-    n, kinds, counts = n[judged], kinds[judged], counts[judged]
-    new = counts == 1
-    classes = np.where(new, state(n - 1, kinds - 1), state(n - 1, kinds))
-    return (
-        np.bincount(classes[new], minlength=_CLASSES).astype(np.int64),
-        np.bincount(classes[~new], counts[~new], _CLASSES).astype(np.int64),
-    )
-
-
-def escapes(new: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """The escape probability of each class: its share of new symbols, drawn a little towards kinds / (n + kinds)."""
-    size, kinds = np.divmod(np.arange(_CLASSES), 16)
-    prior = np.maximum(kinds, 1) / (2.0**size * 1.5 + np.maximum(kinds, 1))
-    return np.clip((new + 2 * prior) / (new + known + 2), 1e-6, 1 - 1e-6)
-
-
-class Walk:
-    """All words of a bucket followed byte by byte from their third byte on, contexts being all bytes so far."""
-
-    def __init__(self, words: list[bytes], c: np.ndarray):
-        self.words, self.c = _Bytes(words), c
-
-    def __iter__(self):
-        """For each place: rows, symbols, and of their contexts total and kinds, the symbols' counts, and children."""
-        words = self.words
-        rows = np.flatnonzero(words.sizes >= HEAD)
-        _, node = np.unique(_head_key(words, rows, HEAD), return_inverse=True)
-        place = HEAD
-        while len(rows):
-            symbol = words.at(rows, place)
-            key, inverse, members = np.unique(node * SYMBOLS + symbol, return_inverse=True, return_counts=True)
-            count = np.bincount(inverse, self.c[rows], len(key)).astype(np.int64)
-            owner = key // SYMBOLS
-            total = np.bincount(owner, count).astype(np.int64)
-            kinds = np.bincount(owner, count > 0).astype(np.int64)
-            yield place, rows, node, symbol, inverse, key, owner, count, total, kinds
-            known = (count[inverse] > 0) & (symbol != WORD_END)
-            alone = known & (members[inverse] == 1)  # from here on the context has this word only
-            if alone.any():
-                yield (place, rows[alone])
-            go = known & ~alone
-            rows = rows[go]
-            _, node = np.unique(inverse[go], return_inverse=True)
-            place += 1
-
-
-def _bucketed(words: DataFrame, buckets: int) -> DataFrame:
-    return words.withColumn("bucket", F.pmod(F.xxhash64(F.substring("word", 1, HEAD)), F.lit(buckets)).cast("int"))
-
-
-def learn_escapes(words: DataFrame, heads: list[Counts]) -> np.ndarray:
-    """Escape probabilities from every context of the trie, each occurrence left out in turn."""
-
-    def count(part: pd.DataFrame) -> pd.DataFrame:
-        new, known = np.zeros(_CLASSES, dtype=np.int64), np.zeros(_CLASSES, dtype=np.int64)
-        walk = Walk(part["word"].tolist(), part["c"].to_numpy(np.int64))
-        for step in walk:
-            if len(step) == 2:
-                place, rows = step
-                c = walk.c[rows]
-                rest = walk.words.sizes[rows] - place  # contexts with one symbol each
-                twice = c > 1
-                known += np.bincount(state(c[twice] - 1, np.ones(twice.sum(), dtype=np.int64)), c[twice] * rest[twice], _CLASSES).astype(np.int64)
-                continue
-            *_, owner, n, total, kinds = step
-            own = n > 0
-            a, b = _events(total[owner][own], kinds[owner][own], n[own])
-            new += a
-            known += b
-        some = np.flatnonzero(new + known)
-        return pd.DataFrame({"class": some, "new": new[some], "known": known[some]})
-
-    found = (
-        words.groupBy("bucket").applyInPandas(count, "class long, new long, known long")
-        .groupBy("class").agg(F.sum("new").alias("new"), F.sum("known").alias("known")).collect()
-    )
-    new, known = np.zeros(_CLASSES), np.zeros(_CLASSES)
-    for r in found:  # a few hundred classes
-        new[r["class"]] += r["new"]
-        known[r["class"]] += r["known"]
-    for head in heads:
-        owner = np.searchsorted(head.contexts, head.entries // SYMBOLS)
-        a, b = _events(head.total[owner], head.kinds[owner], head.n)
-        new, known = new + a, known + b
-    return escapes(new, known)
+def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    distinct, inverse = np.unique(keys, return_inverse=True)
+    return distinct, np.bincount(inverse, n, len(distinct)).astype(np.int64)
+
+
+class Stream:
+    """The symbols of a batch of texts: each word's bytes and a blank, then the text's end."""
+
+    def __init__(self, words):
+        sizes = words.ends - words.starts
+        texts = len(words.first) - 1
+        per_text = np.append(0, np.cumsum(sizes + 1))[words.first]
+        lead = np.arange(texts, dtype=np.int64) * (ORDER + 1) + ORDER  # blanks before each text, and the ends of those before
+        self.symbols = np.full(int(per_text[-1]) + texts * (ORDER + 1), PAD, dtype=np.int16)
+        to = np.append(0, np.cumsum(sizes + 1))[:-1] + lead[words.docs]
+        inside = np.arange(int(sizes.sum())) - np.repeat(np.append(0, np.cumsum(sizes))[:-1], sizes)
+        self.symbols[np.repeat(to, sizes) + inside] = words.data[np.repeat(words.starts, sizes) + inside]
+        self.first, self.end = per_text[:-1] + lead, per_text[1:] + lead  # each text's first symbol, and its end
+        self.symbols[self.end] = TEXT_END
+
+    def chunks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Entries (context * 257 + symbol) of all places in order, and their texts."""
+        for low in range(0, len(self.symbols), CHUNK):
+            high = min(low + CHUNK, len(self.symbols))
+            before = max(low - ORDER, 0)
+            part = self.symbols[before:high].astype(np.int64)
+            context = np.zeros(high - low, dtype=np.int64)
+            for back in range(ORDER, 0, -1):
+                context <<= 8
+                at = np.arange(low - back, high - back) - before
+                context |= np.where(at >= 0, part[np.maximum(at, 0)], 0) & 0xFF
+            place = np.arange(low, high)
+            text = np.searchsorted(self.end, place)
+            real = place >= self.first[text]
+            yield (context * SYMBOLS + part[low - before :])[real], text[real]
+
+    def entries(self, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct entries in order, and how often each occurs in the texts that are learned from."""
+        keys, n = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        for key, text in self.chunks():
+            both = np.sort(key * 2 + learned[text])
+            new = np.flatnonzero(np.append(True, both[1:] != both[:-1])[: len(both)])
+            keys.append(both[new] >> 1)
+            n.append(np.diff(np.append(new, len(both))) * (both[new] & 1))
+        return _sums(np.concatenate(keys), np.concatenate(n))
+
+
+def _context_bucket(entries: np.ndarray, buckets: int) -> np.ndarray:
+    return bucket_of(mix((entries // SYMBOLS).astype(np.uint64)), buckets)
+
+
+def fallback_table(asked: DataFrame) -> Fallback:
+    """The model of orders two to none, from the counts that all batches have sent.
+
+    It has at most 256 * 256 contexts of 257 symbols each, however many texts
+    there are; only these counts reach the driver.
+    """
+
+    def shorten(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        for batch in stream:
+            for payload in batch.column(0).to_pylist():
+                entry, count = split_bytes(payload, np.int64, np.uint32)
+                entry, count = entry[count > 0], count[count > 0]
+                own = (entry // SYMBOLS & 0xFFFF) * SYMBOLS + entry % SYMBOLS
+                keys, n = _sums(np.append(keys, own), np.append(n, count))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["entry", "n"])
+
+    sent = asked.where(F.col("kind") == COUNTED).select("payload").mapInArrow(shorten, "entry long, n long")
+    found = sent.groupBy("entry").agg(F.sum("n").alias("n")).toPandas().sort_values("entry")
+    return Fallback(found["entry"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
 
 
-@dataclass
 class Model:
-    fallback: Fallback
-    heads: list[Counts]
-    taken: list[np.ndarray]
-    escape: np.ndarray
-
-    def head_log10(self, place: int, context: np.ndarray, symbol: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log10 probabilities at the words' first places, and whether the word so far is known."""
-        head = self.heads[place]
-        total, kinds = head.sums(context)
-        found = head.count(context, symbol)
-        escape = self.escape[state(total, kinds)]
-        result = np.zeros(len(symbol))
-        hit = found > 0
-        result[hit] = np.log10(1 - escape[hit]) + np.log10(found[hit] / total[hit])
-        taken = _look_up(head.contexts, self.taken[place], context)
-        seen = total > 0
-        result[~hit] = np.where(seen, np.log10(escape), 0)[~hit] + self.fallback.log10(
-            two[~hit], symbol[~hit], np.where(seen, taken, 0)[~hit], np.where(seen, kinds, 0)[~hit]
+    """All entries of some contexts of five bytes, and the shorter contexts below them."""
+
+    def __init__(self, entries: np.ndarray, n: np.ndarray, fallback: Fallback):
+        self.five, self.fallback = Counts(entries, n), fallback
+        self.gone = fallback.two.mass(self.five, lambda c: c & 0xFFFF)
+
+    def log10(self, entries: np.ndarray) -> np.ndarray:
+        context, symbol = entries // SYMBOLS, entries % SYMBOLS
+        total, kinds = self.five.sums(context)
+        found = self.five.count(context, symbol)
+        below = np.log10(np.maximum(total + kinds, 1))
+        miss = found == 0
+        result = np.log10(np.maximum(found, 1)) - below
+        result[miss] = (np.log10(np.maximum(kinds, 1)) - below)[miss] + self.fallback.log10(
+            context[miss] & 0xFFFF, symbol[miss], _look_up(self.five.contexts, self.gone, context)[miss], kinds[miss]
         )
-        return result, hit
-
-    def word_log10(self, words: list[bytes], c: np.ndarray) -> np.ndarray:
-        """The log10 probability of each word and its end; all words of a prefix must be there."""
-        walk = Walk(words, c)
-        own = walk.words
-        result = np.zeros(len(words))
-        lost = np.full(len(words), -1)  # the place from which on a word is not known
-        rows = np.arange(len(words))
-        for place in range(HEAD):
-            rows = rows[own.sizes[rows] >= place]
-            symbol = own.at(rows, place)
-            code, hit = self.head_log10(place, _head_key(own, rows, place), symbol, own.before(rows, place))
-            result[rows] += code
-            lost[rows[~hit & (symbol != WORD_END)]] = place + 1
-            rows = rows[hit & (symbol != WORD_END)]
-        for step in walk:
-            if len(step) == 2:
-                place, rows = step
-                rows = rows[lost[rows] < 0]
-                times = own.sizes[rows] - place
-                result[rows] += times * np.log10(1 - self.escape[state(c[rows], np.ones(len(rows), dtype=np.int64))])
-                continue
-            place, rows, node, symbol, inverse, key, owner, count, total, kinds = step
-            n, t, found = total[node], kinds[node], count[inverse]
-            escape = self.escape[state(n, t)]
-            counted = lost[rows] < 0
-            hit = counted & (found > 0)
-            result[rows[hit]] += np.log10(1 - escape[hit]) + np.log10(found[hit] / n[hit])
-            new = counted & (found == 0)
-            if new.any():
-                two = own.before(rows, place)
-                of_node = np.zeros(len(total), dtype=np.int64)
-                of_node[node] = two
-                gone = np.bincount(owner, np.where(count > 0, self.fallback.two.count(of_node[owner], key % SYMBOLS), 0), len(total))
-                result[rows[new]] += np.where(n > 0, np.log10(escape), 0)[new] + self.fallback.log10(
-                    two[new], symbol[new], gone[node[new]].astype(np.int64), t[new]
-                )
-                later = new & (symbol != WORD_END)
-                lost[rows[later]] = place + 1
-        some = np.flatnonzero(lost >= 0)
-        if len(some):
-            rest = _Bytes([words[i] for i in some])
-            row, two, symbol = _everywhere(rest)
-            per = np.append(0, np.cumsum(rest.sizes + 1))[:-1]
-            after = np.arange(len(row)) - per[row] >= lost[some][row]
-            code = np.where(after, self.fallback.log10(two, symbol), 0)
-            result[some] += np.bincount(row, code, len(some))
         return result
 
-    def end_log10(self) -> float:
-        """The log10 probability that a text ends instead of having another word."""
-        one = lambda x: np.asarray([x], dtype=np.int64)
-        return float(self.head_log10(0, one(0), one(TEXT_END), one(PAD << 8 | PAD))[0][0])
 
+class _Table:
+    """Sums of counts by key, added up as they come."""
 
-def fit(words: DataFrame, texts: int) -> Model:
-    """The model of the words with c > 0 and of so many texts' ends."""
-    tables = bounded_tables(words)
+    def __init__(self):
+        self.parts, self.size = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))], 0
 
-    def with_end(entries: np.ndarray, n: np.ndarray, context: int) -> tuple[np.ndarray, np.ndarray]:
-        if not texts:
-            return entries, n
-        key = context * SYMBOLS + TEXT_END
-        at = np.searchsorted(entries, key)
-        return np.insert(entries, at, key), np.insert(n, at, texts)
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        learned = n > 0
+        self.parts.append((keys[learned], n[learned].astype(np.int64)))
+        self.size += len(keys)
+        if self.size > max(MERGE, 2 * len(self.parts[0][0])):
+            self.sums()
 
-    fallback = Fallback(*with_end(*tables["two"], PAD << 8 | PAD))
-    heads = [Counts(*(with_end(*tables[f"head{i}"], 0) if i == 0 else tables[f"head{i}"])) for i in range(HEAD)]
-    pads = (lambda c: c * 0 + (PAD << 8 | PAD), lambda c: PAD << 8 | c, lambda c: c)
-    taken = [fallback.two.mass(head, pad) for head, pad in zip(heads, pads)]
-    return Model(fallback, heads, taken, learn_escapes(words, heads))
-
-
-def _vocabulary_rows(words: DataFrame, model: Model, buckets: int) -> DataFrame:
-    """hash, c, seen and score of every word, packed by the hash's bucket for the exchange."""
-
-    def score(part: pd.DataFrame) -> pd.DataFrame:
-        own, c = part["word"].tolist(), part["c"].to_numpy(np.int64)
-        hashes = hash_words(pa.array(own, pa.binary())).hashes
-        return pd.DataFrame({"hash": hashes.view(np.int64), "c": c, "seen": part["seen"], "score": model.word_log10(own, c)})
-
-    return words.groupBy("bucket").applyInPandas(score, "hash long, c long, seen long, score double")
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        merged = _sums(*(np.concatenate([p[i] for p in self.parts]) for i in range(2)))
+        self.parts, self.size = [merged], 0
+        return merged
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     Learns from documents that are not held out. Tokens are words in lower
-    case (A-Z only) and one end per text. ``score`` codes the tokens byte by
-    byte: the context is the word so far; where a byte has not followed it, an
-    escape is paid and the contexts of the last two bytes, of one and of none
-    are tried, without the symbols that the longer context has had; at last all
-    symbols are equally likely. Contexts do not reach over a word's beginning,
-    so each distinct word is coded once, however often it occurs. The escape of
-    a context of the word so far is what contexts of its size and variety show
-    when each occurrence is left out in turn; the shorter ones take kinds /
-    (n + kinds). The probabilities of all texts sum to at most one.
-
-    A null text is empty and has one token, the end. Null ids are kept and
-    held out or not by the empty string. Repeated rows are documents of their
-    own. With nothing to learn from, all symbols are equally likely.
+    case (A-Z only) and one end per text. ``score`` codes the words byte by
+    byte, a blank after each, and the text's end: the context is the five bytes
+    before, whatever words they are of (blanks before the text); where a byte
+    has not followed it, an escape is paid and the contexts of the last two
+    bytes, of one and of none are tried, without the symbols that the longer
+    context has had; at last all symbols are equally likely. An escape has
+    the share kinds / (n + kinds) in every context.
+
+    Each batch of texts sums up its distinct contexts and symbols and sends
+    them to buckets by the hash of the context, once with counts to learn from and
+    once to be answered; it gets their log10 probabilities back.
+
+    A null text is empty and has one token, the end. Very long texts are a
+    batch of their own, worked through in pieces of bounded size that share
+    the bytes at their borders. Other columns are left out, whatever their names.
+    Null ids are kept and held out or not by the empty string. Repeated rows
+    are documents of their own. With nothing to learn from, all symbols are
+    equally likely.
     """
     rows = _rows(docs)
-    chars = total_chars(rows)
-    words = spool(vocabulary(rows), "vocabulary")
-    size = words.count()
-    words = spool(_bucketed(words, max(1, -(-size // BUCKET_WORDS))), "words")
-    sums = words.agg(F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("v"), F.sum("seen").alias("seen")).first()
+    buckets = max(1, -(-total_chars(rows) // BUCKET_CHARS))
+    sums = vocabulary(rows).agg(F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("v")).first()
     texts = rows.where(~F.col("held_out")).count()
     tokens, kinds = (sums["c"] or 0) + texts, (sums["v"] or 0) + (1 if texts else 0)
-    model = fit(words, texts)
     below = np.log10(tokens + kinds + 1)
-    buckets = max(1, -(-chars // BUCKET_CHARS))
-    scored = spool(_vocabulary_rows(words, model, buckets), "word-scores")
-    heavy = scored.where(F.col("seen") * HEAVY > F.lit(sums["seen"] or 0)).toPandas().sort_values("hash")
-    heavy_hash = np.sort(heavy["hash"].to_numpy(np.int64).view(np.uint64))
-    by_hash = np.argsort(heavy["hash"].to_numpy(np.int64).view(np.uint64))
-    heavy_c, heavy_score = heavy["c"].to_numpy(np.int64)[by_hash], heavy["score"].to_numpy(float)[by_hash]
-    end = model.end_log10()
-    del model
-
-    def pack(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in stream:
-            hashes = batch.column(0).to_numpy().view(np.uint64)
-            c, score = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            yield rows_of(
-                [
-                    (bucket, 0, 0, join_bytes(hashes[own], c[own], score[own]))
-                    for bucket, own in grouped(bucket_of(hashes, buckets))
-                ]
-            )
-
-    def sums_of(doc, times, c, score, n):
-        """Per document of a batch: base, score and known tokens."""
-        base = np.bincount(doc, times * (np.log10(c + 1) - below), n)
-        return base, np.bincount(doc, times * score, n), np.bincount(doc, times * (c > 0), n)
 
     def ask(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, table in enumerate(batches(stream, "text", BATCH_BYTES)):
             keys, held = table["key"].to_numpy(), table["held_out"].to_numpy()
-            n = len(keys)
             words = hash_words(table["text"], lower=True)
             batch = batch_id(keys, number)
-            order = np.argsort(words.hashes, kind="stable")
-            hashes, doc = words.hashes[order], words.docs[order]
-            new = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1]))[: len(order)])
-            times = np.diff(np.append(new, len(order)))
-            hashes, doc = hashes[new], doc[new]
-            known = np.zeros(len(hashes), dtype=bool)
-            at = np.zeros(len(hashes), dtype=int)
-            if len(heavy_hash):
-                at = np.minimum(np.searchsorted(heavy_hash, hashes), len(heavy_hash) - 1)
-                known = heavy_hash[at] == hashes
-            own = sums_of(doc[known], times[known], heavy_c[at[known]], heavy_score[at[known]], n)
-            out = [own_row(batch, buckets, keys, np.diff(words.first) + 1, np.zeros(0), join_bytes(held.astype(np.uint8), *own))]
-            hashes, doc, times = hashes[~known], doc[~known], times[~known]
-            bucket = bucket_of(hashes, buckets)
-            cuts = np.searchsorted(bucket, np.arange(buckets + 1)) if len(hashes) else np.zeros(buckets + 1, dtype=int)
-            for b, (low, high) in enumerate(zip(cuts[:-1], cuts[1:])):
-                if low < high:
-                    h = hashes[low:high]
-                    first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-                    per = np.diff(np.append(first, len(h))).astype(np.uint32)
-                    out.append(
-                        (b, 1, batch, join_bytes(h[first], _planes(per), _planes(doc[low:high]), _planes(times[low:high]), np.asarray([n])))
-                    )
+            entries, n = Stream(words).entries(~held)
+            hashes, word_n = _words_of(words, ~held)
+            extra = join_bytes(held.astype(np.uint8), words.offsets, words.data)
+            out = [own_row(batch, buckets, keys, np.diff(words.first) + 1, np.zeros(0), extra)]
+            of_words = dict(grouped(bucket_of(hashes, buckets)))
+            of_entries = dict(grouped(_context_bucket(entries, buckets)))
+            none = np.zeros(0, dtype=np.int64)
+            for bucket in sorted(of_words.keys() | of_entries.keys()):
+                a, b = of_entries.get(bucket, none), of_words.get(bucket, none)
+                counted = join_bytes(entries[a], n[a].astype(np.uint32), hashes[b], word_n[b].astype(np.uint32))
+                out.append((bucket, COUNTED, batch, counted))
+                out.append((bucket, ASKED, batch, join_bytes(entries[a], hashes[b])))
             yield rows_of(out)
 
+    asked = spool(rows.mapInArrow(ask, ROWS), "asked")
+    fallback = fallback_table(asked)
+
     def reply(group: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, bytes]]:
-        parts, index = [], None
+        entries, words, model, known = _Table(), _Table(), None, None
         for kind, batch, payload in group:
-            if kind == 0:
-                parts.append(split_bytes(payload, np.uint64, np.int64, np.float64))
+            if kind == COUNTED:
+                key, n, word, word_n = split_bytes(payload, np.int64, np.uint32, np.uint64, np.uint32)
+                entries.add(key, n)
+                words.add(word.view(np.int64), word_n)
                 continue
-            if index is None:
-                index = [np.concatenate([p[i] for p in parts]) for i in range(3)]
-                order = np.argsort(index[0])
-                index = [x[order] for x in index]
-            hashes, per, doc, times, n = split_bytes(payload, np.uint64, np.uint8, np.uint8, np.uint8, np.int64)
-            at = np.repeat(np.searchsorted(index[0], hashes), _unplaned(per))
-            doc, times = _unplaned(doc), _unplaned(times)
-            base, score, known = sums_of(doc, times, index[1][at], index[2][at], int(n[0]))
-            some = np.unique(doc)
-            yield batch, join_bytes(some.astype(np.uint32), base[some], score[some], known[some].astype(np.uint32))
+            if model is None:
+                model, known = Model(*entries.sums(), fallback), words.sums()
+            key, word = split_bytes(payload, np.int64, np.int64)
+            yield batch, join_bytes(np.asarray([_bucket(key, word, buckets)]), model.log10(key), _look_up(*known, word))
 
     def finish(own, replies: list[bytes]) -> Iterator[pa.RecordBatch]:
         keys, n_tokens, _, extra = own
-        held, base, score, known = (x.copy() for x in split_bytes(extra, np.uint8, np.float64, np.float64, np.float64))
+        held, offsets, data = split_bytes(extra, np.uint8, np.int64, np.uint8)
+        texts_again = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(keys), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())]
+        )
+        words = hash_words(texts_again)
+        answers = {}
         for payload in replies:
-            doc, *more = split_bytes(payload, np.uint32, np.float64, np.float64, np.uint32)
-            base[doc] += more[0]
-            score[doc] += more[1]
-            known[doc] += more[2]
+            bucket, logs, c = split_bytes(payload, np.int64, np.float64, np.int64)
+            answers[int(bucket[0])] = (logs, c)
+        stream, count = Stream(words), len(keys)
+        entries, _ = stream.entries(held == 0)
+        logs = np.zeros(len(entries))
+        for bucket, at in grouped(_context_bucket(entries, buckets)):
+            logs[at] = answers[bucket][0]
+        score = np.zeros(count)
+        for key, text in stream.chunks():
+            score += np.bincount(text, logs[np.searchsorted(entries, key)], count)
+        hashes, _ = _words_of(words, held == 0)
+        c = np.zeros(len(hashes), dtype=np.int64)
+        for bucket, at in grouped(bucket_of(hashes, buckets)):
+            c[at] = answers[bucket][1]
+        own_c, docs_of = c[np.searchsorted(hashes, words.hashes)], words.docs
+        base = np.bincount(docs_of, np.log10(own_c + 1) - below, count) + np.log10(texts + 1) - below
+        known = np.bincount(docs_of, own_c > 0, count).astype(np.int64) + (1 if texts else 0)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(keys, mask=keys == NO_ID),
                 pa.array(held.astype(bool)),
                 pa.array(n_tokens),
-                pa.array(known.astype(np.int64) + (1 if texts else 0)),
-                pa.array(np.full(len(keys), tokens, dtype=np.int64)),
-                pa.array(base + np.log10(texts + 1) - below),
-                pa.array(score + end),
+                pa.array(known),
+                pa.array(np.full(count, tokens, dtype=np.int64)),
+                pa.array(base),
+                pa.array(score),
             ],
             names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
         )
 
-    asked = rows.mapInArrow(ask, ROWS).unionByName(scored.select("hash", "c", "score").mapInArrow(pack, ROWS))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return per_batch(answer(asked, buckets, reply), finish, schema)
 
 
-def _planes(values: np.ndarray) -> np.ndarray:
-    """Whole numbers as bytes, lowest bytes first; the higher planes are mostly zero."""
-    return np.ascontiguousarray(values.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).reshape(-1)
+def _words_of(words, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of the words in order, and how often each occurs in the texts that are learned from."""
+    return _sums(words.hashes, learned[words.docs])
 
 
-def _unplaned(planes: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).reshape(-1).astype(np.int64)
+def _bucket(entries: np.ndarray, hashes: np.ndarray, buckets: int) -> int:
+    """The bucket that these are of."""
+    if len(entries):
+        return int(_context_bucket(entries[:1], buckets)[0])
+    return int(bucket_of(hashes[:1].view(np.uint64), buckets)[0])
 
 
 def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

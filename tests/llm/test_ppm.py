@@ -1,12 +1,10 @@
 from __future__ import annotations
 
-import itertools
 import math
 import random
 import zlib
 from collections import Counter
 
-import numpy as np
 import pytest
 from .conftest import sentence
 
@@ -27,39 +25,22 @@ class Plain:
     """The same model with dictionaries."""
 
     def __init__(self, learned):
-        self.trie, self.two = {}, {}
+        self.five, self.two, self.one, self.none = {}, {}, {}, Counter()
         for own in learned:
-            for word in own:
-                self._add(word)
-            self.trie.setdefault(b"", Counter())[257] += 1
-            self.two.setdefault(b"  ", Counter())[257] += 1
-        self.one, self.none = {}, Counter()
-        for context, counts in self.two.items():
-            self.one.setdefault(context[1:], Counter()).update(counts)
-            self.none.update(counts)
-        new, known = np.zeros(ppm._CLASSES), np.zeros(ppm._CLASSES)
-        for counts in self.trie.values():
-            n, t = sum(counts.values()), len(counts)
-            for c in counts.values() if n > 1 else ():
-                if c == 1:
-                    new[self._class(n - 1, t - 1)] += 1
-                else:
-                    known[self._class(n - 1, t)] += c
-        self.escape = ppm.escapes(new, known)
+            for context, symbol in self.places(own):
+                self.five.setdefault(context, Counter())[symbol] += 1
+                self.two.setdefault(context[-2:], Counter())[symbol] += 1
+                self.one.setdefault(context[-1:], Counter())[symbol] += 1
+                self.none[symbol] += 1
 
     @staticmethod
-    def _class(n, t):
-        return min(int(math.log2(max(n, 1))), 20) * 16 + min(t, 15)
-
-    def _add(self, word):
-        for i in range(len(word) + 1):
-            symbol = word[i] if i < len(word) else 256
-            self.trie.setdefault(word[:i], Counter())[symbol] += 1
-            self.two.setdefault((b"  " + word)[i : i + 2], Counter())[symbol] += 1
-
-    def fallback(self, context, symbol, excluded):
-        p = 1.0
-        for counts in (self.two.get(context, {}), self.one.get(context[1:], {}), self.none):
+    def places(own):
+        text = b" " * 5 + b"".join(w + b" " for w in own)
+        return [(text[i - 5 : i], text[i] if i < len(text) else 256) for i in range(5, len(text) + 1)]
+
+    def probability(self, context, symbol):
+        p, excluded = 1.0, set()
+        for counts in (self.five.get(context, {}), self.two.get(context[-2:], {}), self.one.get(context[-1:], {}), self.none):
             open_ = {s: c for s, c in counts.items() if s not in excluded}
             if open_:
                 n, t = sum(open_.values()), len(open_)
@@ -67,23 +48,10 @@ class Plain:
                     return p * open_[symbol] / (n + t)
                 p *= t / (n + t)
             excluded = excluded | set(counts)
-        return p / max(1, 258 - len(self.none))
-
-    def probability(self, word, end=256):
-        p, known = 1.0, True
-        for i, symbol in enumerate([*word, end]):
-            counts = self.trie.get(word[:i]) if known else None
-            two = (b"  " + word)[i : i + 2]
-            if not counts:
-                p *= self.fallback(two, symbol, set())
-                continue
-            n, e = sum(counts.values()), self.escape[self._class(sum(counts.values()), len(counts))]
-            if symbol in counts:
-                p *= (1 - e) * counts[symbol] / n
-            else:
-                p *= e * self.fallback(two, symbol, set(counts))
-                known = False
-        return p
+        return p / max(1, 257 - len(self.none))
+
+    def score(self, own):
+        return sum(math.log10(self.probability(*place)) for place in self.places(own))
 
 
 def check(got, rows):
@@ -91,14 +59,10 @@ def check(got, rows):
     counts, ends = Counter(w for own in learned for w in own), len(learned)
     total, kinds = sum(counts.values()) + ends, len(counts) + (1 if ends else 0)
     plain, wanted = Plain(learned), Counter()
-    cache = {}
     for doc, text, *_ in rows:
         own = tokens(text)
         base = sum(math.log10((counts[w] + 1) / (total + kinds + 1)) for w in own) + math.log10((ends + 1) / (total + kinds + 1))
-        for w in own:
-            if w not in cache:
-                cache[w] = math.log10(plain.probability(w))
-        score = sum(cache[w] for w in own) + math.log10(plain.probability(b"", 257))
+        score = plain.score(own)
         known = sum(counts[w] > 0 for w in own) + (1 if ends else 0)
         wanted[doc, held(doc), len(own) + 1, known, total, round(base, 5), round(score, 5)] += 1
     assert Counter((*tuple(r)[:5], round(r["base_score"], 5), round(r["score"], 5)) for r in got) == wanted
@@ -107,7 +71,7 @@ def check(got, rows):
 @pytest.mark.parametrize("small", [False, True])
 def test_equals_plain_model(docs, rows, monkeypatch, small):
     if small:
-        for name, value in (("BUCKET_CHARS", 3000), ("BUCKET_WORDS", 40), ("BATCH_BYTES", 2500), ("HEAVY", 50), ("_TABLE_ROWS", 30)):
+        for name, value in (("BUCKET_CHARS", 3000), ("BATCH_BYTES", 2500), ("CHUNK", 700), ("MERGE", 100), ("_TABLE_ROWS", 30)):
             monkeypatch.setattr(ppm, name, value)
     check(ppm.score_texts(docs).collect(), rows)
 
@@ -119,10 +83,20 @@ def test_nothing_to_learn_from_and_empty(spark, no_docs):
     assert ppm.score_texts(no_docs).count() == 0
 
 
-def test_probabilities_of_short_words_sum_to_less_than_one():
+def test_symbols_after_a_context_sum_to_at_most_one():
     rng = random.Random(4)
-    plain = Plain([tokens(sentence(rng, 30)) for _ in range(20)])
-    assert sum(plain.probability(bytes(w)) for n in range(3) for w in itertools.product(range(256), repeat=n) if n < 2) < 1
+    learned = [tokens(sentence(rng, 30)) for _ in range(20)]
+    plain = Plain(learned)
+    for context in [b"     ", b"zzzzz", *rng.sample(sorted(plain.five), 30)]:
+        assert 0.9 < sum(plain.probability(context, s) for s in range(257)) <= 1 + 1e-9
+
+
+def test_word_order_changes_the_score(spark):
+    rows = [(i, "the cat sees a dog") for i in range(20)]
+    others = [i for i in range(100, 300) if held(i)][:2]
+    rows += [(others[0], "the cat sees a dog"), (others[1], "dog a sees cat the")]
+    got = {r["doc_id"]: r["score"] for r in ppm.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[others[0]] > got[others[1]] + 1
 
 
 def test_learned_text_is_likelier(spark):
