@@ -56,6 +56,11 @@ def key_to_id(column: str = "key"):
     return F.when(F.col(column) != F.lit(NO_ID), F.col(column))
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes separate words."""
+    return _SPACE[data]
+
+
 def total_chars(df: DataFrame, column: str = "text") -> int:
     """Characters of all texts, to choose how many parts the work is cut into."""
     return df.agg(F.coalesce(F.sum(F.length(column)), F.lit(0))).first()[0]

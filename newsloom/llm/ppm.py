@@ -1,4 +1,4 @@
-"""Prediction by partial matching: contexts of five bytes across words, escapes, symbol exclusion."""
+"""Prediction by partial matching: contexts of four bytes across words, escapes, symbol exclusion."""
 
 from __future__ import annotations
 
@@ -11,20 +11,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsloom.llm.common import LOWER, NO_ID, batches, doc_key, hash_words, mix, spool, total_chars, whole_text
+from newsloom.llm.common import LOWER, NO_ID, batches, doc_key, hash_words, is_space, mix, text_bytes, total_chars, whole_text, word_spans
 from newsloom.llm.exchange import (
     ROWS, answer, batch_id, bucket_of, grouped, join_bytes, own_row, per_batch, rows_of, split_bytes,
 )
 
 FOLDS, HELD_OUT = 7, 2
 #: Bytes of a context.
-ORDER = 5
+ORDER = 4
 TEXT_END, SYMBOLS = 256, 257
 PAD = 0x20
 BUCKET_CHARS = 12_000_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 6 << 20
 #: Symbols whose contexts are worked out at once, and entries that are summed up at once.
-CHUNK, MERGE = 1 << 21, 1 << 21
+CHUNK, MERGE = 3 << 21, 1 << 21
 _TABLE_ROWS = 400_000
 _LOWERED = bytes(LOWER)
 COUNTED, ASKED = 0, 1
@@ -153,87 +153,104 @@ def _sums(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Stream:
     """The symbols of a batch of texts: each word's bytes and a blank, then the text's end."""
 
-    def __init__(self, words):
-        sizes = words.ends - words.starts
-        texts = len(words.first) - 1
-        per_text = np.append(0, np.cumsum(sizes + 1))[words.first]
-        lead = np.arange(texts, dtype=np.int64) * (ORDER + 1) + ORDER  # blanks before each text, and the ends of those before
-        self.symbols = np.full(int(per_text[-1]) + texts * (ORDER + 1), PAD, dtype=np.int16)
-        to = np.append(0, np.cumsum(sizes + 1))[:-1] + lead[words.docs]
-        inside = np.arange(int(sizes.sum())) - np.repeat(np.append(0, np.cumsum(sizes))[:-1], sizes)
-        self.symbols[np.repeat(to, sizes) + inside] = words.data[np.repeat(words.starts, sizes) + inside]
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        starts, ends = word_spans(data, offsets)
+        blanks = np.cumsum(ends - starts + 1) - 1  # where each word's blank would be without what lies between texts
+        self.texts = len(offsets) - 1
+        first = np.searchsorted(starts, offsets)
+        per_text = np.append(0, blanks + 1)[first]
+        lead = np.arange(self.texts, dtype=np.int64) * (ORDER + 1) + ORDER  # blanks before each text, and the ends of those before
         self.first, self.end = per_text[:-1] + lead, per_text[1:] + lead  # each text's first symbol, and its end
-        self.symbols[self.end] = TEXT_END
-
-    def chunks(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Entries (context * 257 + symbol) of all places in order, and their texts."""
+        self.symbols = np.full(int(per_text[-1]) + self.texts * (ORDER + 1), PAD, dtype=np.uint8)
+        of_word = np.ones(len(self.symbols), dtype=bool)
+        of_word[blanks + np.repeat(lead, np.diff(first))] = False
+        for before in range(ORDER + 1):
+            of_word[self.first - before if before else self.end] = False
+        self.symbols[of_word] = data[~is_space(data)]
+
+    def chunks(self, order: int = ORDER) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Entries (context * 257 + symbol) of all places in order, and how many are of each text from the first on."""
         for low in range(0, len(self.symbols), CHUNK):
             high = min(low + CHUNK, len(self.symbols))
-            before = max(low - ORDER, 0)
-            part = self.symbols[before:high].astype(np.int64)
-            context = np.zeros(high - low, dtype=np.int64)
-            for back in range(ORDER, 0, -1):
-                context <<= 8
-                at = np.arange(low - back, high - back) - before
-                context |= np.where(at >= 0, part[np.maximum(at, 0)], 0) & 0xFF
-            place = np.arange(low, high)
-            text = np.searchsorted(self.end, place)
-            real = place >= self.first[text]
-            yield (context * SYMBOLS + part[low - before :])[real], text[real]
-
-    def entries(self, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            before = max(low - order, 0)
+            part = self.symbols[before:high]
+            if low < order:
+                part = np.append(np.full(order - low + before, PAD, dtype=np.uint8), part)
+            entry = np.zeros(high - low, dtype=np.int64)
+            for back in range(order):
+                entry <<= 8
+                entry |= part[back : back + high - low]
+            entry *= SYMBOLS
+            entry += part[order:]
+            ends = self.end[(self.end >= low) & (self.end < high)] - low
+            entry[ends] += TEXT_END - PAD
+            real = np.ones(high - low, dtype=bool)
+            for back in range(1, ORDER + 1):
+                pads = self.first - back
+                real[pads[(pads >= low) & (pads < high)] - low] = False
+            per_text = np.minimum(self.end + 1, high) - np.maximum(self.first, low)
+            yield entry[real], np.maximum(per_text, 0)
+
+    def entries(self, learned: np.ndarray, order: int = ORDER) -> tuple[np.ndarray, np.ndarray]:
         """Distinct entries in order, and how often each occurs in the texts that are learned from."""
-        keys, n = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        for key, text in self.chunks():
-            both = np.sort(key * 2 + learned[text])
+        keys, n = [], []
+        for key, per_text in self.chunks(order):
+            key *= 2
+            key += np.repeat(learned, per_text)
+            key.sort()
+            new = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+            both, times = key[new], np.diff(np.append(new, len(key)))
+            times *= both & 1
+            both >>= 1
+            # an entry that is met in texts of both kinds comes twice in a row
             new = np.flatnonzero(np.append(True, both[1:] != both[:-1])[: len(both)])
-            keys.append(both[new] >> 1)
-            n.append(np.diff(np.append(new, len(both))) * (both[new] & 1))
-        return _sums(np.concatenate(keys), np.concatenate(n))
+            keys.append(both[new])
+            n.append(np.add.reduceat(times, new) if len(new) else times)
+        if len(keys) == 1:
+            return keys[0], n[0]
+        return _sums(np.concatenate([np.zeros(0, dtype=np.int64), *keys]), np.concatenate([np.zeros(0, dtype=np.int64), *n]))
 
 
 def _context_bucket(entries: np.ndarray, buckets: int) -> np.ndarray:
     return bucket_of(mix((entries // SYMBOLS).astype(np.uint64)), buckets)
 
 
-def fallback_table(asked: DataFrame) -> Fallback:
-    """The model of orders two to none, from the counts that all batches have sent.
+def fallback_table(rows: DataFrame) -> Fallback:
+    """The model of orders two to none, from the texts that are learned from.
 
     It has at most 256 * 256 contexts of 257 symbols each, however many texts
     there are; only these counts reach the driver.
     """
 
-    def shorten(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, n = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for batch in stream:
-            for payload in batch.column(0).to_pylist():
-                entry, count = split_bytes(payload, np.int64, np.uint32)
-                entry, count = entry[count > 0], count[count > 0]
-                own = (entry // SYMBOLS & 0xFFFF) * SYMBOLS + entry % SYMBOLS
-                keys, n = _sums(np.append(keys, own), np.append(n, count))
+        for table in batches(stream, "text", BATCH_BYTES // 2):
+            data, offsets = text_bytes(table["text"])
+            own, times = Stream(LOWER[data], offsets).entries(np.ones(table.num_rows, dtype=bool), 2)
+            keys, n = _sums(np.append(keys, own), np.append(n, times))
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["entry", "n"])
 
-    sent = asked.where(F.col("kind") == COUNTED).select("payload").mapInArrow(shorten, "entry long, n long")
-    found = sent.groupBy("entry").agg(F.sum("n").alias("n")).toPandas().sort_values("entry")
+    counted = rows.where("NOT held_out").select("text").mapInArrow(count, "entry long, n long")
+    found = counted.groupBy("entry").agg(F.sum("n").alias("n")).toPandas().sort_values("entry")
     return Fallback(found["entry"].to_numpy(np.int64), found["n"].to_numpy(np.int64))
 
 
 class Model:
-    """All entries of some contexts of five bytes, and the shorter contexts below them."""
+    """All entries of some contexts of four bytes, and the shorter contexts below them."""
 
     def __init__(self, entries: np.ndarray, n: np.ndarray, fallback: Fallback):
-        self.five, self.fallback = Counts(entries, n), fallback
-        self.gone = fallback.two.mass(self.five, lambda c: c & 0xFFFF)
+        self.four, self.fallback = Counts(entries, n), fallback
+        self.gone = fallback.two.mass(self.four, lambda c: c & 0xFFFF)
 
     def log10(self, entries: np.ndarray) -> np.ndarray:
         context, symbol = entries // SYMBOLS, entries % SYMBOLS
-        total, kinds = self.five.sums(context)
-        found = self.five.count(context, symbol)
+        total, kinds = self.four.sums(context)
+        found = self.four.count(context, symbol)
         below = np.log10(np.maximum(total + kinds, 1))
         miss = found == 0
         result = np.log10(np.maximum(found, 1)) - below
         result[miss] = (np.log10(np.maximum(kinds, 1)) - below)[miss] + self.fallback.log10(
-            context[miss] & 0xFFFF, symbol[miss], _look_up(self.five.contexts, self.gone, context)[miss], kinds[miss]
+            context[miss] & 0xFFFF, symbol[miss], _look_up(self.four.contexts, self.gone, context)[miss], kinds[miss]
         )
         return result
 
@@ -262,7 +279,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
     Learns from documents that are not held out. Tokens are words in lower
     case (A-Z only) and one end per text. ``score`` codes the words byte by
-    byte, a blank after each, and the text's end: the context is the five bytes
+    byte, a blank after each, and the text's end: the context is the four bytes
     before, whatever words they are of (blanks before the text); where a byte
     has not followed it, an escape is paid and the contexts of the last two
     bytes, of one and of none are tried, without the symbols that the longer
@@ -292,7 +309,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
             keys, held = table["key"].to_numpy(), table["held_out"].to_numpy()
             words = hash_words(table["text"], lower=True)
             batch = batch_id(keys, number)
-            entries, n = Stream(words).entries(~held)
+            entries, n = Stream(words.data, words.offsets).entries(~held)
             hashes, word_n = _words_of(words, ~held)
             extra = join_bytes(held.astype(np.uint8), words.offsets, words.data)
             out = [own_row(batch, buckets, keys, np.diff(words.first) + 1, np.zeros(0), extra)]
@@ -306,8 +323,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
                 out.append((bucket, ASKED, batch, join_bytes(entries[a], hashes[b])))
             yield rows_of(out)
 
-    asked = spool(rows.mapInArrow(ask, ROWS), "asked")
-    fallback = fallback_table(asked)
+    asked, fallback = rows.mapInArrow(ask, ROWS), fallback_table(rows)
 
     def reply(group: Iterator[tuple[int, int, bytes]]) -> Iterator[tuple[int, bytes]]:
         entries, words, model, known = _Table(), _Table(), None, None
@@ -333,14 +349,14 @@ def score_texts(docs: DataFrame) -> DataFrame:
         for payload in replies:
             bucket, logs, c = split_bytes(payload, np.int64, np.float64, np.int64)
             answers[int(bucket[0])] = (logs, c)
-        stream, count = Stream(words), len(keys)
+        stream, count = Stream(words.data, words.offsets), len(keys)
         entries, _ = stream.entries(held == 0)
         logs = np.zeros(len(entries))
         for bucket, at in grouped(_context_bucket(entries, buckets)):
             logs[at] = answers[bucket][0]
         score = np.zeros(count)
-        for key, text in stream.chunks():
-            score += np.bincount(text, logs[np.searchsorted(entries, key)], count)
+        for key, per_text in stream.chunks():
+            score += np.bincount(np.repeat(np.arange(count), per_text), logs[np.searchsorted(entries, key)], count)
         hashes, _ = _words_of(words, held == 0)
         c = np.zeros(len(hashes), dtype=np.int64)
         for bucket, at in grouped(bucket_of(hashes, buckets)):

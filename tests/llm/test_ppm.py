@@ -25,22 +25,22 @@ class Plain:
     """The same model with dictionaries."""
 
     def __init__(self, learned):
-        self.five, self.two, self.one, self.none = {}, {}, {}, Counter()
+        self.four, self.two, self.one, self.none = {}, {}, {}, Counter()
         for own in learned:
             for context, symbol in self.places(own):
-                self.five.setdefault(context, Counter())[symbol] += 1
+                self.four.setdefault(context, Counter())[symbol] += 1
                 self.two.setdefault(context[-2:], Counter())[symbol] += 1
                 self.one.setdefault(context[-1:], Counter())[symbol] += 1
                 self.none[symbol] += 1
 
     @staticmethod
     def places(own):
-        text = b" " * 5 + b"".join(w + b" " for w in own)
-        return [(text[i - 5 : i], text[i] if i < len(text) else 256) for i in range(5, len(text) + 1)]
+        text = b" " * 4 + b"".join(w + b" " for w in own)
+        return [(text[i - 4 : i], text[i] if i < len(text) else 256) for i in range(4, len(text) + 1)]
 
     def probability(self, context, symbol):
         p, excluded = 1.0, set()
-        for counts in (self.five.get(context, {}), self.two.get(context[-2:], {}), self.one.get(context[-1:], {}), self.none):
+        for counts in (self.four.get(context, {}), self.two.get(context[-2:], {}), self.one.get(context[-1:], {}), self.none):
             open_ = {s: c for s, c in counts.items() if s not in excluded}
             if open_:
                 n, t = sum(open_.values()), len(open_)
@@ -87,7 +87,7 @@ def test_symbols_after_a_context_sum_to_at_most_one():
     rng = random.Random(4)
     learned = [tokens(sentence(rng, 30)) for _ in range(20)]
     plain = Plain(learned)
-    for context in [b"     ", b"zzzzz", *rng.sample(sorted(plain.five), 30)]:
+    for context in [b"    ", b"zzzz", *rng.sample(sorted(plain.four), 30)]:
         assert 0.9 < sum(plain.probability(context, s) for s in range(257)) <= 1 + 1e-9
 
 
