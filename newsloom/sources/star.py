@@ -2,13 +2,18 @@
 
 Every load writes what it changes once, into new folders, and then publishes
 it: the dimensions and the list of fact months are small numbered tables, and
-readers take the last finished one. Facts are one folder per month and range
-of article ids, a bucket; a load writes the buckets it touches and the list
-then names these. A bucket of a month begins at its ``low`` id and ends before
-the next one's. One that has grown to more than twice the wanted rows is cut
-when it is written. A load that breaks off leaves folders that nothing names.
-What is no longer named is removed after publishing, so a frame read before a
-load has to be read again. One load runs at a time.
+readers take the last finished one. Facts lie in buckets, one per month and
+range of article ids; a load writes the buckets it touches and the list then
+names these. A bucket of a month begins at its ``low`` id and ends before the
+next one's. One that has grown to more than twice the wanted rows is cut when
+it is written. Neighbouring buckets of a month that a load writes share a
+folder, a shelf, up to SHELF_ROWS facts, so the number of folders and files
+follows the facts and not the size of a bucket. A load that breaks off leaves
+folders that nothing names. A shelf is removed after publishing when none of
+its buckets is named; when fewer than half are, the load writes these anew.
+Until then readers leave out its buckets that have been replaced. A deletion
+writes every shelf anew that it touches, so what is deleted is on no disk. A
+frame read before a load has to be read again. One load runs at a time.
 
 Beside each bucket lie its counts and sums by source and topic. A load or a
 deletion writes those of the buckets it touches, so what the facts it replaces
@@ -20,7 +25,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,10 +40,13 @@ from newsloom.sources.files import children, exists, remove
 
 #: Facts that a bucket is to hold; one with more than twice as many is cut.
 BUCKET_ROWS = 1_000_000
+#: Facts of small buckets that share a folder.
+SHELF_ROWS = 1_000_000
 _FACT_PARTITIONED = StructType(list(schemas.FACT.fields)).add("month", "string")
-_FACT_FOLDERS = StructType(list(_FACT_PARTITIONED.fields)).add("low", "long").add("version", "integer")
-_SUMS = "source_id long, topic_id int, rows long, articles long, score_sum double, scores long, month string, low long, version int"
-_BUCKETS = "month string, low long, version int"
+_FACT_FOLDERS = StructType(list(_FACT_PARTITIONED.fields)).add("low", "long").add("version", "integer").add("shelf", "long")
+_SUMS = "source_id long, topic_id int, rows long, articles long, score_sum double, scores long, month string, low long, version int, shelf long"
+#: ``written`` buckets are in the folder of a version, month and shelf; fewer may be listed.
+_BUCKETS = "month string, low long, version int, shelf long, written long"
 #: The low id of a month's first bucket.
 _LEAST = -(2**63)
 #: Parts into which ids of a large bucket are cut at a time, at most.
@@ -57,7 +65,7 @@ def read_topics(spark: SparkSession, root: str) -> DataFrame:
 
 def read_facts(spark: SparkSession, root: str) -> DataFrame:
     """All facts with their ``month``; a filter on it prunes folders."""
-    return _read_buckets(spark, root, _listed(spark, root)).drop("low")
+    return _read(spark, root, _list(spark, root)).drop("low")
 
 
 def read_sums(spark: SparkSession, root: str) -> DataFrame:
@@ -65,25 +73,37 @@ def read_sums(spark: SparkSession, root: str) -> DataFrame:
 
     ``rows`` facts, ``articles`` with an id, ``score_sum`` of the ``scores`` importance scores that are set.
     """
-    sums = _read_buckets(spark, root, _listed(spark, root), "fact_sums", StructType.fromDDL(_SUMS))
+    sums = _read(spark, root, _list(spark, root), "fact_sums", StructType.fromDDL(_SUMS))
     totals = [F.sum(c).alias(c) for c in ("rows", "articles", "score_sum", "scores")]
     return sums.groupBy("month", "source_id", "topic_id").agg(*totals)
 
 
-def _read_buckets(
-    spark: SparkSession, root: str, listed: dict[Bucket, int], name: str = "fact_article", schema: StructType = _FACT_FOLDERS
+def _read(
+    spark: SparkSession, root: str, buckets: DataFrame, name: str = "fact_article", schema: StructType = _FACT_FOLDERS
 ) -> DataFrame:
-    """The rows of the listed buckets with their ``month`` and ``low``."""
-    if not listed:
-        return spark.createDataFrame([], schema).drop("version")
-    base = f"{root}/{name}"
-    paths = [f"{base}/version={version}/month={month}/low={low}" for (month, low), version in sorted(listed.items())]
-    return spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("version")
+    """The rows of listed ``buckets`` with their ``month`` and ``low``."""
+    base, whole, parts = f"{root}/{name}", [], []
+    folders = buckets.groupBy("version", "month", "shelf", "written").agg(F.count("*").alias("n")).collect()  # a row for each folder
+    for f in sorted(folders):
+        path = f"{base}/version={f['version']}/month={f['month']}/shelf={f['shelf']}"
+        (whole if f["n"] == f["written"] else parts).append(path)
+    reader, key = spark.read.schema(schema).option("basePath", base), ["version", "month", "low"]
+    found = [reader.parquet(*whole)] if whole else []
+    if parts:
+        found.append(lookup_join(reader.parquet(*parts), buckets.select(*key), key, "left_semi"))
+    columns = [c for c in schema.fieldNames() if c not in ("version", "shelf")]
+    return reduce(DataFrame.unionByName, found or [spark.createDataFrame([], schema)]).select(*columns)
+
+
+def _read_buckets(spark: SparkSession, root: str, listed: dict[Bucket, int]) -> DataFrame:
+    """The facts of some buckets by their names."""
+    named = spark.createDataFrame([(*b, v) for b, v in listed.items()], "month string, low long, version int")
+    return _read(spark, root, lookup_join(_list(spark, root), named, ["month", "low", "version"], "left_semi"))
 
 
 def _sums(facts: DataFrame) -> DataFrame:
     score = F.col("importance_score")
-    return facts.groupBy("month", "low", "source_id", "topic_id").agg(
+    return facts.groupBy("month", "shelf", "low", "source_id", "topic_id").agg(
         F.count("*").alias("rows"), F.count("article_id").alias("articles"),
         F.sum(score).alias("score_sum"), F.count(score).alias("scores"),
     )
@@ -124,11 +144,10 @@ def load_batch(
         "facts",
     )
     good, bad = split_valid(facts, _fact_rule())
-    listed = _listed(spark, root)
-    touched = _touched(_in_buckets(good, list(listed)))
-    columns = schemas.FACT.fieldNames()
-    present = _read_buckets(spark, root, {b: v for b, v in listed.items() if b in touched})
-    upserted = upsert_facts(present.select(*columns), good.select(*columns))
+    listed = _list(spark, root)
+    placed = spool(_in_buckets(good.select(*schemas.FACT.fieldNames(), "month"), listed), "placed")
+    touched = spool(_touched(listed, placed), "touched")
+    upserted = upsert_facts(_read(spark, root, touched), placed)
     _write_facts(upserted, root, listed, touched, bucket_rows or BUCKET_ROWS)
     return {"sources": bad_sources, "topics": bad_topics, "facts": bad.drop("month", "_topic_known")}
 
@@ -159,91 +178,132 @@ def delete_topics(spark: SparkSession, root: str, topic_ids: DataFrame) -> None:
 
 
 def _drop_facts(spark: SparkSession, root: str, gone: DataFrame, key: str) -> None:
-    listed = _listed(spark, root)
-    touched = _touched(lookup_join(_read_buckets(spark, root, listed), gone.select(key), [key], "left_semi"))
-    if touched:
-        present = _read_buckets(spark, root, {b: v for b, v in listed.items() if b in touched})
-        _write_facts(cascade_delete(present.drop("low"), gone, key), root, listed, touched, BUCKET_ROWS)
+    listed = _list(spark, root)
+    hit = lookup_join(_read(spark, root, listed), gone.select(key), [key], "left_semi")
+    touched = spool(_touched(listed, hit, whole=True), "touched")
+    if not touched.isEmpty():
+        _write_facts(cascade_delete(_read(spark, root, touched), gone, key), root, listed, touched, BUCKET_ROWS)
 
 
-def _touched(facts: DataFrame) -> set[Bucket]:
-    """The buckets of ``facts``: as many as there are folders at most."""
-    return {tuple(row) for row in facts.select("month", "low").distinct().collect()}
+def _list(spark: SparkSession, root: str) -> DataFrame:
+    """The buckets, each with the folder in which it is to be read."""
+    return _read_copy(spark, f"{root}/fact_months", _BUCKETS)
 
 
 def _listed(spark: SparkSession, root: str) -> dict[Bucket, int]:
-    """The version in which each bucket is to be read."""
-    rows = _read_copy(spark, f"{root}/fact_months", _BUCKETS).collect()  # a row for each folder
-    return {(row["month"], row["low"]): row["version"] for row in rows}
+    """The version in which each bucket is to be read, for a look at a star of few buckets."""
+    return {(row["month"], row["low"]): row["version"] for row in _list(spark, root).collect()}
 
 
-def _in_buckets(facts: DataFrame, buckets: list[Bucket]) -> DataFrame:
-    """Add ``low``, the bucket of each fact; a month without buckets begins one for all its ids."""
-    lows: dict[str, list[int]] = {}
-    for month, low in sorted(buckets):
-        lows.setdefault(month, []).append(low)
-    by_month = facts.sparkSession.createDataFrame(list(lows.items()), "month string, _lows array<long>")
-    last = F.array_max(F.filter("_lows", lambda low: low <= F.col("article_id")))
-    return lookup_join(facts, by_month, ["month"]).withColumn("low", F.coalesce(last, F.lit(_LEAST))).drop("_lows")
+def _touched(listed: DataFrame, facts: DataFrame, whole: bool = False) -> DataFrame:
+    """The listed buckets that are to be written anew: those of ``facts``, and the others of shelves they leave half empty.
+
+    With ``whole`` all of each shelf that holds one of them.
+    """
+    hit = spool(facts.select("month", "low").distinct().withColumn("_hit", F.lit(True)), "hit")
+    marked = lookup_join(listed, hit, ["month", "low"])
+    shelf = Window.partitionBy("version", "month", "shelf")
+    hits, kept = F.count("_hit").over(shelf), F.count_if(F.col("_hit").isNull()).over(shelf)
+    marked = marked.withColumn("_rest", hits > 0 if whole else 2 * kept < F.col("written"))
+    return marked.where(F.col("_hit").isNotNull() | F.col("_rest")).drop("_hit", "_rest")
 
 
-def _cuts(placed: DataFrame, bucket_rows: int) -> list[Bucket]:
+def _in_buckets(facts: DataFrame, listed: DataFrame) -> DataFrame:
+    """Add ``low``, the bucket of each fact; a month without buckets begins one for all its ids.
+
+    The lows of a month are a tree of _CUTS branches a level, so a fact is
+    compared with a few of them.
+    """
+    place = F.row_number().over(Window.partitionBy("month").orderBy("low")) - 1
+    lows = spool(listed.select("month", "low", place.alias("place")), "lows")
+    last, step = lows.agg(F.max("place").alias("last")).first()["last"], 1
+    placed = facts.withColumn("low", F.lit(_LEAST))
+    if last is None:
+        return placed
+    while step * _CUTS <= last:
+        step *= _CUTS
+    first = F.lit(_LEAST)  # of the whole month
+    while step:
+        node = F.floor(F.col("place") / (step * _CUTS)).alias("node")
+        branches = lows.where(F.col("place") % step == 0).groupBy("month", node).agg(F.collect_list("low").alias("_cuts"))
+        placed = _cut(placed, branches.select("month", first.alias("low"), "_cuts"))
+        first, step = F.array_min("_cuts"), step // _CUTS
+    return placed
+
+
+def _cut(facts: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Facts of each bucket in ``cuts`` go to the last of its ``_cuts`` that is not above their id."""
+    last = F.array_max(F.filter("_cuts", lambda cut: cut <= F.col("article_id")))
+    return lookup_join(facts, cuts, ["month", "low"]).withColumn("low", F.coalesce(last, "low")).drop("_cuts")
+
+
+def _cuts(facts: DataFrame, bucket_rows: int) -> DataFrame:
     """Where buckets with more than twice the wanted rows are to be cut."""
     shares = [i / _CUTS for i in range(1, _CUTS)]
-    sizes = placed.groupBy("month", "low").agg(F.count("*").alias("n"), F.percentile_approx("article_id", shares).alias("at"))
+    sizes = facts.groupBy("month", "low").agg(F.count("*").alias("n"))
+    large = spool(sizes.where(F.col("n") > 2 * bucket_rows), "large")
     parts = F.least(F.ceil(F.col("n") / bucket_rows), F.lit(_CUTS)).cast("int")
     chosen = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.element_at("at", F.floor(i * _CUTS / parts).cast("int")))
-    cuts = sizes.where(F.col("n") > 2 * bucket_rows).select("month", "low", F.explode(chosen).alias("cut"))
     # a bucket of one id, with a day each, stays as it is
-    return [tuple(r) for r in cuts.where("cut > low").select("month", "cut").distinct().collect()]
+    above = F.array_distinct(F.filter(chosen, lambda cut: cut > F.col("low")))
+    found = (
+        lookup_join(facts, large, ["month", "low"], "inner")
+        .groupBy("month", "low", "n")
+        .agg(F.percentile_approx("article_id", shares).alias("at"))
+        .select("month", "low", above.alias("_cuts"))
+    )
+    return spool(found.where(F.size("_cuts") > 0), "cuts")
 
 
-def _write_facts(facts: DataFrame, root: str, listed: dict[Bucket, int], touched: set[Bucket], bucket_rows: int) -> None:
+def _write_facts(facts: DataFrame, root: str, listed: DataFrame, touched: DataFrame, bucket_rows: int) -> None:
     """Write all facts of the ``touched`` buckets, publish them, and remove what they replace."""
     spark, base = facts.sparkSession, f"{root}/fact_article"
     version = max((int(c.removeprefix("version=")) for c in children(spark, base)), default=0) + 1
-    dated = facts.select(*schemas.FACT.fieldNames()).withColumn("month", month_key(F.col("published_at")))
-    dated = spool(dated, "to-write")
-    buckets = set(listed) | touched
-    placed = _in_buckets(dated, list(buckets))
-    while cuts := set(_cuts(placed, bucket_rows)) - buckets:  # each round makes large buckets up to 64 times smaller
-        buckets |= cuts
-        placed = _in_buckets(dated, list(buckets))
+    placed = spool(facts.select(*schemas.FACT.fieldNames(), "month", "low"), "to-write")
+    while not (cuts := _cuts(placed, bucket_rows)).isEmpty():  # each round makes large buckets up to 64 times smaller
+        placed = spool(_cut(placed, cuts), "to-write")
+    written = spool(_shelved(placed, version), "shelved")
+    placed = lookup_join(placed, written.select("month", "low", "shelf"), ["month", "low"], "inner")
     for rows, folder in ((placed, base), (_sums(placed), f"{root}/fact_sums")):
-        even = rows.hint("rebalance", "month", "low").write.mode("overwrite")
-        even.partitionBy("month", "low").parquet(f"{folder}/version={version}")
-    left = {bucket: v for bucket, v in listed.items() if bucket not in touched}
-    left |= dict.fromkeys(_folders(spark, f"{base}/version={version}"), version)
-    rows = [(month, low, v) for (month, low), v in sorted(left.items())]
-    _write_copy(spark.createDataFrame(rows, _BUCKETS).coalesce(1), f"{root}/fact_months")
-    _remove_unlisted(spark, base, left)
-    _remove_unlisted(spark, f"{root}/fact_sums", left)
-
-
-def _folders(spark: SparkSession, path: str) -> list[Bucket]:
-    """The buckets that a version has written."""
-    months = [c.removeprefix("month=") for c in children(spark, path) if c.startswith("month=")]
-    return [
-        (month, int(c.removeprefix("low=")))
-        for month in months
-        for c in children(spark, f"{path}/month={month}")
-        if c.startswith("low=")
-    ]
-
-
-def _remove_unlisted(spark: SparkSession, base: str, listed: dict[Bucket, int]) -> None:
+        even = rows.hint("rebalance", "month", "shelf").write.mode("overwrite")
+        even.partitionBy("month", "shelf").parquet(f"{folder}/version={version}")
+    left = lookup_join(listed, touched.select("month", "low"), ["month", "low"], "left_anti")
+    _write_copy(left.unionByName(written).hint("rebalance"), f"{root}/fact_months")
+    kept = _list(spark, root).select("version", "month", "shelf").distinct().collect()  # a row for each folder
+    folders = {(row["version"], row["month"], row["shelf"]) for row in kept}
+    _remove_unlisted(spark, base, folders)
+    _remove_unlisted(spark, f"{root}/fact_sums", folders)
+
+
+def _shelved(placed: DataFrame, version: int) -> DataFrame:
+    """The buckets of ``placed`` as the list is to name them."""
+    sizes = placed.groupBy("month", "low").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("month").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    shelf = Window.partitionBy("month", "place")
+    return sizes.withColumn("place", F.floor(before / SHELF_ROWS)).select(
+        "month", "low", F.lit(version).alias("version"), F.min("low").over(shelf).alias("shelf"), F.count("*").over(shelf).alias("written")
+    )
+
+
+def _remove_unlisted(spark: SparkSession, base: str, listed: set[tuple[int, str, int]]) -> None:
+    months = {(version, month) for version, month, _ in listed}
+    versions = {version for version, _ in months}
     for folder in children(spark, base):
         version, path = int(folder.removeprefix("version=")), f"{base}/{folder}"
-        kept = [bucket for bucket, v in listed.items() if v == version]
-        if not kept:
+        if version not in versions:
             remove(spark, path)
             continue
-        months = {month for month, _ in kept}
-        for month, low in _folders(spark, path):
-            if month not in months:
-                remove(spark, f"{path}/month={month}")
-            elif (month, low) not in kept:
-                remove(spark, f"{path}/month={month}/low={low}")
+        for name in children(spark, path):
+            if not name.startswith("month="):
+                continue
+            month = name.removeprefix("month=")
+            if (version, month) not in months:
+                remove(spark, f"{path}/{name}")
+                continue
+            for shelf in children(spark, f"{path}/{name}"):
+                if (version, month, int(shelf.removeprefix("shelf="))) not in listed:
+                    remove(spark, f"{path}/{name}/{shelf}")
 
 
 def _source_rule():

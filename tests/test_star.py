@@ -314,3 +314,38 @@ def test_rankings(spark, limit, monkeypatch):
     sources = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "none")], "source_id int, name string")
     got = [tuple(r) for r in influential_sources(facts, sources).collect()]
     assert got == [("b", 2, None, 1), ("a", 2, 2.0, 2), ("c", 1, 4.0, 3)]
+
+
+def test_small_buckets_share_folders(spark, root):
+    """A folder and a few files for all buckets of a month, whatever their size; what is replaced goes in time."""
+    from newsloom.sources.files import children
+
+    sources, topics = _sources(spark, ("a", "x", 1.0), ("b", "y", 1.0)), _topics(spark, (0, "n", "c"))
+
+    def load(low, high, score):
+        ids = spark.range(low, high).selectExpr(
+            "id as article_id", "if(id = 150, 'b', 'a') as source_name", "0 as topic_id", "date '2031-05-01' as published_at"
+        )
+        scored = ids.withColumns({"sentiment_score": F.lit(score), "importance_score": F.lit(score)})
+        star.load_batch(spark, root, scored, sources, topics, bucket_rows=2)
+        facts = star.read_facts(spark, root)
+        assert facts.count() == facts.select("article_id").distinct().count() == 1000
+        assert facts.where(F.col("sentiment_score") == score).count() == high - low
+        total = facts.agg(F.sum("importance_score")).first()[0]
+        assert star.read_sums(spark, root).agg(F.sum("score_sum")).first()[0] == total
+
+    def folders(name="fact_article"):
+        base = f"{root}/{name}"
+        return {v: children(spark, f"{base}/{v}/month=2031-05") for v in children(spark, base)}
+
+    load(0, 1000, 1.0)
+    buckets = len(star._listed(spark, root))
+    assert buckets >= 250 and [len(f) for f in folders().values()] == [1]
+    load(0, 100, 2.0)  # a tenth of the folder: the rest is read from where it was
+    assert list(folders()) == list(folders("fact_sums")) == ["version=1", "version=2"]
+    assert sum(v == 1 for v in star._listed(spark, root).values()) > buckets * 0.8
+    load(100, 600, 3.0)  # less than half is left: it is written anew
+    assert list(folders()) == list(folders("fact_sums")) == ["version=2", "version=3"]
+    star.delete_sources(spark, root, spark.createDataFrame([("b",)], "name string"))
+    on_disk = spark.read.parquet(f"{root}/fact_article")
+    assert star.read_facts(spark, root).count() == 999 and on_disk.where("article_id = 150").isEmpty()
