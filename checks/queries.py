@@ -35,6 +35,9 @@ BATCH_FROM = "1997-01-01"
 FIRST_YEAR = "1996-01-01"
 LATER_FROM = "1995-06-01"
 
+# Values in a CSV file that many tasks read.
+SPLIT_FILE_BYTES = 256 << 20
+
 # Words and names that occur in the supplied documents.
 LEXICON = {"for": 0.1, "the": 0.25, "not": -0.5, "good": 0.7, "rely": 0.5, "worthless": -0.8, "de": -0.3}
 GAZETTEER = {
@@ -107,10 +110,13 @@ def src_csv_roundtrip(spark, folder):
 
 
 def src_csv_split(spark, folder):
-    """Whole texts twice over, with blank lines, quotes and line breaks, in one file that many tasks read."""
+    """Whole texts twice over, with blank lines, quotes and line breaks, in one file that many tasks read.
+
+    Beyond SPLIT_FILE_BYTES it takes more files, as one file is written by one task.
+    """
     docs = table(spark, folder, "documents")
     twice = F.concat("text", F.lit(' "",\n\n"x"\r\n,y\n'), "text")
-    path = writers.write_csv(docs.withColumn("text", twice), scratch_path(spark, "documents"), parts=1)
+    path = writers.write_csv(docs.withColumn("text", twice), scratch_path(spark, "documents"), 1, SPLIT_FILE_BYTES)
     return readers.read_csv(spark, path, docs.schema, split=True)
 
 

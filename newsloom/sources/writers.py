@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from newsloom.operators.joins import measured_bytes
+
 
 def write_parquet(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").parquet(path)
@@ -27,12 +29,18 @@ def write_partitioned(df: DataFrame, path: str, by: str, mode: str = "static") -
     return path
 
 
-def write_csv(df: DataFrame, path: str, parts: int | None = None) -> str:
+def write_csv(df: DataFrame, path: str, parts: int | None = None, file_bytes: int | None = None) -> str:
     """CSV with a header, in as many parts as ``df`` has or in ``parts`` as the caller says.
 
     Values come back as they are: blanks at their ends, quotes, commas and
-    line breaks of every kind.
+    line breaks of every kind. With ``file_bytes`` there are more than ``parts``
+    where a file would hold more values than that, measured over ``df``, so
+    that no task writes a whole large table.
     """
+    if file_bytes is not None:
+        parts = max(parts or 1, -(-measured_bytes(df) // file_bytes))
+        _csv((df.coalesce(parts) if df.rdd.getNumPartitions() > parts else df.repartition(parts)).write, path)
+        return path
     _csv((df if parts is None else df.repartition(parts)).write, path)
     return path
 

@@ -5,6 +5,7 @@ import tempfile
 
 import pytest
 from conftest import tuples
+from pyspark.sql import functions as F
 
 from newsloom.sources import readers, writers
 from newsloom.sources.csv_split import csv_records
@@ -86,3 +87,17 @@ def test_a_field_longer_than_many_splits(spark, folder, split_at):
     got = readers.read_csv(spark, path, spark.createDataFrame([], SCHEMA).schema, split=True)
     assert tuples(got) == rows
 
+
+
+def test_large_tables_are_written_in_more_files(spark, tmp_path):
+    """No task writes (and none that reads whole files reads) more than a bounded share of a table."""
+    texts = spark.range(200).select(F.col("id").alias("n"), F.repeat(F.lit('a "b",\n'), 100).alias("text"))
+    for number, source in enumerate((texts.coalesce(1), texts.repartition(64))):
+        path = writers.write_csv(source, str(tmp_path / str(number)), 1, file_bytes=20_000)
+        sizes = [p.stat().st_size for p in (tmp_path / str(number)).glob("*.csv")]
+        assert 7 <= len(sizes) <= 12 and max(sizes) < 60_000
+        for split in (False, True):
+            read = readers.read_csv(spark, path, texts.schema, split=split)
+            assert sorted(map(tuple, read.collect())) == sorted(map(tuple, texts.collect()))
+    one = writers.write_csv(texts, str(tmp_path / "one"), 1, file_bytes=1 << 30)
+    assert len(list((tmp_path / "one").glob("*.csv"))) == 1 and readers.read_csv(spark, one, texts.schema).count() == 200
