@@ -35,8 +35,9 @@ BATCH_FROM = "1997-01-01"
 FIRST_YEAR = "1996-01-01"
 LATER_FROM = "1995-06-01"
 
-# Values in a CSV file that many tasks read.
+# Values in a CSV file that many tasks read, and in one that a single task reads.
 SPLIT_FILE_BYTES = 256 << 20
+WHOLE_FILE_BYTES = 64 << 20
 
 # Words and names that occur in the supplied documents.
 LEXICON = {"for": 0.1, "the": 0.25, "not": -0.5, "good": 0.7, "rely": 0.5, "worthless": -0.8, "de": -0.3}
@@ -104,8 +105,8 @@ def with_summary(spark: SparkSession, folder: str) -> DataFrame:
 def src_csv_roundtrip(spark, folder):
     """Whole texts, with blanks at their ends, quotes, commas and all line breaks."""
     docs = table(spark, folder, "documents")
-    odd = docs.withColumn("text", F.concat(F.lit("\t"), "text", F.lit(' "x", y\r\n\\ z\r '))).repartition(4)
-    path = writers.write_csv(odd, scratch_path(spark, "documents"))
+    odd = docs.withColumn("text", F.concat(F.lit("\t"), "text", F.lit(' "x", y\r\n\\ z\r ')))
+    path = writers.write_csv(odd, scratch_path(spark, "documents"), 4, WHOLE_FILE_BYTES)
     return readers.read_csv(spark, path, docs.schema)
 
 
