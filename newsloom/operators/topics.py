@@ -16,6 +16,9 @@ CLUSTERS = 5
 SEED = 42
 BUCKETS = 1000
 
+# Counts that a task of k-means holds in memory, at most.
+TASK_VALUES = 10_000_000
+
 # With a comma and a space each word takes three characters or more (only one
 # word can be empty), so this many words always fill a label.
 LABEL_WORDS = -(-schemas.LABEL_CHARS // 3) + 1
@@ -35,7 +38,8 @@ def fit_topics(
     The term counts are written once, so that neither the term weights nor
     the rounds of k-means read the text again; they are put in an order that
     the texts and ids fix, so that the same documents always give the same
-    clusters and copies of a text are dealt among tasks by their ids. The
+    clusters and copies of a text are dealt among tasks by their ids. A task
+    gets about TASK_VALUES counts at most, however many documents there are. The
     driver holds the k centres and one weight per bucket. With fewer distinct documents than ``k`` there
     are as many clusters as distinct documents at most.
     """
@@ -49,8 +53,10 @@ def fit_topics(
     identity = [c for c in (key,) if c in df.columns and c != summary]
     place = F.xxhash64(summary, *identity).alias("place")
     counted = counting.transform(df.select(_filled(summary), *identity)).select("raw_features", place)
-    counts = spool(counted.repartition("place").sortWithinPartitions("place"), "terms").drop("place")
+    counts = spool(counted, "terms")
     weighting = IDF(inputCol="raw_features", outputCol="features").fit(counts)
+    parts = max(8, -(-counts.count() * buckets // TASK_VALUES))  # a document has a count per bucket at most
+    counts = counts.repartition(parts, "place").sortWithinPartitions("place").drop("place")
     # The block solver fails where it finds fewer starting points than k.
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=output, solver="row")
     centres = kmeans.fit(weighting.transform(counts).select("features"))

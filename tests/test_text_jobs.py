@@ -194,3 +194,19 @@ def test_profiles(spark):
     assert [tuple(r) for r in profiles.publication_trend(frame).collect()] == [
         ("2024-01-02", 2), ("2024-01-01", 1), (None, 1),
     ]
+
+
+def test_tasks_of_kmeans_hold_a_bounded_share(spark, monkeypatch):
+    """More documents make more parts, not larger ones, and the clusters do not hang on how the input is cut."""
+    parts = []
+    fit = topics.KMeans.fit
+
+    def counted(self, rows, *args):
+        parts.append(rows.rdd.getNumPartitions())
+        return fit(self, rows, *args)
+
+    monkeypatch.setattr(topics.KMeans, "fit", counted)
+    monkeypatch.setattr(topics, "TASK_VALUES", 10 * topics.BUCKETS)
+    docs = spark.range(400).selectExpr("id", "concat('w', id % 7, ' v', id % 11) as summary")
+    found = [tuples(topics.classify_topics(d, 3)[0], "id", "topic_id") for d in (docs.coalesce(1), docs.repartition(5))]
+    assert parts == [40, 40] and found[0] == found[1]
