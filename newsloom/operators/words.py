@@ -46,20 +46,22 @@ def tfidf_terms(
     """Exact weight of each term in each document: tf * ln((N + 1) / (df + 1)).
 
     ``key`` is unique. A document's terms are counted in its row: its words
-    are sorted and runs of equal words measured. The counts are written once;
+    are sorted and runs of equal words measured; stop words are left out of
+    the terms, not of each text's words. The counts are written once;
     what is shuffled is one row per term and task, for the documents per term.
     """
-    listed = F.array_sort(F.filter(text.words(F.col(summary)), lambda w: text.not_stop_word(w, stop_words)))
+    listed = F.sort_array(text.words(F.col(summary)))
     places = F.expr("filter(sequence(0, size(listed) - 1), i -> i = 0 OR listed[i] <> listed[i - 1])")
     runs = F.expr(
         "transform(starts, (s, j) -> struct(listed[s] AS term, coalesce(get(starts, j + 1), size(listed)) - s AS tf))"
     )
     terms = spool(
         df.select(key, listed.alias("listed"))
-        .where(F.size("listed") > 0)
+        .where(F.col("listed").isNotNull())
         .withColumn("starts", places)
         .select(key, F.explode(runs).alias("run"))
-        .select(key, "run.term", F.col("run.tf").cast("long").alias("tf")),
+        .select(key, "run.term", F.col("run.tf").cast("long").alias("tf"))
+        .where(text.not_stop_word(F.col("term"), stop_words)),
         "terms",
     )
     total = df.agg(F.count("*").alias("n")).scalar()
