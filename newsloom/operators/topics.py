@@ -43,24 +43,38 @@ def fit_topics(
     driver holds the k centres and one weight per bucket. With fewer distinct documents than ``k`` there
     are as many clusters as distinct documents at most.
     """
-    counting = PipelineModel(
+    counting = _counting(summary, buckets)
+    identity = [c for c in (key,) if c in df.columns and c != summary]
+    counted = counting.transform(df.select(_filled(summary), *identity)).select("raw_features", _place(summary, identity))
+    weighing = _fit(spool(counted, "terms"), k, output, seed, buckets)
+    return PipelineModel(stages=[*counting.stages, *weighing.stages])
+
+
+def _counting(summary: str, buckets: int = BUCKETS) -> PipelineModel:
+    """From text to counts of hashed terms."""
+    return PipelineModel(
         stages=[
             Tokenizer(inputCol=summary, outputCol="words"),
             StopWordsRemover(inputCol="words", outputCol="filtered_words"),
             HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=buckets),
         ]
     )
-    identity = [c for c in (key,) if c in df.columns and c != summary]
-    place = F.xxhash64(summary, *identity).alias("place")
-    counted = counting.transform(df.select(_filled(summary), *identity)).select("raw_features", place)
-    counts = spool(counted, "terms")
+
+
+def _place(summary: str, identity: list[str]):
+    """Where a document comes among the others."""
+    return F.xxhash64(summary, *identity).alias("_place")
+
+
+def _fit(counts: DataFrame, k: int, output: str, seed: int = SEED, buckets: int = BUCKETS) -> PipelineModel:
+    """Weights and centres of written counts (columns raw_features and _place)."""
+    counts = counts.select("raw_features", "_place")
     weighting = IDF(inputCol="raw_features", outputCol="features").fit(counts)
     parts = max(8, -(-counts.count() * buckets // TASK_VALUES))  # a document has a count per bucket at most
-    counts = counts.repartition(parts, "place").sortWithinPartitions("place").drop("place")
+    counts = counts.repartition(parts, "_place").sortWithinPartitions("_place").drop("_place")
     # The block solver fails where it finds fewer starting points than k.
     kmeans = KMeans(k=k, seed=seed, featuresCol="features", predictionCol=output, solver="row")
-    centres = kmeans.fit(weighting.transform(counts).select("features"))
-    return PipelineModel(stages=[*counting.stages, weighting, centres])
+    return PipelineModel(stages=[weighting, kmeans.fit(weighting.transform(counts).select("features"))])
 
 
 def assign_topics(df: DataFrame, model: PipelineModel, summary: str = "summary") -> DataFrame:
@@ -73,14 +87,22 @@ def assign_topics(df: DataFrame, model: PipelineModel, summary: str = "summary")
 def classify_topics(
     df: DataFrame, k: int = CLUSTERS, summary: str = "summary"
 ) -> tuple[DataFrame, DataFrame]:
-    """Documents with ``topic_id``, and the label of each topic. Empty input gives empty frames."""
+    """Documents with ``topic_id``, and the label of each topic. Empty input gives empty frames.
+
+    The words of each text and their counts are written once beside the other
+    columns; the fit, the topics and the labels read those, not the text.
+    """
     if df.isEmpty():
         spark = df.sparkSession
         none = df.withColumns(
             {"filtered_words": F.split(summary, " "), "topic_id": F.lit(None).cast("int")}
         )
         return none, spark.createDataFrame([], schemas.TOPIC)
-    clustered = assign_topics(df, fit_topics(df, k, summary), summary)
+    filled = df.withColumn(summary, _filled(summary))
+    place = _place(summary, [c for c in ("id",) if c in df.columns and c != summary])
+    counted = spool(_counting(summary).transform(filled).drop("words").withColumn("_place", place), "counted")
+    model = _fit(counted, k, "topic_id")
+    clustered = model.transform(counted).drop("raw_features", "features", "_place")
     tokens = clustered.select("topic_id", F.explode("filtered_words").alias("word"))
     return clustered, topic_labels(topic_word_counts(tokens))
 

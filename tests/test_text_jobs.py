@@ -210,3 +210,15 @@ def test_tasks_of_kmeans_hold_a_bounded_share(spark, monkeypatch):
     docs = spark.range(400).selectExpr("id", "concat('w', id % 7, ' v', id % 11) as summary")
     found = [tuples(topics.classify_topics(d, 3)[0], "id", "topic_id") for d in (docs.coalesce(1), docs.repartition(5))]
     assert parts == [40, 40] and found[0] == found[1]
+
+
+def test_topics_and_labels_read_the_words_written_once(spark):
+    """The text is cut into words once; columns of any other name stay as they are."""
+    docs = spark.range(60).selectExpr("id", "concat('w', id % 7, ' v', id % 11) as summary", "id * 2 as place")
+    clustered, labels = topics.classify_topics(docs, 3)
+    for found in (clustered, labels):
+        files = found.inputFiles()
+        assert files and all("/counted-" in file for file in files)
+    assert tuples(clustered, "id", "place") == [(i, 2 * i) for i in sorted(range(60), key=lambda i: repr((i, 2 * i)))]
+    again = topics.assign_topics(docs, topics.fit_topics(docs, 3))
+    assert tuples(again, "id", "topic_id") == tuples(clustered, "id", "topic_id")
