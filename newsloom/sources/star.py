@@ -49,8 +49,10 @@ _SUMS = "source_id long, topic_id int, rows long, articles long, score_sum doubl
 _BUCKETS = "month string, low long, version int, shelf long, written long"
 #: The low id of a month's first bucket.
 _LEAST = -(2**63)
-#: Parts into which ids of a large bucket are cut at a time, at most.
+#: Ids that a fact is compared with in a step; two steps find its place among the square of that.
 _CUTS = 64
+#: Parts into which ids of a large bucket are cut at a time, at most.
+_PARTS = _CUTS * _CUTS
 
 Bucket = tuple[str, int]
 
@@ -137,19 +139,15 @@ def load_batch(
     _write_copy(upsert_sources(read_sources(spark, root), good_sources), f"{root}/dim_source")
     _write_copy(upsert_topics(read_topics(spark, root), good_topics), f"{root}/dim_topic")
 
-    facts = spool(
-        resolve(scored, read_sources(spark, root), read_topics(spark, root)).withColumn(
-            "month", month_key(F.col("published_at"))
-        ),
-        "facts",
-    )
-    good, bad = split_valid(facts, _fact_rule())
+    resolved = resolve(scored, read_sources(spark, root), read_topics(spark, root))
     listed = _list(spark, root)
-    placed = spool(_in_buckets(good.select(*schemas.FACT.fieldNames(), "month"), listed), "placed")
+    facts = spool(_in_buckets(resolved.withColumn("month", month_key(F.col("published_at"))), listed), "facts")
+    good, bad = split_valid(facts, _fact_rule())
+    placed = good.select(*schemas.FACT.fieldNames(), "month", "low")
     touched = spool(_touched(listed, placed), "touched")
     upserted = upsert_facts(_read(spark, root, touched), placed)
     _write_facts(upserted, root, listed, touched, bucket_rows or BUCKET_ROWS)
-    return {"sources": bad_sources, "topics": bad_topics, "facts": bad.drop("month", "_topic_known")}
+    return {"sources": bad_sources, "topics": bad_topics, "facts": bad.drop("month", "low", "_topic_known")}
 
 
 def resolve(scored: DataFrame, dim_source: DataFrame, dim_topic: DataFrame) -> DataFrame:
@@ -211,7 +209,7 @@ def _touched(listed: DataFrame, facts: DataFrame, whole: bool = False) -> DataFr
 def _in_buckets(facts: DataFrame, listed: DataFrame) -> DataFrame:
     """Add ``low``, the bucket of each fact; a month without buckets begins one for all its ids.
 
-    The lows of a month are a tree of _CUTS branches a level, so a fact is
+    The lows of a month are a tree of _PARTS branches a level, so a fact is
     compared with a few of them.
     """
     place = F.row_number().over(Window.partitionBy("month").orderBy("low")) - 1
@@ -220,39 +218,63 @@ def _in_buckets(facts: DataFrame, listed: DataFrame) -> DataFrame:
     placed = facts.withColumn("low", F.lit(_LEAST))
     if last is None:
         return placed
-    while step * _CUTS <= last:
-        step *= _CUTS
+    while step * _PARTS <= last:
+        step *= _PARTS
     first = F.lit(_LEAST)  # of the whole month
     while step:
-        node = F.floor(F.col("place") / (step * _CUTS)).alias("node")
-        branches = lows.where(F.col("place") % step == 0).groupBy("month", node).agg(F.collect_list("low").alias("_cuts"))
+        node = F.floor(F.col("place") / (step * _PARTS)).alias("node")
+        cuts = F.array_sort(F.collect_list("low")).alias("_cuts")
+        branches = lows.where(F.col("place") % step == 0).groupBy("month", node).agg(cuts)
         placed = _cut(placed, branches.select("month", first.alias("low"), "_cuts"))
-        first, step = F.array_min("_cuts"), step // _CUTS
+        first, step = F.array_min("_cuts"), step // _PARTS
     return placed
 
 
 def _cut(facts: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Facts of each bucket in ``cuts`` go to the last of its ``_cuts`` that is not above their id."""
+    """Facts of each bucket in ``cuts`` go to the last of its ``_cuts``, in order, that is not above their id.
+
+    An id is compared with the first cut of each run of _CUTS, then with those of its run.
+    """
+    starts = F.sequence(F.lit(1), F.size("_cuts"), F.lit(_CUTS))
+    runs = cuts.withColumn("_cuts", F.transform(starts, lambda at: F.slice("_cuts", at, _CUTS)))
+    run = F.try_element_at(F.filter("_cuts", lambda run: run[0] <= F.col("article_id")), F.lit(-1))
+    found = lookup_join(facts, runs, ["month", "low"]).withColumn("_cuts", run)
     last = F.array_max(F.filter("_cuts", lambda cut: cut <= F.col("article_id")))
-    return lookup_join(facts, cuts, ["month", "low"]).withColumn("low", F.coalesce(last, "low")).drop("_cuts")
+    return found.withColumn("low", F.coalesce(last, "low")).drop("_cuts")
+
+
+def _sizes(facts: DataFrame) -> DataFrame:
+    return spool(facts.groupBy("month", "low").agg(F.count("*").alias("n")), "sizes")
 
 
-def _cuts(facts: DataFrame, bucket_rows: int) -> DataFrame:
-    """Where buckets with more than twice the wanted rows are to be cut."""
-    shares = [i / _CUTS for i in range(1, _CUTS)]
-    sizes = facts.groupBy("month", "low").agg(F.count("*").alias("n"))
-    large = spool(sizes.where(F.col("n") > 2 * bucket_rows), "large")
-    parts = F.least(F.ceil(F.col("n") / bucket_rows), F.lit(_CUTS)).cast("int")
-    chosen = F.transform(F.sequence(F.lit(1), parts - 1), lambda i: F.element_at("at", F.floor(i * _CUTS / parts).cast("int")))
+def _cuts(facts: DataFrame, sizes: DataFrame, bucket_rows: int) -> DataFrame | None:
+    """Where buckets with more than twice the wanted rows are to be cut; None when there are none."""
+    parts = F.least(F.ceil(F.col("n") / bucket_rows), F.lit(_PARTS)).cast("int")
+    large = spool(sizes.where(F.col("n") > 2 * bucket_rows).withColumn("parts", parts), "large")
+    few, many = large.where(F.col("parts") <= _CUTS), large.where(F.col("parts") > _CUTS)
+    found = [_percentiles(facts, some, shares) for some, shares in ((few, _CUTS), (many, _PARTS)) if not some.isEmpty()]
+    if not found:
+        return None
     # a bucket of one id, with a day each, stays as it is
-    above = F.array_distinct(F.filter(chosen, lambda cut: cut > F.col("low")))
-    found = (
-        lookup_join(facts, large, ["month", "low"], "inner")
-        .groupBy("month", "low", "n")
-        .agg(F.percentile_approx("article_id", shares).alias("at"))
-        .select("month", "low", above.alias("_cuts"))
+    above = F.array_distinct(F.filter("at", lambda cut: cut > F.col("low")))
+    cuts = reduce(DataFrame.unionByName, found).select("month", "low", above.alias("_cuts"))
+    cuts = spool(cuts.where(F.size("_cuts") > 0), "cuts")
+    return None if cuts.isEmpty() else cuts
+
+
+def _percentiles(facts: DataFrame, large: DataFrame, shares: int) -> DataFrame:
+    """The ids ``at`` which buckets of ``large`` fall into ``parts``, up to ``shares``, of about equal size."""
+    asked = [i / shares for i in range(1, shares)]
+    chosen = F.transform(
+        F.sequence(F.lit(1), F.col("parts") - 1),
+        lambda i: F.element_at("at", F.floor(i * shares / F.col("parts")).cast("int")),
+    )
+    return (
+        lookup_join(facts.select("month", "low", "article_id"), large, ["month", "low"], "inner")
+        .groupBy("month", "low", "parts")
+        .agg(F.percentile_approx("article_id", asked, max(10_000, 4 * shares)).alias("at"))
+        .select("month", "low", chosen.alias("at"))
     )
-    return spool(found.where(F.size("_cuts") > 0), "cuts")
 
 
 def _write_facts(facts: DataFrame, root: str, listed: DataFrame, touched: DataFrame, bucket_rows: int) -> None:
@@ -260,9 +282,11 @@ def _write_facts(facts: DataFrame, root: str, listed: DataFrame, touched: DataFr
     spark, base = facts.sparkSession, f"{root}/fact_article"
     version = max((int(c.removeprefix("version=")) for c in children(spark, base)), default=0) + 1
     placed = spool(facts.select(*schemas.FACT.fieldNames(), "month", "low"), "to-write")
-    while not (cuts := _cuts(placed, bucket_rows)).isEmpty():  # each round makes large buckets up to 64 times smaller
+    sizes = _sizes(placed)
+    while (cuts := _cuts(placed, sizes, bucket_rows)) is not None:  # each round makes large buckets up to _PARTS times smaller
         placed = spool(_cut(placed, cuts), "to-write")
-    written = spool(_shelved(placed, version), "shelved")
+        sizes = _sizes(placed)
+    written = spool(_shelved(sizes, version), "shelved")
     placed = lookup_join(placed, written.select("month", "low", "shelf"), ["month", "low"], "inner")
     for rows, folder in ((placed, base), (_sums(placed), f"{root}/fact_sums")):
         even = rows.hint("rebalance", "month", "shelf").write.mode("overwrite")
@@ -275,9 +299,8 @@ def _write_facts(facts: DataFrame, root: str, listed: DataFrame, touched: DataFr
     _remove_unlisted(spark, f"{root}/fact_sums", folders)
 
 
-def _shelved(placed: DataFrame, version: int) -> DataFrame:
-    """The buckets of ``placed`` as the list is to name them."""
-    sizes = placed.groupBy("month", "low").agg(F.count("*").alias("n"))
+def _shelved(sizes: DataFrame, version: int) -> DataFrame:
+    """Buckets of these ``sizes`` as the list is to name them."""
     earlier = Window.partitionBy("month").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
     shelf = Window.partitionBy("month", "place")

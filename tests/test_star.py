@@ -168,6 +168,44 @@ def test_sums_equal_a_recount_after_load_reload_and_delete(spark, root):
     assert star.read_sums(spark, root).agg(F.sum("rows")).first()[0] == star.read_facts(spark, root).count()
 
 
+def test_a_month_is_cut_into_many_buckets_in_one_round(spark, root, monkeypatch):
+    """Facts are written on the way as they come and once more as they are cut, not once a level of the cuts."""
+    labels, spool = [], star.spool
+
+    def counted(df, label="spool"):
+        labels.append(label)
+        return spool(df, label)
+
+    monkeypatch.setattr(star, "spool", counted)
+    sources, topics = _sources(spark, ("a", "x", 1.0)), _topics(spark, (0, "n", "c"))
+
+    def load(low, high):
+        ids = spark.range(low, high).selectExpr("id as article_id", "'a' as source_name", "0 as topic_id", "date '2031-05-01' as published_at")
+        scored = ids.withColumns({"sentiment_score": F.lit(0.0), "importance_score": F.lit(1.0)})
+        labels.clear()
+        star.load_batch(spark, root, scored, sources, topics, bucket_rows=10)
+
+    load(0, 5000)
+    assert labels.count("facts") == 1 and labels.count("placed") == 0 and labels.count("to-write") == 2
+    sizes = star._read_buckets(spark, root, star._listed(spark, root)).groupBy("low").count()
+    assert sizes.count() >= 250 and sizes.where("count > 20").isEmpty()
+    load(4000, 5010)  # lands in the buckets that hold its ids
+    facts = star.read_facts(spark, root)
+    assert facts.count() == facts.select("article_id").distinct().count() == 5010
+
+
+def test_cuts_of_several_levels_find_the_place_of_each_id(spark, root, monkeypatch):
+    monkeypatch.setattr(star, "_CUTS", 3)
+    monkeypatch.setattr(star, "_PARTS", 9)
+    lows = [star._LEAST, *range(-50, 450, 5)]
+    listed = spark.createDataFrame([("2031-05", low, 1, 0, 1) for low in lows], star._BUCKETS)
+    facts = spark.range(-70, 500).selectExpr("id as article_id", "'2031-05' as month")
+    odd = spark.createDataFrame([(None, "2031-05"), (3, "2031-06"), (4, None)], "article_id long, month string")
+    placed = {(r["article_id"], r["month"]): r["low"] for r in star._in_buckets(facts.unionByName(odd), listed).collect()}
+    assert placed.pop((None, "2031-05")) == placed.pop((3, "2031-06")) == placed.pop((4, None)) == star._LEAST
+    assert placed == {(i, "2031-05"): max(low for low in lows if low <= i) for i in range(-70, 500)}
+
+
 def test_days_of_one_article_are_not_cut(spark, root):
     sources, topics = _sources(spark, ("a", "x", 1.0)), _topics(spark, (0, "n", "c"))
     scored = _scored(spark, *[(7, "a", 0, f"2031-05-{d:02d}", 0.0, 0.0) for d in range(1, 31)])
