@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import IDF, HashingTF, StopWordsRemover, Tokenizer
@@ -85,22 +87,23 @@ def assign_topics(df: DataFrame, model: PipelineModel, summary: str = "summary")
 
 
 def classify_topics(
-    df: DataFrame, k: int = CLUSTERS, summary: str = "summary"
+    df: DataFrame, k: int = CLUSTERS, summary: str = "summary", keep: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Documents with ``topic_id``, and the label of each topic. Empty input gives empty frames.
 
-    The words of each text and their counts are written once beside the other
-    columns; the fit, the topics and the labels read those, not the text.
+    The words of each text and their counts are written once beside the
+    ``keep`` columns, all of ``df`` unless they are given; the fit, the topics
+    and the labels read those, not the text.
     """
+    keep = df.columns if keep is None else list(keep)
     if df.isEmpty():
         spark = df.sparkSession
-        none = df.withColumns(
-            {"filtered_words": F.split(summary, " "), "topic_id": F.lit(None).cast("int")}
-        )
+        none = df.select(*keep, F.split(summary, " ").alias("filtered_words"), F.lit(None).cast("int").alias("topic_id"))
         return none, spark.createDataFrame([], schemas.TOPIC)
     filled = df.withColumn(summary, _filled(summary))
     place = _place(summary, [c for c in ("id",) if c in df.columns and c != summary])
-    counted = spool(_counting(summary).transform(filled).drop("words").withColumn("_place", place), "counted")
+    counting = _counting(summary).transform(filled)
+    counted = spool(counting.select(*keep, "filtered_words", "raw_features", place), "counted")
     model = _fit(counted, k, "topic_id")
     clustered = model.transform(counted).drop("raw_features", "features", "_place")
     tokens = clustered.select("topic_id", F.explode("filtered_words").alias("word"))

@@ -142,7 +142,7 @@ def _run_batch(
     docs = spark.read.schema(schemas.CLEAN).parquet(f"{folder}/clean")
 
     def topics() -> dict[str, DataFrame]:
-        clustered, labels = classify_topics(docs.select("id", "summary"), clusters)
+        clustered, labels = classify_topics(docs.select("id", "summary"), clusters, keep=("id",))
         found = {"doc_topics": clustered.select("id", "topic_id"), "topics": labels}
         if topics_of is None:
             return found

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from newsloom import schemas
 from newsloom.plans.daily import DOC_TYPES, run_daily
+from newsloom.session import scratch_run, spool
 from newsloom.sources.readers import CSV_OPTIONS
 
 _DATE = r"^\d{4}-\d{2}-\d{2}$"
@@ -53,12 +54,14 @@ def incremental_load(
 
     def load(batch: DataFrame, number: int) -> None:
         session = batch.sparkSession
-        files = batch.distinct()
-        is_date = F.col("folder").rlike(_DATE) & F.col("folder").try_cast("date").isNotNull()
-        refused = files.where(~is_date)
-        if not refused.isEmpty():
-            refused.write.mode("overwrite").parquet(f"{out}/refused_files/batch={number}")
-        for row in files.where(is_date).select("folder").distinct().orderBy("folder").collect():  # a row for each date
+        with scratch_run(session, "files"):
+            files = spool(batch.distinct(), "files")  # the only reading of the new files' records here
+            is_date = F.col("folder").rlike(_DATE) & F.col("folder").try_cast("date").isNotNull()
+            refused = files.where(~is_date)
+            if not refused.isEmpty():
+                refused.write.mode("overwrite").parquet(f"{out}/refused_files/batch={number}")
+            dates = files.where(is_date).select("folder").distinct().orderBy("folder").collect()  # a row for each date
+        for row in dates:
             run_daily(session, row["folder"], inbox, out, warehouse, **options)
 
     return (

@@ -283,6 +283,27 @@ def test_a_late_file_gives_what_one_delivery_gives(spark, folder):
         assert tuples(got, *sorted(wanted.columns)) == tuples(wanted, *sorted(wanted.columns)), table
 
 
+def test_a_load_lists_new_files_once_and_writes_words_without_texts(spark, folder, monkeypatch):
+    from newsloom.operators import topics
+    from newsloom.streaming import incremental
+
+    spooled, spool = [], topics.spool
+
+    def noted(df, label="spool"):
+        spooled.append((label, tuple(df.columns)))
+        return spool(df, label)
+
+    monkeypatch.setattr(topics, "spool", noted)
+    monkeypatch.setattr(incremental, "spool", noted, raising=False)
+    _deliver(spark, folder, "2025-02-01", articles=[_record(i, "2025-01-31", TEXTS[i]) for i in range(5)])
+    _deliver(spark, folder, "no-date", articles=[_record(9, "2025-01-31", TEXTS[0])])
+    incremental_load(spark, f"{folder}/inbox", f"{folder}/out", None, f"{folder}/progress", clusters=2).awaitTermination()
+    assert [columns for label, columns in spooled if label == "files"] == [("folder", "file")]
+    assert [columns for label, columns in spooled if label == "counted"] == [("id", "filtered_words", "raw_features", "_place")]
+    assert spark.read.parquet(f"{folder}/out/2025-02-01/doc_topics").count() == 5
+    assert spark.read.parquet(f"{folder}/out/refused_files").count() == 1
+
+
 @pytest.mark.parametrize("files", [1, 3])
 def test_first_arrivals(spark, folder, files):
     frame = spark.createDataFrame(
